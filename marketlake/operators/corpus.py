@@ -87,7 +87,14 @@ def with_text(corpus: DataFrame) -> DataFrame:
     return corpus.filter(F.col("text").isNotNull() & (F.col("text") != ""))
 
 
+def with_text_hash(corpus: DataFrame) -> DataFrame:
+    return corpus.withColumn("text_hash", F.md5("text"))
+
+
 def unique_documents(corpus: DataFrame) -> DataFrame:
-    """One document per id, the newest; ties go to the greatest text."""
-    newest = [F.desc_nulls_last(c) for c in ("metadata_date", "text", "metadata_source")]
+    """One document per id, the newest; ties go to the greatest text hash.
+
+    `corpus` carries `text_hash`, so versions are compared without their texts.
+    """
+    newest = [F.desc_nulls_last(c) for c in ("metadata_date", "text_hash", "metadata_source")]
     return first_per_key(corpus, ["doc_id"], newest)

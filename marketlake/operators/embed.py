@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.text import clip
 from marketlake.functions.vectors import Encoder, HashingEncoder, encode_column
-from marketlake.operators.corpus import unique_documents
+from marketlake.operators.corpus import unique_documents, with_text_hash
+from marketlake.session import materialize
 
 # Fixed value: input limit of the hosted model, in characters. The hashing encoder has no
 # limit and reads whole texts; pass `max_chars=MODEL_INPUT_LENGTH` for a model that has.
@@ -37,25 +38,23 @@ def embed_corpus(
     max_chars: int | None = None,
 ) -> DataFrame:
     """One embedded document per id; `embed_ok` is false where the vector is zero."""
-    embedded = embed(unique_documents(corpus), encoder, dim, max_chars=max_chars)
+    embedded = embed(unique_documents(with_text_hash(corpus)), encoder, dim, max_chars=max_chars)
     return embedded.withColumn("embed_ok", F.exists("embedding", lambda x: x != 0))
 
 
-def with_text_hash(corpus: DataFrame) -> DataFrame:
-    return corpus.withColumn("text_hash", F.md5("text"))
-
-
 def documents_to_embed(corpus: DataFrame, index: DataFrame) -> DataFrame:
     """Documents of a new corpus that the index lacks or holds with another text.
 
-    Ids and hashes are compared first, without the texts; the few ids that changed then
-    pick their documents. With a small change the join is broadcast at run time and no
-    text is shuffled beyond the per-id choice of the newest version.
+    The newest version per id and its text hash are found and compared without the texts.
+    What changed is written down, so that Spark knows its size; while it is small it is
+    broadcast, and only texts of changed documents ever move.
     """
-    documents = with_text_hash(unique_documents(corpus))
+    hashed = with_text_hash(corpus)
+    newest = unique_documents(hashed.select("doc_id", "metadata_date", "text_hash", "metadata_source"))
     known = index.select("doc_id", "text_hash")
-    changed = documents.select("doc_id", "text_hash").join(known, ["doc_id", "text_hash"], "left_anti")
-    return documents.join(changed.select("doc_id"), "doc_id", "left_semi")
+    changed = newest.select("doc_id", "text_hash").join(known, ["doc_id", "text_hash"], "left_anti")
+    changed = materialize(changed.select("doc_id"), "changed")
+    return unique_documents(hashed.join(changed, "doc_id", "left_semi"))
 
 
 def embed_incremental(

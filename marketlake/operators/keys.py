@@ -49,12 +49,13 @@ def attach(
 def assign_ids(new: DataFrame, key: Sequence[str], taken: DataFrame, id_column: str) -> DataFrame:
     """Number new rows from the highest taken id upwards, without gaps.
 
-    `key` must be unique in `new`. Rows are spread over 4096 buckets by a hash of the key
-    and numbered inside their bucket; the running total over the bucket counts (at most
-    4097 rows) gives each bucket its start. No task sees more than one bucket.
+    `key` must be unique in `new`. The new rows are written once, so counting and numbering
+    see the same rows. They are spread over 4096 buckets by a hash of the key and numbered
+    inside their bucket; the running total over the bucket counts (at most 4097 rows) gives
+    each bucket its start. No task sees more than one bucket.
     """
     bucket = F.substring(F.md5(F.concat_ws("\x1f", *key)), 1, ID_BUCKET_DIGITS)
-    spread = new.withColumn("_bucket", bucket)
+    spread = materialize(new.withColumn("_bucket", bucket), "new-rows")
     counts = spread.groupBy("_bucket").agg(F.count("*").alias("_rows"))
     highest = taken.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long").alias("_rows"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.text import snippet, ticker_of
 from marketlake.operators.keys import assign_ids, first_per_key
-from marketlake.operators.watchlists import ensure_users, with_user_id
+from marketlake.operators.watchlists import ensure_users
 
 # Notes shown, and characters shown of each.
 NOTES_SHOWN = 10
@@ -27,9 +27,9 @@ def save_notes(users: DataFrame, notes: DataFrame, requests: DataFrame) -> Saved
 
     `request_id` is unique and decides the order of the new ids within their bucket.
     """
-    all_users, _ = ensure_users(users, requests.select("email", "requested_at"))
+    accounts = ensure_users(users, requests.select("email", "requested_at"))
     numbered = assign_ids(requests.select("request_id"), ["request_id"], notes, "note_id")
-    new = with_user_id(requests.join(numbered, "request_id"), all_users).select(
+    new = requests.join(numbered, "request_id").join(accounts.requested, "email").select(
         "note_id",
         "user_id",
         ticker_of("ticker").alias("ticker"),
@@ -37,7 +37,7 @@ def save_notes(users: DataFrame, notes: DataFrame, requests: DataFrame) -> Saved
         F.col("note").alias("content"),
         F.col("requested_at").alias("created_at"),
     )
-    return Saved(all_users, notes.unionByName(new.select(notes.columns)), new)
+    return Saved(accounts.users, notes.unionByName(new.select(notes.columns)), new)
 
 
 def get_notes(

@@ -208,6 +208,11 @@ def search_profiles(index: DataFrame, questions: DataFrame, encoder: Encoder, di
     return found.withColumn("snippet", snippet(F.col("text"), PROFILE_SNIPPET)).drop("text")
 
 
+def answer_chat(index: DataFrame, questions: DataFrame, encoder: Encoder, dim: int) -> DataFrame:
+    found = semantic_search(index, questions, encoder, dim, k=CHAT_RESULTS)
+    return found.withColumn("snippet", snippet(F.col("text"), NEWS_SNIPPET)).drop("text")
+
+
 def ticker_panel(index: DataFrame, tickers: DataFrame, encoder: Encoder, dim: int, k: int = RESULTS) -> DataFrame:
     """For every ticker, its documents nearest to the panel question about it."""
     asked = tickers.select("ticker").distinct()

@@ -2,6 +2,10 @@
 
 Requests have (email, list_name, ticker, requested_at). Every function returns new tables
 and leaves its inputs alone; new rows carry the time of the request that made them.
+
+A batch is small beside the tables it changes, but how small is known only once it is
+there. It is therefore written to the work folder first; from then on Spark knows its size,
+broadcasts it while it fits and leaves the large tables where they are.
 """
 
 from __future__ import annotations
@@ -14,36 +18,42 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.text import ticker_of
 from marketlake.operators.keys import assign_ids
+from marketlake.session import materialize
 
 # Name of a list nobody named, and the operations of the mutation log.
 DEFAULT_LIST = "default"
 ADD, REMOVE = "add", "remove"
 
 
-def insert_if_absent(base: DataFrame, rows: DataFrame, key: Sequence[str], order: str) -> DataFrame:
-    """The rows to add: first per key by `order`, and only keys the base lacks."""
-    values = [c for c in rows.columns if c not in key]
-    ordered = F.struct(order, *[c for c in values if c != order])
-    first = rows.groupBy(*key).agg(F.min(ordered).alias("_first")).select(*key, "_first.*")
-    return first.join(base.select(*key), list(key), "left_anti").select(rows.columns)
+def insert_if_absent(base: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows whose key the base lacks; `rows` has one row per key.
 
+    The base is only filtered by the incoming keys, which is a broadcast while the batch is
+    small; what it holds of them is then taken off the batch.
+    """
+    taken = base.select(*key).join(rows.select(*key), list(key), "left_semi")
+    return rows.join(taken, list(key), "left_anti")
 
-def ensure_users(users: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All users after the requests, and the new ones."""
-    asked = requests.select("email", F.col("requested_at").alias("created_at"))
-    new = assign_ids(insert_if_absent(users, asked, ["email"], "created_at"), ["email"], users, "user_id")
-    new = new.withColumn("display_name", F.lit(None).cast("string")).select(users.columns)
-    return users.unionByName(new), new
+
+class Accounts(NamedTuple):
+    users: DataFrame
+    requested: DataFrame  # email, user_id
 
 
-def with_user_id(rows: DataFrame, users: DataFrame) -> DataFrame:
-    return rows.join(users.select("email", "user_id"), "email")
+def ensure_users(users: DataFrame, requests: DataFrame) -> Accounts:
+    """All users after the requests, and the user of every requested address."""
+    asked = requests.groupBy("email").agg(F.min("requested_at").alias("created_at"))
+    asked = materialize(asked, "asked-users")
+    known = users.select("email", "user_id").join(asked.select("email"), "email", "left_semi")
+    known = materialize(known, "known-users")
+    new = assign_ids(asked.join(known, "email", "left_anti"), ["email"], users, "user_id")
+    new = new.withColumn("display_name", F.lit(None).cast("string")).select(users.columns)
+    return Accounts(users.unionByName(new), known.unionByName(new.select("email", "user_id")))
 
 
 class Lists(NamedTuple):
-    requested: DataFrame  # user_id, name, watchlist_id, created
     watchlists: DataFrame
-    new: DataFrame
+    requested: DataFrame  # user_id, name, watchlist_id, created
 
 
 def get_or_create_lists(watchlists: DataFrame, requests: DataFrame) -> Lists:
@@ -53,19 +63,21 @@ def get_or_create_lists(watchlists: DataFrame, requests: DataFrame) -> Lists:
     one with the smallest id, is taken. Missing lists are created.
     """
     key = ["user_id", "name"]
-    wanted = requests.groupBy(*key).agg(F.min("requested_at").alias("created_at"))
+    asked = requests.groupBy(*key).agg(F.min("requested_at").alias("created_at"))
+    asked = materialize(asked, "asked-lists")
     known = (
-        watchlists.join(wanted.select(*key), key, "left_semi")
+        watchlists.select(*key, "watchlist_id")
+        .join(asked.select(*key), key, "left_semi")
         .groupBy(*key)
         .agg(F.min("watchlist_id").alias("watchlist_id"))
     )
-    missing = wanted.join(known.select(*key), key, "left_anti")
-    new = assign_ids(missing, key, watchlists, "watchlist_id")
+    known = materialize(known, "known-lists")
+    new = assign_ids(asked.join(known, key, "left_anti"), key, watchlists, "watchlist_id")
     requested = known.withColumn("created", F.lit(False)).unionByName(
         new.select(*key, "watchlist_id", F.lit(True).alias("created"))
     )
     new = new.withColumn("description", F.lit(None).cast("string")).select(watchlists.columns)
-    return Lists(requested, watchlists.unionByName(new), new)
+    return Lists(watchlists.unionByName(new), requested)
 
 
 class Added(NamedTuple):
@@ -82,14 +94,19 @@ def add_to_watchlists(users: DataFrame, watchlists: DataFrame, tickers: DataFram
         .groupBy("email", F.coalesce("list_name", F.lit(DEFAULT_LIST)).alias("name"), "ticker")
         .agg(F.min("requested_at").alias("requested_at"))
     )
-    all_users, _ = ensure_users(users, asked)
-    asked = with_user_id(asked, all_users)
+    asked = materialize(asked, "asked-tickers")
+    accounts = ensure_users(users, asked)
+    asked = asked.join(accounts.requested, "email")
     lists = get_or_create_lists(watchlists, asked)
-    placed = asked.join(lists.requested, ["user_id", "name"])
-    rows = placed.select("watchlist_id", "ticker", F.col("requested_at").alias("added_at"), "email",
-                         F.col("name").alias("list_name"))
-    new = insert_if_absent(tickers, rows, ["watchlist_id", "ticker"], "added_at")
-    return Added(all_users, lists.watchlists, tickers.unionByName(new.select(tickers.columns)), new)
+    rows = materialize(
+        asked.join(lists.requested, ["user_id", "name"]).select(
+            "watchlist_id", "ticker", F.col("requested_at").alias("added_at"), "email",
+            F.col("name").alias("list_name"),
+        ),
+        "asked-rows",
+    )
+    new = materialize(insert_if_absent(tickers, rows, ["watchlist_id", "ticker"]), "new-rows")
+    return Added(accounts.users, lists.watchlists, tickers.unionByName(new.select(tickers.columns)), new)
 
 
 class Removed(NamedTuple):
@@ -104,16 +121,22 @@ def remove_from_watchlists(users: DataFrame, watchlists: DataFrame, tickers: Dat
         "email", F.coalesce("list_name", F.lit(DEFAULT_LIST)).alias("list_name"),
         ticker_of("ticker").alias("ticker"),
     ).distinct()
-    known = with_user_id(asked, users).withColumnRenamed("list_name", "name")
-    doomed = known.join(watchlists.select("watchlist_id", "user_id", "name"), ["user_id", "name"]).select(
+    asked = materialize(asked, "asked-removals")
+    owners = users.select("email", "user_id").join(asked.select("email").distinct(), "email", "left_semi")
+    known = asked.join(owners, "email").withColumnRenamed("list_name", "name")
+    lists = watchlists.select("watchlist_id", "user_id", "name")
+    doomed = lists.join(known, ["user_id", "name"]).select(
         "watchlist_id", "ticker", "email", F.col("name").alias("list_name")
     )
+    doomed = materialize(doomed, "doomed")
     pair = ["watchlist_id", "ticker"]
     gone = tickers.join(doomed.select(*pair), pair, "left_semi")
-    hits = doomed.join(tickers.select(*pair), pair, "left_semi")
-    request = ["email", "list_name", "ticker"]
-    removed = hits.groupBy(*request).agg(F.count("*").alias("rows_removed"))
-    outcomes = asked.join(removed, request, "left").withColumn(
+    removed = (
+        doomed.join(gone.select(*pair), pair)
+        .groupBy("email", "list_name", "ticker")
+        .agg(F.count("*").alias("rows_removed"))
+    )
+    outcomes = asked.join(removed, ["email", "list_name", "ticker"], "left").withColumn(
         "rows_removed", F.coalesce("rows_removed", F.lit(0))
     )
     return Removed(tickers.join(doomed.select(*pair), pair, "left_anti"), gone, outcomes)

@@ -254,7 +254,7 @@ def embed_incremental(spark, folder):
         news.filter(F.col("published_at") < F.lit(EVENTS_HALFWAY).cast("timestamp")),
         companies.withColumn("company_description", F.lit(None).cast("string")),
     )
-    index = embed.with_text_hash(embed.unique_documents(earlier))
+    index = corpus.unique_documents(corpus.with_text_hash(earlier))
     new = embed.embed_incremental(corpus.text_corpus(news, companies), index)
     return new.select("doc_id", "text_hash", _spelled("embedding").alias("vector"))
 
@@ -366,8 +366,8 @@ def watchlist_get_or_create(spark, folder):
     requests = sample_tables.add_requests(spark, folder).withColumn(
         "name", F.coalesce("list_name", F.lit(watchlists.DEFAULT_LIST))
     )
-    all_users, _ = watchlists.ensure_users(users, requests)
-    return watchlists.get_or_create_lists(lists, watchlists.with_user_id(requests, all_users)).requested
+    accounts = watchlists.ensure_users(users, requests)
+    return watchlists.get_or_create_lists(lists, requests.join(accounts.requested, "email")).requested
 
 
 @_query
@@ -500,6 +500,18 @@ def chat_route(spark, folder):
     return routing.route_messages(sample_tables.chat_messages(spark, folder))
 
 
+@_query
+def chat_search(spark, folder):
+    """The answers to all search messages."""
+    routed = routing.route_messages(sample_tables.chat_messages(spark, folder))
+    questions = routed.filter(F.col("intent") == "search").select(
+        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("query_id"),
+        F.col("query").alias("text"),
+    )
+    found = search.answer_chat(_text_index(spark, folder), questions, ENCODER, DIM)
+    return found.select("query_id", "rank", "score", "doc_id", "ticker", "title", "snippet")
+
+
 @_query
 def chat_intents(spark, folder):
     return routing.intent_counts(routing.route_messages(sample_tables.chat_messages(spark, folder)))

@@ -218,7 +218,7 @@ _TABLES["earlier_corpus"] = _corpus("published_at < TIMESTAMP '2024-01-16 00:00:
 
 _NEWEST = """
 QUALIFY row_number() OVER (
-  PARTITION BY doc_id ORDER BY metadata_date DESC, text DESC, metadata_source DESC) = 1"""
+  PARTITION BY doc_id ORDER BY metadata_date DESC, md5(text) DESC, metadata_source DESC) = 1"""
 _TABLES["unique_docs"] = "SELECT * FROM corpus_t" + _NEWEST
 _TABLES["earlier_docs"] = "SELECT * FROM earlier_corpus" + _NEWEST
 
@@ -325,7 +325,7 @@ FROM supplier"""
 _TABLES["panel_vectors"] = _encoded("panel_questions", "query_id")
 
 
-def _answers(questions: str, vectors: str, where: str) -> str:
+def _answers(questions: str, vectors: str, where: str, k: int = 5) -> str:
     """The best documents per question; both sides are scaled again, as 4-byte values lose length."""
     return f"""
 SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC NULLS LAST, doc_id) AS rank
@@ -339,7 +339,7 @@ FROM (
   LEFT JOIN (SELECT query_id, sqrt(sum(value * value)) AS norm FROM {vectors} GROUP BY query_id) AS qn
        USING (query_id)
   WHERE {where})
-QUALIFY rank <= 5"""
+QUALIFY rank <= {k}"""
 
 
 _STATEMENTS["semantic_search"] = f"""
@@ -601,6 +601,13 @@ FROM (
         FROM messages))"""
 
 _STATEMENTS["chat_route"] = "SELECT * FROM routed"
+_TABLES["chat_questions"] = """
+SELECT conv_id || '-' || turn AS query_id, query AS text FROM routed WHERE intent = 'search'"""
+_TABLES["chat_vectors"] = _encoded("chat_questions", "query_id")
+
+_STATEMENTS["chat_search"] = f"""
+SELECT query_id, rank, score, doc_id, ticker, title, substr(text, 1, 200) || '...' AS snippet
+FROM ({_answers('chat_questions', 'chat_vectors', 'true', 3)})"""
 _STATEMENTS["chat_intents"] = "SELECT intent, count(*) AS messages FROM routed GROUP BY intent"
 
 
