@@ -12,23 +12,34 @@ from marketlake.operators.keys import first_per_key
 from marketlake.schemas import PRICE
 
 
+# First value that no longer fits the price type.
+_PRICE_LIMIT = 10 ** (PRICE.precision - PRICE.scale)
+
+
 def clean_prices(bronze: DataFrame, latest: Sequence[str] = ()) -> DataFrame:
     """One typed bar per ticker and day.
 
-    Of several bars for a day the one with the greatest `latest` columns is kept; the bar's
-    own values break what is still a tie, so the result never depends on row order. Values
-    that do not parse or fit become null, bars without a date are dropped.
+    Of several bars for a day the one with the greatest `latest` columns is kept; a usable
+    close and then the bar's own values break what is still a tie, so the result never
+    depends on row order. Values that do not parse or fit become null, bars without a date
+    are dropped. Prices are cast after the choice, so only for bars that stay.
     """
-    typed = bronze.select(
+    dated = bronze.select(
         "ticker",
         F.col("date").try_cast("date").alias("snapshot_date"),
-        *[F.col(f).try_cast(PRICE).alias(f"{f}_price") for f in ("open", "close", "high", "low")],
-        F.col("volume").try_cast("bigint").alias("volume"),
+        *("open", "close", "high", "low", "volume"),
         *latest,
     ).filter(F.col("snapshot_date").isNotNull())
-    values = ["close_price", "volume", "open_price", "high_price", "low_price"]
-    order = [F.desc_nulls_last(c) for c in [*latest, *values]]
-    return first_per_key(typed, ["ticker", "snapshot_date"], order).drop(*latest)
+    usable = F.coalesce(F.abs("close") < _PRICE_LIMIT, F.lit(False))
+    values = ["close", "volume", "open", "high", "low"]
+    order = [*map(F.desc_nulls_last, latest), F.desc(usable), *map(F.desc_nulls_last, values)]
+    # Date first: it sorts by its binary prefix, while tickers may share theirs.
+    return first_per_key(dated, ["snapshot_date", "ticker"], order).select(
+        "ticker",
+        "snapshot_date",
+        *[F.col(f).try_cast(PRICE).alias(f"{f}_price") for f in ("open", "close", "high", "low")],
+        F.col("volume").try_cast("bigint").alias("volume"),
+    )
 
 
 def clean_companies(bronze: DataFrame, loaded_at: datetime | Column, latest: Sequence[str] = ()) -> DataFrame:

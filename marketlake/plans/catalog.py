@@ -357,7 +357,8 @@ def watchlist_get(spark, folder):
 
 @_query
 def watchlist_users(spark, folder):
-    return _added(spark, folder).users
+    users = sample_tables.users(spark, folder)
+    return watchlists.ensure_users(users, sample_tables.add_requests(spark, folder)).users
 
 
 @_query

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,13 +46,10 @@ def read_feeds(spark: SparkSession, paths: UsagePaths) -> tuple[DataFrame, DataF
 
 
 def read_daily_stats(spark: SparkSession, paths: UsagePaths) -> DataFrame:
-    """The daily rollup, or no rows before the first run."""
-    try:
-        return spark.read.schema(DAILY_USAGE_STATS).parquet(paths.rollup("daily_usage_stats"))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], DAILY_USAGE_STATS)
+    """The daily rollup, created without rows if it does not exist."""
+    path = paths.rollup("daily_usage_stats")
+    spark.createDataFrame([], DAILY_USAGE_STATS).write.mode("ignore").partitionBy("date").parquet(path)
+    return spark.read.schema(DAILY_USAGE_STATS).parquet(path)
 
 
 def refresh_dates(spark: SparkSession, paths: UsagePaths, dates: Sequence[date]) -> dict[str, int | str]:
