@@ -49,7 +49,7 @@ def read_daily_stats(spark: SparkSession, paths: UsagePaths) -> DataFrame:
     """The daily rollup, created without rows if it does not exist."""
     path = paths.rollup("daily_usage_stats")
     spark.createDataFrame([], DAILY_USAGE_STATS).write.mode("ignore").partitionBy("date").parquet(path)
-    return spark.read.schema(DAILY_USAGE_STATS).parquet(path)
+    return spark.read.schema(DAILY_USAGE_STATS).parquet(path).select(*DAILY_USAGE_STATS.names)
 
 
 def refresh_dates(spark: SparkSession, paths: UsagePaths, dates: Sequence[date]) -> dict[str, int | str]:

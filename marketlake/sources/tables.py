@@ -49,11 +49,13 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 
 def overwrite_table_partitions(df: DataFrame, name: str) -> int:
     """The same for a managed partitioned table; columns are matched by name."""
-    columns = df.sparkSession.table(name).columns
-    return _counted(
-        df.select(*columns),
-        lambda d: d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name),
-    )
+    spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        return _counted(df.select(*spark.table(name).columns), lambda d: d.write.insertInto(name, overwrite=True))
+    finally:
+        spark.conf.set(setting, before)
 
 
 def read_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:

@@ -27,12 +27,16 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+def ordered(tuples):
+    return sorted(tuples, key=lambda t: [(v is not None, v) for v in t])
+
+
 @pytest.fixture
 def rows():
-    """Rows of a frame as sorted tuples."""
+    """Rows of a frame as tuples, smallest first; null before any value."""
 
     def read(df, *columns):
         chosen = df.select(*columns) if columns else df
-        return sorted((tuple(r) for r in chosen.collect()), key=repr)
+        return ordered(tuple(r) for r in chosen.collect())
 
     return read

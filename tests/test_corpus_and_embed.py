@@ -3,6 +3,7 @@ from datetime import datetime
 import numpy as np
 import pytest
 
+from conftest import ordered
 from marketlake.functions.vectors import HashingEncoder
 from marketlake.operators import corpus, embed
 from marketlake.schemas import SILVER_COMPANIES, SILVER_NEWS
@@ -32,41 +33,38 @@ def companies(spark):
 
 def test_documents(news, companies, rows):
     docs = rows(corpus.text_corpus(news, companies), "doc_id", "doc_type", "text", "metadata_date", "metadata_source")
-    assert docs == sorted(
+    assert docs == ordered(
         [
             ("AA | t1", "news", "t1\n\nsum\n\nfull", "2024-01-01 05:00:00", "s"),
             ("AA | t1", "news", "t1\n\nlater", "2024-01-02 00:00:00", "s"),
             ("BB | ", "news", "", None, "s"),
             ("AA", "company_profile", "Alpha\n\nSector: Tech\n\nMakes things", "2024-01-31 00:00:00", "Company Profile"),
             ("BB", "company_profile", "", "2024-01-31 00:00:00", "Company Profile"),
-        ],
-        key=repr,
+        ]
     )
     assert corpus.with_text(corpus.text_corpus(news, companies)).count() == 3
 
 
 def test_sentences(news, companies, rows):
     docs = rows(corpus.sentence_corpus(news, companies), "ticker", "text", "date", "doc_type")
-    assert docs == sorted(
+    assert docs == ordered(
         [
             ("AA", "Alpha. Sector: Tech. Makes things", "2024-01-01", "company_profile"),
             ("BB", "", "2024-01-01", "company_profile"),
             ("AA", "t1. sum full", "2024-01-01", "news_article"),
             ("AA", "t1. later", "2024-01-02", "news_article"),
             ("BB", ".", "2024-01-01", "news_article"),
-        ],
-        key=repr,
+        ]
     )
 
 
 def test_newest_version_of_a_document_is_embedded(news, companies, rows):
     embedded = embed.embed_corpus(corpus.text_corpus(news, companies))
-    assert rows(embedded, "doc_id", "text", "embed_ok") == sorted(
+    assert rows(embedded, "doc_id", "text", "embed_ok") == ordered(
         [
             ("AA | t1", "t1\n\nlater", True), ("BB | ", "", False), ("BB", "", False),
             ("AA", "Alpha\n\nSector: Tech\n\nMakes things", True),
-        ],
-        key=repr,
+        ]
     )
 
 
