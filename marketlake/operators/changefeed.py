@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The change types of a feed.
@@ -14,6 +14,8 @@ BEFORE_UPDATE = "update_preimage"
 AFTER_UPDATE = "update_postimage"
 DELETE = "delete"
 CURRENT_ROWS = (INSERT, AFTER_UPDATE)
+# Fixed value: days a feed is read back when no start is given.
+FEED_DAYS = 7
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -22,10 +24,14 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     Keys are unique in each snapshot. An update gives two rows, before and after.
     """
     values = [c for c in new.columns if c not in keys]
-    pack = lambda df, name: df.select(*keys, F.struct(*values).alias(name))
-    pairs = pack(old, "_old").join(pack(new, "_new"), list(keys), "full_outer")
+    before = old.select(*keys, F.struct(*values).alias("_old"))
+    after = new.select(*keys, F.struct(*values).alias("_new"))
+    pairs = before.join(after, list(keys), "full_outer")
     old_row, new_row = F.col("_old"), F.col("_new")
-    change = lambda kind, row: F.struct(F.lit(kind).alias("kind"), row.alias("row"))
+
+    def change(kind: str, row: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), row.alias("row"))
+
     changes = (
         F.when(old_row.isNull(), F.array(change(INSERT, new_row)))
         .when(new_row.isNull(), F.array(change(DELETE, old_row)))
@@ -54,8 +60,10 @@ def apply_changes(old: DataFrame, changes: DataFrame, keys: Sequence[str]) -> Da
     return kept.unionByName(current.select(old.columns))
 
 
-def read_changes(feed: DataFrame, since: datetime) -> DataFrame:
-    """Feed rows committed at `since` or later."""
+def read_changes(feed: DataFrame, since: datetime | None = None, as_of: datetime | None = None) -> DataFrame:
+    """Feed rows committed at `since` or later, or in the week before `as_of`."""
+    if since is None:
+        since = (as_of or datetime.now()) - timedelta(days=FEED_DAYS)
     return feed.filter(F.col("_commit_timestamp") >= F.lit(since).cast("timestamp"))
 
 

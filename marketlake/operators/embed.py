@@ -42,6 +42,11 @@ def embed_corpus(
     return embedded.withColumn("embed_ok", F.exists("embedding", lambda x: x != 0))
 
 
+def laid_out(index: DataFrame) -> DataFrame:
+    """Rows of each file in filter order, so that a search by type or ticker skips row groups."""
+    return index.sortWithinPartitions("doc_type", "ticker", "doc_id")
+
+
 def documents_to_embed(corpus: DataFrame, index: DataFrame) -> DataFrame:
     """Documents of a new corpus that the index lacks or holds with another text.
 

@@ -68,13 +68,9 @@ def price_history(bars: DataFrame, start: date, end: date, ticker: str | None =
 def _newest_two(bars: DataFrame) -> DataFrame:
     """Newest bar per ticker with the close of the bar before it."""
     newest = first_per_key(bars, ["ticker"], [F.desc("snapshot_date")], limit=2)
-    latest = lambda c: F.max_by(c, "snapshot_date").alias(c)
     return newest.groupBy("ticker").agg(
         F.max("snapshot_date").alias("price_date"),
-        latest("close_price"),
-        latest("high_price"),
-        latest("low_price"),
-        latest("volume"),
+        *[F.max_by(c, "snapshot_date").alias(c) for c in ("close_price", "high_price", "low_price", "volume")],
         F.when(F.count("*") == 2, F.min_by("close_price", "snapshot_date")).alias("previous_close"),
     )
 
@@ -126,13 +122,11 @@ def dashboard_quote(bars: DataFrame, companies: DataFrame) -> DataFrame:
         _double("high_price").alias("day_high"),
         _double("low_price").alias("day_low"),
     )
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    figures = ("price", "change", "change_pct", "volume", "day_high", "day_low", "market_cap")
     return (
         _with_change(quotes)
         .join(facts, "ticker", "left")
-        .select("ticker", *[zero(c) for c in (
-            "price", "change", "change_pct", "volume", "day_high", "day_low", "market_cap"
-        )])
+        .select("ticker", *[F.coalesce(c, F.lit(0)).alias(c) for c in figures])
     )
 
 
@@ -227,8 +221,10 @@ def company_fundamentals(profiles: DataFrame, bars: DataFrame, as_of: date) -> D
         F.max("high_price").cast("double").alias("high_52_weeks"),
         F.min("low_price").cast("double").alias("low_52_weeks"),
     )
-    landed = set(profiles.columns)
-    ratio = lambda c: F.col(c) if c in landed else F.lit(None).cast("double")
+
+    def ratio(name: str) -> Column:
+        return F.col(name) if name in profiles.columns else F.lit(None).cast("double")
+
     return profiles.join(extremes, "ticker", "left").select(
         "ticker",
         F.coalesce("name", "ticker").alias("name"),

@@ -30,5 +30,10 @@ def route_messages(messages: DataFrame) -> DataFrame:
     })
 
 
+def answer_prices(routed: DataFrame, quotes: DataFrame) -> DataFrame:
+    """Price questions with the quote of their ticker; unknown tickers get no figures."""
+    return routed.filter(F.col("intent") == "price").join(quotes, "ticker", "left")
+
+
 def intent_counts(routed: DataFrame) -> DataFrame:
     return routed.groupBy("intent").agg(F.count("*").alias("messages"))

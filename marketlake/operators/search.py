@@ -178,6 +178,14 @@ def with_documents(found: DataFrame, corpus: DataFrame, columns: Sequence[str],
     return facts.join(F.broadcast(found) if small else found, "doc_id")
 
 
+def top_k_documents(
+    corpus: DataFrame, queries: DataFrame, columns: Sequence[str], k: int = RESULTS
+) -> DataFrame:
+    """`top_k` with the named document columns."""
+    found, bound = _top_k_and_bound(corpus, queries, k)
+    return with_documents(found, corpus, columns, bound)
+
+
 def semantic_search(
     index: DataFrame,
     questions: DataFrame,
@@ -194,8 +202,7 @@ def semantic_search(
     """
     corpus = index.filter(search_filter(doc_type, ticker))
     queries = embed(questions.select("query_id", "text"), encoder, dim, output="query_vector")
-    found, bound = _top_k_and_bound(corpus, queries, k)
-    return with_documents(found, corpus, ["doc_type", "ticker", "title", "text"], bound)
+    return top_k_documents(corpus, queries, ["doc_type", "ticker", "title", "text"], k)
 
 
 def search_news(index: DataFrame, questions: DataFrame, encoder: Encoder, dim: int, ticker: str | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.operators.changefeed import CURRENT_ROWS, INSERT
@@ -54,21 +54,24 @@ def _facts(calls: DataFrame, mutations: DataFrame) -> DataFrame:
     A call is one `tool` and one `ticker` fact, a mutation one fact of its operation. Calls
     are read once; a busy user or day is spread over tools and tickers.
     """
+
+    def fact(kind: str, value: str) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.col(value).alias("value"))
+
     call = calls.filter(F.col("_change_type").isin(*CURRENT_ROWS))
-    fact = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
     call_facts = call.select(
         F.to_date("timestamp").alias("date"),
         "user_id",
         F.col("success").cast("int").alias("success"),
         "_commit_timestamp",
-        F.explode(F.array(fact("tool", F.col("tool_name")), fact("ticker", F.col("ticker")))).alias("fact"),
+        F.explode(F.array(fact("tool", "tool_name"), fact("ticker", "ticker"))).alias("fact"),
     )
     mutation_facts = mutations.filter(F.col("_change_type") == INSERT).select(
         F.to_date("timestamp").alias("date"),
         "user_id",
         F.lit(0).alias("success"),
         "_commit_timestamp",
-        fact("operation", F.col("operation")).alias("fact"),
+        fact("operation", "operation").alias("fact"),
     )
     return (
         call_facts.unionByName(mutation_facts)
@@ -85,8 +88,13 @@ def daily_usage_stats(calls: DataFrame, mutations: DataFrame) -> DataFrame:
     """One row per day and user with calls, outcomes, mutations and the favourite tool."""
     kind, value, rows = F.col("kind"), F.col("value"), F.col("rows")
     tool = kind == "tool"
-    total = lambda keep, what: F.coalesce(F.sum(F.when(keep, what)), F.lit(0))
-    operation = lambda name: (kind == "operation") & (value == name)
+
+    def total(keep: Column, what: Column) -> Column:
+        return F.coalesce(F.sum(F.when(keep, what)), F.lit(0))
+
+    def operation(name: str) -> Column:
+        return (kind == "operation") & (value == name)
+
     calls_made, calls_good = total(tool, rows), total(tool, F.col("successes"))
     stats = _facts(calls, mutations).groupBy("date", "user_id").agg(
         calls_made.alias("total_tool_calls"),

@@ -87,7 +87,7 @@ def _corpus(spark, folder) -> DataFrame:
 
 def _text_index(spark, folder) -> DataFrame:
     """The embedded corpus as a stored table: search reads it twice, embedding runs once."""
-    return materialize(embed.embed_corpus(_corpus(spark, folder)), "text_embeddings")
+    return materialize(embed.laid_out(embed.embed_corpus(_corpus(spark, folder))), "text_embeddings")
 
 
 def _as_doubles(df: DataFrame) -> DataFrame:
@@ -283,8 +283,7 @@ def knn_batch(spark, folder):
 def knn_by_type(spark, folder):
     index = sample_tables.vector_index(spark, folder)
     profiles = index.filter(search.search_filter(doc_type=corpus.COMPANY_PROFILE))
-    found = search.top_k(profiles, _label_queries(index))
-    return search.with_documents(found, profiles, ["doc_type", "ticker"], bound=0)
+    return search.top_k_documents(profiles, _label_queries(index), ["doc_type", "ticker"])
 
 
 @_query
@@ -416,8 +415,7 @@ def notes_get(spark, folder):
 
 @_query
 def cdf_read(spark, folder):
-    since = datetime(2024, 1, 24)  # a week before the end of the log
-    return changefeed.read_changes(sample_tables.tool_call_feed(spark, folder), since)
+    return changefeed.read_changes(sample_tables.tool_call_feed(spark, folder), as_of=EVENTS_AS_OF)
 
 
 @_query

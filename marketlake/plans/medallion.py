@@ -32,8 +32,6 @@ def run_medallion(
 ) -> dict[str, int]:
     """Write bronze and silver tables; returns the rows written to each."""
     tables.create_database(spark, database)
-    name = lambda table: f"{database}.{table}"
-    read = lambda table: spark.table(name(table))
     bronze = {
         "bronze_prices": landing.bronze_prices(landed.prices, as_of.date(), tickers=tickers),
         "bronze_companies": landing.bronze_companies(landed.companies, tickers),
@@ -42,15 +40,15 @@ def run_medallion(
     written = {}
     for table, rows in bronze.items():
         if not rows.isEmpty():
-            written[table] = tables.overwrite(rows, name(table))
+            written[table] = tables.overwrite(rows, f"{database}.{table}")
     transforms = {
         "silver_prices": ("bronze_prices", lambda df: silver.clean_prices(df, price_order)),
         "silver_companies": ("bronze_companies", lambda df: silver.clean_companies(df, as_of, company_order)),
         "silver_news": ("bronze_news", lambda df: silver.clean_news(df, as_of)),
     }
     for table, (source, transform) in transforms.items():
-        if spark.catalog.tableExists(name(source)):
-            written[table] = tables.overwrite(transform(read(source)), name(table))
+        if spark.catalog.tableExists(f"{database}.{source}"):
+            written[table] = tables.overwrite(transform(spark.table(f"{database}.{source}")), f"{database}.{table}")
     return written
 
 
@@ -65,6 +63,5 @@ def run_embedding(
     corpus = documents.text_corpus(
         spark.table(f"{database}.silver_news"), spark.table(f"{database}.silver_companies")
     )
-    return tables.overwrite(
-        embed.embed_corpus(corpus, encoder, dim, max_chars), f"{database}.text_embeddings"
-    )
+    index = embed.laid_out(embed.embed_corpus(corpus, encoder, dim, max_chars))
+    return tables.overwrite(index, f"{database}.text_embeddings")

@@ -39,11 +39,10 @@ def landed_prices(
 ) -> DataFrame:
     """One bar per line item; `until` is the first day left out."""
     lines = table(spark, folder, "lineitem")
-    bound = lambda day: (day if isinstance(day, Column) else F.lit(day)).cast("timestamp_ntz")
     if since is not None:
-        lines = lines.filter(F.col("l_shipdate") >= bound(since))
+        lines = lines.filter(F.col("l_shipdate") >= F.lit(since).cast("timestamp_ntz"))
     if until is not None:
-        lines = lines.filter(F.col("l_shipdate") < bound(until))
+        lines = lines.filter(F.col("l_shipdate") < F.lit(until).cast("timestamp_ntz"))
     suppliers = table(spark, folder, "supplier").select("s_suppkey", F.upper("s_name").alias("ticker"))
     price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
     return lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey).select(
@@ -93,10 +92,9 @@ def landed_companies(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     landings = F.explode(F.array(F.lit(1), F.lit(2))).alias("landing")
-    missing = lambda c: F.when(F.col("landing") == 2, F.col(c)).alias(c)
-    return full.select("*", landings).select(
-        *[missing(c) if c in ("marketCap", "description", "industry") else c for c in full.columns], "landing"
-    )
+    second = F.col("landing") == 2
+    late = ("marketCap", "description", "industry")
+    return full.select("*", landings).withColumns({c: F.when(second, F.col(c)) for c in late})
 
 
 def landed_news(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.schemas import DECLARED_TABLES, PARTITION_COLUMNS
+
 
 def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
@@ -21,6 +23,13 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, partition
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{partitions}")
 
 
+def create_declared_tables(spark: SparkSession, database: str) -> None:
+    """Every declared table, empty where it does not exist."""
+    create_database(spark, database)
+    for name, schema in DECLARED_TABLES.items():
+        create_table(spark, f"{database}.{name}", schema, PARTITION_COLUMNS.get(name, ()))
+
+
 def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Rows written, counted by the write itself instead of by a second run."""
     seen = Observation(f"rows-{uuid.uuid4().hex}")

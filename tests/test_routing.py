@@ -15,4 +15,8 @@ def test_messages(spark, rows):
         ("price", None, "AAPL?"), ("price", None, "TSLA"), ("price", None, "I"), ("help", None, None),
         ("help", None, None), ("help", None, None), ("search", "the price of AAPL", None), ("price", None, "NVDA"),
     ]
+    quotes = spark.createDataFrame([("TSLA", 5.0)], "ticker string, price double")
+    assert rows(routing.answer_prices(routed, quotes), "ticker", "price") == [
+        ("AAPL?", None), ("I", None), ("NVDA", None), ("TSLA", 5.0),
+    ]
     assert rows(routing.intent_counts(routed)) == [("help", 3), ("price", 4), ("search", 5)]

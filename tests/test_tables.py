@@ -5,6 +5,7 @@ import pytest
 from marketlake.plans.medallion import Landed, run_embedding, run_medallion
 from marketlake.schemas import (
     AGENT_TOOL_CALLS, BRONZE_COMPANIES, BRONZE_NEWS, BRONZE_PRICES, DAILY_USAGE_STATS,
+    DECLARED_TABLES,
 )
 from marketlake.session import work_root
 from marketlake.sources import tables
@@ -42,6 +43,14 @@ def test_declared_tables(spark, database):
     assert spark.table(calls).dtypes == [(f.name, f.dataType.simpleString()) for f in AGENT_TOOL_CALLS]
 
 
+def test_all_declared_tables(spark, database):
+    for _ in range(2):
+        tables.create_declared_tables(spark, database)
+    names = {t.name for t in spark.catalog.listTables(database)}
+    assert names == set(DECLARED_TABLES)
+    assert spark.table(f"{database}.analysis_reports").schema["tickers"].dataType.simpleString() == "array<string>"
+
+
 def test_only_touched_partitions_are_replaced(spark, database, tmp_path, rows):
     name = f"{database}.daily_usage_stats"
     tables.create_table(spark, name, DAILY_USAGE_STATS, ["date"])
