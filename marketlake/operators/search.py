@@ -47,7 +47,7 @@ def search_filter(doc_type: str | None = None, ticker: str | None = None) -> Col
     return predicate
 
 
-def _score_block(ids: list, vectors: np.ndarray, k: int, schema: pa.Schema):
+def _batch_scorer(ids: list, vectors: np.ndarray, k: int, schema: pa.Schema):
     """Batch function: the k best rows of a batch for every query of the block.
 
     One matrix product scores the batch. Rows are put in id order first, so among equal
@@ -87,7 +87,7 @@ def _score_block(ids: list, vectors: np.ndarray, k: int, schema: pa.Schema):
     return best
 
 
-def _search_block(corpus: DataFrame, queries: list, id_type: T.DataType, k: int) -> DataFrame:
+def score_block(corpus: DataFrame, queries: list, id_type: T.DataType, k: int) -> DataFrame:
     ids = [q["query_id"] for q in queries]
     vectors = np.array([q["query_vector"] for q in queries], dtype=float)
     doc_type = corpus.schema["doc_id"].dataType
@@ -97,7 +97,7 @@ def _search_block(corpus: DataFrame, queries: list, id_type: T.DataType, k: int)
         T.StructField("score", T.DoubleType()),
     ])
     arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in result])
-    return corpus.select("doc_id", "embedding").mapInArrow(_score_block(ids, vectors, k, arrow), result)
+    return corpus.select("doc_id", "embedding").mapInArrow(_batch_scorer(ids, vectors, k, arrow), result)
 
 
 def top_k(corpus: DataFrame, queries: DataFrame, k: int = RESULTS) -> DataFrame:
@@ -122,9 +122,9 @@ def _top_k_and_bound(corpus: DataFrame, queries: DataFrame, k: int) -> tuple[Dat
         nothing = corpus.select(
             F.lit(None).cast(id_type).alias("query_id"), "doc_id", F.lit(None).cast("double").alias("score")
         ).limit(0)
-        return _rank(nothing, k), 0
+        return rank_results(nothing, k), 0
     if len(first) <= QUERY_BLOCK:
-        return _rank(_search_block(corpus, first, id_type, k), k), k * len(first)
+        return rank_results(score_block(corpus, first, id_type, k), k), k * len(first)
     del first
     asked = queries.count()
     blocks = math.ceil(asked / (QUERY_BLOCK // 2))
@@ -136,11 +136,11 @@ def _top_k_and_bound(corpus: DataFrame, queries: DataFrame, k: int) -> tuple[Dat
     for block in range(blocks):
         part = numbered.filter(F.col("_block") == block).collect()
         if part:
-            _rank(_search_block(corpus, part, id_type, k), k).write.mode("append").parquet(target)
+            rank_results(score_block(corpus, part, id_type, k), k).write.mode("append").parquet(target)
     return spark.read.parquet(target), k * asked
 
 
-def _rank(scored: DataFrame, k: int) -> DataFrame:
+def rank_results(scored: DataFrame, k: int) -> DataFrame:
     order = [F.desc_nulls_last("score"), F.asc("doc_id")]
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(*order))
     return scored.withColumn("rank", place).filter(F.col("rank") <= k)

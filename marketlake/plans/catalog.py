@@ -19,6 +19,7 @@ from marketlake.operators import (
     search,
     silver,
     usage,
+    vector_index,
     watchlists,
 )
 from marketlake.plans.usage_rollup import UsagePaths, read_daily_stats, run_usage_rollup
@@ -38,6 +39,7 @@ EVENTS_HALFWAY = datetime(2024, 1, 16)
 # Dimensions of the encoder and of the sample vectors.
 DIM = embed.DEFAULT_ENCODER.dim
 SAMPLE_DIM = 64
+INDEX_CLUSTERS = 16
 ENCODER = embed.DEFAULT_ENCODER
 
 _REGISTERED: dict[str, Query] = {}
@@ -279,6 +281,14 @@ def knn_batch(spark, folder):
     return search.top_k(index, _label_queries(index))
 
 
+@_query
+def knn_indexed(spark, folder):
+    """The same as `knn_batch`, from an index that skips clusters."""
+    vectors = sample_tables.vector_index(spark, folder)
+    index = vector_index.build_index(vectors, fresh_path(spark, "vector-index"), INDEX_CLUSTERS)
+    return vector_index.search_index(spark, index, _label_queries(vectors))
+
+
 @_query
 def knn_by_type(spark, folder):
     index = sample_tables.vector_index(spark, folder)

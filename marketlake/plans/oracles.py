@@ -311,6 +311,7 @@ QUALIFY rank <= 5"""
 
 _STATEMENTS["knn_topk"] = f"SELECT doc_id, score, rank FROM ({_nearest('overall_query')})"
 _STATEMENTS["knn_batch"] = f"SELECT query_id, doc_id, score, rank FROM ({_nearest('label_queries')})"
+_STATEMENTS["knn_indexed"] = _STATEMENTS["knn_batch"]
 _STATEMENTS["knn_by_type"] = f"""
 SELECT query_id, doc_id, score, rank, doc_type, ticker
 FROM ({_nearest('label_queries', "doc_type = 'company_profile'")})"""
