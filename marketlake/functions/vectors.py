@@ -102,6 +102,18 @@ def encode_column(text: Column, encoder: Encoder, dim: int) -> Column:
     return embed(text)
 
 
+def unit_column(vector: Column, dim: int) -> Column:
+    """Vectors scaled to length one, as doubles; null where there is no direction."""
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def scale(batch: pa.Array) -> pa.Array:
+        rows = unit_rows(matrix(batch, dim))
+        missing = pa.array(np.isnan(rows[:, 0]))
+        return pc.if_else(missing, pa.scalar(None, pa.list_(pa.float64())), list_array(rows))
+
+    return scale(vector)
+
+
 def cosine_column(left: Column, right: Column, dim: int) -> Column:
     """Cosine of two vector columns, row by row; null where a vector has no direction."""
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.functions.vectors import SCORE_DIGITS, matrix, unit_rows
+from marketlake.functions.vectors import SCORE_DIGITS, matrix, unit_column, unit_rows
 from marketlake.operators.search import QUERY_BLOCK, RESULTS, rank_results, score_block, top_k
 
 # Rows the centres are learned from. They only steer how much a search can skip; every
@@ -43,12 +43,11 @@ class ClusteredIndex:
         return table.filter(F.col("cluster").isin(clusters))
 
 
-def learn_centres(corpus: DataFrame, rows: int, clusters: int, seed: int = 1) -> np.ndarray:
+def learn_centres(corpus: DataFrame, dim: int, rows: int, clusters: int, seed: int = 1) -> np.ndarray:
     """Cluster centres of the unit vectors."""
     share = min(1.0, TRAINING_ROWS / max(rows, 1))
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    unit = F.transform("embedding", lambda x: x / norm)
-    training = corpus.sample(share, seed).filter(norm > 0).select(array_to_vector(unit).alias("features"))
+    unit = corpus.sample(share, seed).select(unit_column(F.col("embedding"), dim).alias("unit"))
+    training = unit.filter(F.col("unit").isNotNull()).select(array_to_vector("unit").alias("features"))
     model = KMeans(k=clusters, seed=seed, initMode="random", maxIter=5).fit(training)
     return np.array(model.clusterCenters())
 
@@ -73,10 +72,10 @@ def assigned(corpus: DataFrame, centres: np.ndarray) -> DataFrame:
     return corpus.withColumn("_near", nearest("embedding")).select(*corpus.columns, "_near.*")
 
 
-def build_index(corpus: DataFrame, path: str, clusters: int) -> ClusteredIndex:
+def build_index(corpus: DataFrame, path: str, dim: int, clusters: int) -> ClusteredIndex:
     """Write the corpus (doc_id, embedding, ...) by cluster, and measure the clusters."""
     spark = corpus.sparkSession
-    centres = learn_centres(corpus, corpus.count(), clusters)
+    centres = learn_centres(corpus, dim, corpus.count(), clusters)
     near = assigned(corpus, centres)
     near.hint("rebalance", "cluster").write.partitionBy("cluster").parquet(path)
     table = spark.read.schema(near.schema).parquet(path)

@@ -285,7 +285,8 @@ def knn_batch(spark, folder):
 def knn_indexed(spark, folder):
     """The same as `knn_batch`, from an index that skips clusters."""
     vectors = sample_tables.vector_index(spark, folder)
-    index = vector_index.build_index(vectors, fresh_path(spark, "vector-index"), INDEX_CLUSTERS)
+    path = fresh_path(spark, "vector-index")
+    index = vector_index.build_index(vectors, path, SAMPLE_DIM, INDEX_CLUSTERS)
     return vector_index.search_index(spark, index, _label_queries(vectors))
 
 

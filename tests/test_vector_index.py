@@ -28,7 +28,7 @@ def clustered():
 @pytest.mark.parametrize("k", [1, 5, 320, 1000])
 def test_same_result_as_the_full_search(spark, tmp_path, rows, clustered, k):
     corpus = frame(spark, clustered)
-    index = vector_index.build_index(corpus, str(tmp_path / "index"), clusters=8)
+    index = vector_index.build_index(corpus, str(tmp_path / "index"), dim=8, clusters=8)
     random = np.random.default_rng(9)
     asked = queries_of(spark, [clustered[0], *random.normal(size=(3, 8))])
     columns = ["query_id", "rank", "doc_id", "score"]
@@ -38,7 +38,7 @@ def test_same_result_as_the_full_search(spark, tmp_path, rows, clustered, k):
 
 
 def test_far_clusters_are_skipped(spark, tmp_path, clustered, monkeypatch):
-    index = vector_index.build_index(frame(spark, clustered), str(tmp_path / "index"), clusters=8)
+    index = vector_index.build_index(frame(spark, clustered), str(tmp_path / "index"), dim=8, clusters=8)
     read = []
     original = vector_index.ClusteredIndex.read
 
@@ -53,7 +53,7 @@ def test_far_clusters_are_skipped(spark, tmp_path, clustered, monkeypatch):
 
 def test_no_queries_and_queries_without_direction(spark, tmp_path, clustered):
     corpus = frame(spark, clustered)
-    index = vector_index.build_index(corpus, str(tmp_path / "index"), clusters=4)
+    index = vector_index.build_index(corpus, str(tmp_path / "index"), dim=8, clusters=4)
     asked = queries_of(spark, [np.zeros(8)])
     assert vector_index.search_index(spark, index, asked.limit(0)).count() == 0
     found = vector_index.search_index(spark, index, asked, 3).orderBy("rank").collect()
