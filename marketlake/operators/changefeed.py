@@ -8,6 +8,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.functions.moments import Moment, moment
+
 # The change types of a feed.
 INSERT = "insert"
 BEFORE_UPDATE = "update_preimage"
@@ -45,11 +47,11 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     )
 
 
-def committed(changes: DataFrame, version: int, at: datetime) -> DataFrame:
+def committed(changes: DataFrame, version: int, at: Moment) -> DataFrame:
     """Changes stamped with the commit that made them."""
     return changes.withColumns({
         "_commit_version": F.lit(version).cast("long"),
-        "_commit_timestamp": F.lit(at).cast("timestamp"),
+        "_commit_timestamp": moment(at),
     })
 
 
@@ -60,11 +62,11 @@ def apply_changes(old: DataFrame, changes: DataFrame, keys: Sequence[str]) -> Da
     return kept.unionByName(current.select(old.columns))
 
 
-def read_changes(feed: DataFrame, since: datetime | None = None, as_of: datetime | None = None) -> DataFrame:
+def read_changes(feed: DataFrame, since: Moment | None = None, as_of: datetime | None = None) -> DataFrame:
     """Feed rows committed at `since` or later, or in the week before `as_of`."""
     if since is None:
         since = (as_of or datetime.now()) - timedelta(days=FEED_DAYS)
-    return feed.filter(F.col("_commit_timestamp") >= F.lit(since).cast("timestamp"))
+    return feed.filter(F.col("_commit_timestamp") >= moment(since))
 
 
 def write_feed(feed: DataFrame, path: str, event_time: str) -> None:

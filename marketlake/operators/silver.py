@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.functions.moments import Moment, moment
 from marketlake.operators.keys import first_per_key
 from marketlake.schemas import PRICE
 
@@ -42,7 +41,7 @@ def clean_prices(bronze: DataFrame, latest: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def clean_companies(bronze: DataFrame, loaded_at: datetime | Column, latest: Sequence[str] = ()) -> DataFrame:
+def clean_companies(bronze: DataFrame, loaded_at: Moment, latest: Sequence[str] = ()) -> DataFrame:
     """One profile per ticker, the latest landed one."""
     typed = bronze.select(
         "ticker",
@@ -51,7 +50,7 @@ def clean_companies(bronze: DataFrame, loaded_at: datetime | Column, latest: Seq
         "industry",
         F.col("marketCap").try_cast("bigint").alias("market_cap"),
         F.col("description").alias("company_description"),
-        F.lit(loaded_at).cast("timestamp").alias("updated_at"),
+        moment(loaded_at).alias("updated_at"),
         *latest,
     )
     values = ["market_cap", "company_name", "sector", "industry", "company_description"]
@@ -59,7 +58,7 @@ def clean_companies(bronze: DataFrame, loaded_at: datetime | Column, latest: Seq
     return first_per_key(typed, ["ticker"], order).drop(*latest)
 
 
-def clean_news(bronze: DataFrame, loaded_at: datetime | Column) -> DataFrame:
+def clean_news(bronze: DataFrame, loaded_at: Moment) -> DataFrame:
     """Typed news; articles without a title are dropped, repeats are kept."""
     return bronze.filter(F.col("title").isNotNull()).select(
         "ticker",
@@ -69,5 +68,5 @@ def clean_news(bronze: DataFrame, loaded_at: datetime | Column) -> DataFrame:
         "url",
         "summary",
         F.col("content").alias("full_text"),
-        F.lit(loaded_at).cast("timestamp").alias("ingested_at"),
+        moment(loaded_at).alias("ingested_at"),
     )

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.functions.moments import Moment, moment
 from marketlake.operators.changefeed import CURRENT_ROWS, INSERT
 from marketlake.schemas import DAILY_USAGE_STATS
 
@@ -123,7 +124,10 @@ def usage_last_days(stats: DataFrame, as_of: date, days: int = DASHBOARD_DAYS) -
     )
 
 
-def high_water_mark(stats: DataFrame, as_of: datetime) -> datetime:
-    """Commit time up to which the rollup is filled; a first run looks back 30 days."""
-    fallback = F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {FIRST_RUN_DAYS} DAYS")
-    return stats.agg(F.coalesce(F.max("last_updated"), fallback).alias("mark")).first()["mark"]
+def high_water_mark(stats: DataFrame, as_of: Moment) -> str:
+    """Commit time up to which the rollup is filled; a first run looks back 30 days.
+
+    Given as text in the session's time zone.
+    """
+    fallback = moment(as_of) - F.expr(f"INTERVAL {FIRST_RUN_DAYS} DAYS")
+    return stats.agg(F.coalesce(F.max("last_updated"), fallback).cast("string").alias("mark")).first()["mark"]

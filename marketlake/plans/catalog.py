@@ -8,6 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.functions.moments import moment
 from marketlake.functions.vectors import SCORE_DIGITS
 from marketlake.operators import (
     changefeed,
@@ -253,7 +254,7 @@ def embed_incremental(spark, folder):
     """Articles up to the halfway time and bare profiles are indexed; the rest is new."""
     news, companies = _news(spark, folder), _companies(spark, folder)
     earlier = corpus.text_corpus(
-        news.filter(F.col("published_at") < F.lit(EVENTS_HALFWAY).cast("timestamp")),
+        news.filter(F.col("published_at") < moment(EVENTS_HALFWAY)),
         companies.withColumn("company_description", F.lit(None).cast("string")),
     )
     index = corpus.unique_documents(corpus.with_text_hash(earlier))
@@ -433,7 +434,7 @@ def cdf_read(spark, folder):
 def snapshot_diff(spark, folder):
     """Changes between the watchlists at the halfway time and at the end of the log."""
     log = sample_tables.watchlist_log(spark, folder)
-    earlier = log.filter(F.col("ts") < F.lit(EVENTS_HALFWAY).cast("timestamp"))
+    earlier = log.filter(F.col("ts") < moment(EVENTS_HALFWAY))
     order = ["ts", "event_id"]
     return changefeed.snapshot_diff(
         watchlists.replay(earlier, order), watchlists.replay(log, order), ["email", "list_name", "ticker"]
@@ -467,7 +468,7 @@ def usage_last_7_days(spark, folder):
 
 
 def _commit_half(spark, folder, paths: UsagePaths, first: bool) -> None:
-    halfway = F.col("_commit_timestamp") < F.lit(EVENTS_HALFWAY).cast("timestamp")
+    halfway = F.col("_commit_timestamp") < moment(EVENTS_HALFWAY)
     chosen = halfway if first else ~halfway
     feeds = {
         paths.calls: sample_tables.tool_call_feed(spark, folder),

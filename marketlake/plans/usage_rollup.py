@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.functions.moments import Moment
 from marketlake.operators import usage
 from marketlake.operators.changefeed import read_changes
 from marketlake.schemas import AGENT_TOOL_CALLS, DAILY_USAGE_STATS, WATCHLIST_MUTATIONS, feed_of
@@ -86,7 +87,7 @@ def touched_dates(*changes: DataFrame) -> list[date]:
     return [row["event_date"] for row in days.distinct().collect()]
 
 
-def run_usage_rollup(spark: SparkSession, paths: UsagePaths, as_of: datetime) -> dict[str, int | str]:
+def run_usage_rollup(spark: SparkSession, paths: UsagePaths, as_of: Moment) -> dict[str, int | str]:
     """One scheduled run."""
     mark = usage.high_water_mark(read_daily_stats(spark, paths), as_of)
     calls, mutations = read_feeds(spark, paths)

@@ -110,7 +110,7 @@ def test_first_run_looks_back_thirty_days(spark):
     from marketlake.schemas import DAILY_USAGE_STATS
 
     empty = spark.createDataFrame([], DAILY_USAGE_STATS)
-    assert usage.high_water_mark(empty, AS_OF) == datetime(2024, 1, 1)
+    assert usage.high_water_mark(empty, AS_OF) == "2024-01-01 00:00:00"
 
 
 @pytest.fixture
