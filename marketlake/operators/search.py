@@ -26,6 +26,7 @@ CHAT_RESULTS = 3
 RESULT_LENGTH = 500
 NEWS_SNIPPET = 200
 PROFILE_SNIPPET = 300
+NO_TITLE, NO_DATE, NO_TYPE = "No title", "N/A", "document"
 PANEL_QUESTION = "recent news and analysis for "
 
 # Queries scored in one pass over the corpus.
@@ -186,6 +187,16 @@ def top_k_documents(
     return with_documents(found, corpus, columns, bound)
 
 
+def as_results(found: DataFrame) -> DataFrame:
+    """Found documents as a reader sees them: clipped texts, a date, nothing missing."""
+    return found.withColumns({
+        "title": F.coalesce("title", F.lit(NO_TITLE)),
+        "text": clip_marked(F.col("text"), RESULT_LENGTH),
+        "date": F.coalesce("metadata_date", F.lit(NO_DATE)),
+        "doc_type": F.coalesce("doc_type", F.lit(NO_TYPE)),
+    }).drop("metadata_date")
+
+
 def semantic_search(
     index: DataFrame,
     questions: DataFrame,
@@ -202,7 +213,7 @@ def semantic_search(
     """
     corpus = index.filter(search_filter(doc_type, ticker))
     queries = embed(questions.select("query_id", "text"), encoder, dim, output="query_vector")
-    return top_k_documents(corpus, queries, ["doc_type", "ticker", "title", "text"], k)
+    return top_k_documents(corpus, queries, ["doc_type", "ticker", "title", "text", "metadata_date"], k)
 
 
 def search_news(index: DataFrame, questions: DataFrame, encoder: Encoder, dim: int, ticker: str | None = None) -> DataFrame:
@@ -227,8 +238,7 @@ def ticker_panel(index: DataFrame, tickers: DataFrame, encoder: Encoder, dim: in
     queries = embed(asked, encoder, dim, text="question", output="query_vector")
     found = top_k_per_ticker(index, queries, dim, k)
     bound = asked.count() * k
-    shown = with_documents(found, index, ["doc_type", "title", "text", "metadata_date"], bound)
-    return shown.withColumn("text", clip_marked(F.col("text"), RESULT_LENGTH))
+    return as_results(with_documents(found, index, ["doc_type", "title", "text", "metadata_date"], bound))
 
 
 def empty_index(spark, schema: T.StructType) -> DataFrame:

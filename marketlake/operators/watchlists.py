@@ -111,32 +111,31 @@ def add_to_watchlists(users: DataFrame, watchlists: DataFrame, tickers: DataFram
 
 class Removed(NamedTuple):
     tickers: DataFrame
-    gone: DataFrame  # watchlist_id, ticker, added_at
+    gone: DataFrame  # watchlist_id, ticker, added_at, email, list_name, requested_at
     outcomes: DataFrame  # email, list_name, ticker, rows_removed
 
 
 def remove_from_watchlists(users: DataFrame, watchlists: DataFrame, tickers: DataFrame, requests: DataFrame) -> Removed:
     """Remove a batch of tickers from all lists of the given name, and say what went."""
-    asked = requests.select(
-        "email", F.coalesce("list_name", F.lit(DEFAULT_LIST)).alias("list_name"),
-        ticker_of("ticker").alias("ticker"),
-    ).distinct()
+    request = ["email", "list_name", "ticker"]
+    asked = (
+        requests.withColumn("ticker", ticker_of("ticker"))
+        .withColumn("list_name", F.coalesce("list_name", F.lit(DEFAULT_LIST)))
+        .groupBy(*request)
+        .agg(F.min("requested_at").alias("requested_at"))
+    )
     asked = materialize(asked, "asked-removals")
     owners = users.select("email", "user_id").join(asked.select("email").distinct(), "email", "left_semi")
     known = asked.join(owners, "email").withColumnRenamed("list_name", "name")
     lists = watchlists.select("watchlist_id", "user_id", "name")
     doomed = lists.join(known, ["user_id", "name"]).select(
-        "watchlist_id", "ticker", "email", F.col("name").alias("list_name")
+        "watchlist_id", "ticker", "email", F.col("name").alias("list_name"), "requested_at"
     )
     doomed = materialize(doomed, "doomed")
     pair = ["watchlist_id", "ticker"]
-    gone = tickers.join(doomed.select(*pair), pair, "left_semi")
-    removed = (
-        doomed.join(gone.select(*pair), pair)
-        .groupBy("email", "list_name", "ticker")
-        .agg(F.count("*").alias("rows_removed"))
-    )
-    outcomes = asked.join(removed, ["email", "list_name", "ticker"], "left").withColumn(
+    gone = tickers.join(doomed, pair)
+    removed = gone.groupBy(*request).agg(F.count("*").alias("rows_removed"))
+    outcomes = asked.drop("requested_at").join(removed, request, "left").withColumn(
         "rows_removed", F.coalesce("rows_removed", F.lit(0))
     )
     return Removed(tickers.join(doomed.select(*pair), pair, "left_anti"), gone, outcomes)
@@ -177,13 +176,15 @@ def replay(log: DataFrame, order: Sequence[str]) -> DataFrame:
     )
 
 
-def mutation_log(new: DataFrame, source: str) -> DataFrame:
-    """Rows for the mutation log, from what an add really inserted."""
-    return new.select(
-        F.md5(F.concat_ws("\x1f", "watchlist_id", "ticker", "added_at")).alias("mutation_id"),
-        F.col("added_at").alias("timestamp"),
+def mutation_log(changed: DataFrame, operation: str, at: str, source: str) -> DataFrame:
+    """Rows for the mutation log, from the rows an add or a removal really changed."""
+    moment = F.unix_micros(at).cast("string")
+    identity = F.concat_ws("-", F.lit(operation), F.col("watchlist_id").cast("string"), F.col("ticker"), moment)
+    return changed.select(
+        F.md5(identity).alias("mutation_id"),
+        F.col(at).alias("timestamp"),
         F.col("email").alias("user_id"),
         "ticker",
-        F.lit(ADD).alias("operation"),
+        F.lit(operation).alias("operation"),
         F.lit(source).alias("source"),
     )

@@ -298,6 +298,15 @@ def knn_by_type(spark, folder):
     return search.top_k_documents(profiles, _label_queries(index), ["doc_type", "ticker"])
 
 
+@_query
+def knn_filtered(spark, folder):
+    """Both filters: per ticker, its news nearest to the mean of the ticker."""
+    index = sample_tables.vector_index(spark, folder)
+    queries = sample_tables.mean_vectors(index, "ticker").withColumnRenamed("query_id", "ticker")
+    news = index.filter(search.search_filter(doc_type=corpus.NEWS))
+    return search.top_k_per_ticker(news, queries, SAMPLE_DIM)
+
+
 @_query
 def knn_by_ticker(spark, folder):
     """Per ticker, its documents nearest to the mean of the ticker."""
@@ -317,6 +326,13 @@ def semantic_search(spark, folder):
     return found.select("query_id", "rank", "score", "doc_id", "doc_type", "ticker", "title", "text")
 
 
+@_query
+def search_results(spark, folder):
+    found = search.semantic_search(_text_index(spark, folder), _questions(spark, folder), ENCODER, DIM)
+    shown = search.as_results(found)
+    return shown.select("query_id", "rank", "score", "ticker", "title", "text", "date", "doc_type")
+
+
 @_query
 def search_news(spark, folder):
     index = _text_index(spark, folder)
@@ -335,7 +351,7 @@ def search_profiles(spark, folder):
 def news_for_ticker(spark, folder):
     index = _text_index(spark, folder)
     found = search.ticker_panel(index, sample_tables.tickers(spark, folder), ENCODER, DIM)
-    return found.select("ticker", "rank", "score", "doc_id", "doc_type", "title", "text", "metadata_date")
+    return found.select("ticker", "rank", "score", "doc_id", "doc_type", "title", "text", "date")
 
 
 # Watchlists and notes ---------------------------------------------------------------------
@@ -402,6 +418,14 @@ def watchlist_after_remove(spark, folder):
     return _removed(spark, folder).tickers
 
 
+@_query
+def watchlist_mutation_log(spark, folder):
+    """What a batch of additions and a batch of removals log."""
+    added = watchlists.mutation_log(_added(spark, folder).new, watchlists.ADD, "added_at", "agent")
+    removed = watchlists.mutation_log(_removed(spark, folder).gone, watchlists.REMOVE, "requested_at", "app")
+    return added.unionByName(removed)
+
+
 @_query
 def watchlist_replay(spark, folder):
     return watchlists.replay(sample_tables.watchlist_log(spark, folder), ["ts", "event_id"])

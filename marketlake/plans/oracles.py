@@ -315,6 +315,9 @@ _STATEMENTS["knn_indexed"] = _STATEMENTS["knn_batch"]
 _STATEMENTS["knn_by_type"] = f"""
 SELECT query_id, doc_id, score, rank, doc_type, ticker
 FROM ({_nearest('label_queries', "doc_type = 'company_profile'")})"""
+_STATEMENTS["knn_filtered"] = f"""
+SELECT ticker, doc_id, score, rank
+FROM ({_nearest('ticker_queries', "doc_type = 'news' AND ticker = query_id")})"""
 _STATEMENTS["knn_by_ticker"] = f"""
 SELECT ticker, doc_id, score, rank FROM ({_nearest('ticker_queries', 'ticker = query_id')})"""
 
@@ -346,6 +349,11 @@ QUALIFY rank <= {k}"""
 _STATEMENTS["semantic_search"] = f"""
 SELECT query_id, rank, score, doc_id, doc_type, ticker, title, text
 FROM ({_answers('questions', 'question_vectors', 'true')})"""
+_STATEMENTS["search_results"] = f"""
+SELECT query_id, rank, score, ticker, coalesce(title, 'No title') AS title,
+       CASE WHEN length(text) > 500 THEN substr(text, 1, 500) || '...' ELSE text END AS text,
+       coalesce(metadata_date, 'N/A') AS "date", doc_type
+FROM ({_answers('questions', 'question_vectors', 'true')})"""
 _STATEMENTS["search_news"] = f"""
 SELECT query_id, rank, score, doc_id, ticker, title, substr(text, 1, 200) || '...' AS snippet
 FROM ({_answers('questions', 'question_vectors', "doc_type = 'news'")})"""
@@ -354,7 +362,8 @@ SELECT query_id, rank, score, doc_id, ticker, title, substr(text, 1, 300) || '..
 FROM ({_answers('questions', 'question_vectors', "doc_type = 'company_profile'")})"""
 _STATEMENTS["news_for_ticker"] = f"""
 SELECT ticker, rank, score, doc_id, doc_type, title,
-       CASE WHEN length(text) > 500 THEN substr(text, 1, 500) || '...' ELSE text END AS text, metadata_date
+       CASE WHEN length(text) > 500 THEN substr(text, 1, 500) || '...' ELSE text END AS text,
+       coalesce(metadata_date, 'N/A') AS "date"
 FROM ({_answers('panel_questions', 'panel_vectors', 'd.ticker = query_id')})"""
 
 
@@ -418,10 +427,10 @@ WHERE NOT EXISTS (SELECT 1 FROM watchlist_tickers_t AS t
                   WHERE t.watchlist_id = lists_found.watchlist_id AND t.ticker = adds.ticker)"""
 
 _TABLES["removals"] = f"""
-SELECT DISTINCT {_CUSTOMER.format('user_id')} AS email,
+SELECT {_CUSTOMER.format('user_id')} AS email,
        ['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'][k % 5 + 1] AS list_name,
-       'SUPPLIER#' || lpad(CAST(k AS VARCHAR), 9, '0') AS ticker
-FROM events_t WHERE event_type = 'error'"""
+       'SUPPLIER#' || lpad(CAST(k AS VARCHAR), 9, '0') AS ticker, min(ts) AS requested_at
+FROM events_t WHERE event_type = 'error' GROUP BY ALL"""
 
 _TABLES["doomed"] = """
 SELECT r.*, watchlist_id
@@ -444,6 +453,15 @@ FROM removals LEFT JOIN (
   SELECT * FROM doomed JOIN watchlist_tickers_t USING (watchlist_id, ticker)
 ) USING (email, list_name, ticker)
 GROUP BY ALL"""
+_STATEMENTS["watchlist_mutation_log"] = """
+SELECT md5(concat_ws('-', operation, watchlist_id, ticker, epoch_us("timestamp"))) AS mutation_id,
+       "timestamp", email AS user_id, ticker, operation, source
+FROM (
+  SELECT watchlist_id, ticker, email, added_at AS "timestamp", 'add' AS operation, 'agent' AS source
+  FROM rows_added
+  UNION ALL
+  SELECT watchlist_id, ticker, email, requested_at, 'remove', 'app'
+  FROM doomed JOIN watchlist_tickers_t USING (watchlist_id, ticker))"""
 _STATEMENTS["watchlist_after_remove"] = """
 SELECT watchlist_id, ticker, added_at FROM watchlist_tickers_t
 WHERE (watchlist_id, ticker) NOT IN (SELECT (watchlist_id, ticker) FROM doomed)"""

@@ -96,8 +96,15 @@ def test_replay_lets_the_last_operation_decide(spark, rows):
 
 def test_mutation_log_holds_real_inserts_only(spark, base, rows):
     batch = requests(spark, ("a@x", None, "aapl", at(5)), ("a@x", None, "nvda", at(5)))
-    log = watchlists.mutation_log(watchlists.add_to_watchlists(*base, batch).new, "agent")
-    assert rows(log, "user_id", "ticker", "operation", "source") == [("a@x", "NVDA", "add", "agent")]
+    added = watchlists.add_to_watchlists(*base, batch)
+    log = watchlists.mutation_log(added.new, watchlists.ADD, "added_at", "agent")
+    assert rows(log, "user_id", "ticker", "operation", "source", "timestamp") == [
+        ("a@x", "NVDA", "add", "agent", at(5))
+    ]
+    gone = watchlists.remove_from_watchlists(*base, batch).gone
+    log = watchlists.mutation_log(gone, watchlists.REMOVE, "requested_at", "app")
+    assert rows(log, "user_id", "ticker", "operation") == [("a@x", "AAPL", "remove")] * 2
+    assert log.select("mutation_id").distinct().count() == 2
 
 
 def test_ids_are_dense_over_many_rows(spark):
