@@ -24,12 +24,18 @@ SCORE_DIGITS = 6
 _WORD = re.compile(r"[^\W_]+")
 
 
-@lru_cache(maxsize=1 << 18)
+# Words up to this length are remembered by a worker; longer ones are rare and large.
+_REMEMBERED_LENGTH = 32
+
+
 def _slot(word: str) -> tuple[int, int]:
-    digest = hashlib.md5(word.encode()).hexdigest()
+    digest = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
     return int(digest[:8], 16), 1 if digest[8] < "8" else -1
 
 
+_remembered_slot = lru_cache(maxsize=1 << 18)(_slot)
+
+
 @dataclass(frozen=True)
 class HashingEncoder:
     """Signed bag of hashed words, scaled to unit length.
@@ -44,7 +50,7 @@ class HashingEncoder:
         rows = np.zeros((len(texts), self.dim))
         for row, text in zip(rows, texts):
             for word, times in Counter(_WORD.findall(text.lower())).items():
-                place, sign = _slot(word)
+                place, sign = (_remembered_slot if len(word) <= _REMEMBERED_LENGTH else _slot)(word)
                 row[place % self.dim] += sign * times
         norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
         return np.divide(rows, norms, out=rows, where=norms > 0).astype(np.float32)

@@ -35,6 +35,8 @@ def build_session(app_name: str = "marketlake", master: str | None = None) -> Sp
         if master.startswith("local"):
             builder = (
                 builder.config("spark.sql.shuffle.partitions", "8")
+                # Small tables: let a stage keep several tasks.
+                .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
                 .config("spark.driver.memory", "8g")
                 .config("spark.ui.enabled", "false")
                 .config("spark.ui.showConsoleProgress", "false")
