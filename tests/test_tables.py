@@ -8,7 +8,7 @@ from marketlake.schemas import (
     DECLARED_TABLES,
 )
 from marketlake.session import work_root
-from marketlake.sources import tables
+from marketlake.sources import landing, tables
 
 
 @pytest.fixture
@@ -99,6 +99,26 @@ def test_whole_etl(spark, database, rows):
     assert rows(index, "doc_id", "text") == [("AA", "Alpha\n\nSector: s\n\nIndustry: i\n\nd"), ("AA | t", "t\n\nt\n\nc2")]
 
 
+def test_etl_from_landed_json(spark, database, tmp_path, rows):
+    def land(name, schema, *lines):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "part-0.json").write_text("\n".join(lines))
+        return landing.read_landed(spark, str(folder), schema)
+
+    landed = Landed(
+        land("prices", BRONZE_PRICES, '{"ticker": "AA", "date": "2024-01-02", "close": 1.5}', "{broken"),
+        land("companies", BRONZE_COMPANIES, '{"ticker": "AA", "name": "Alpha"}', '{"ticker": "AA", "marketCap": "x"}'),
+        land("news", BRONZE_NEWS, '{"ticker": "AA", "title": "t", "publishedAt": 5}'),
+    )
+    written = run_medallion(spark, database, landed, datetime(2024, 1, 31))
+    assert written == {
+        "bronze_prices": 1, "bronze_companies": 1, "bronze_news": 1,
+        "silver_prices": 1, "silver_companies": 1, "silver_news": 1,
+    }
+    assert rows(spark.table(f"{database}.bronze_companies"), "ticker", "name", "sector") == [("AA", "Alpha", "Unknown")]
+
+
 def test_nothing_landed_writes_nothing(spark, database):
     empty = Landed(*(spark.createDataFrame([], s) for s in (BRONZE_PRICES, BRONZE_COMPANIES, BRONZE_NEWS)))
     assert run_medallion(spark, database, empty, datetime(2024, 1, 31)) == {}
