@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import chat, exact_dedup, mixing, quality
-from marketlake.llm.text import BREAKS
+from marketlake.llm import chat, exact_dedup, langid, mixing, packing, quality, token_count, warc
+from marketlake.llm.text import remainder
 from marketlake.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,21 @@ def op1_quality_divergence(spark, folder):
     return found.select("doc_id", *quality.BASE_COLUMNS, "base_failed", "kept")
 
 
+@_query
+def op3_warc_revisits(spark, folder):
+    found = warc.round_trip(_table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query
+def op4_language_spans(spark, folder):
+    documents = _documents(spark, folder)
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    model = langid.fit(langid.sample(documents, ~held_out))
+    found = langid.identified(documents, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 @_query
 def op5_mixing_curriculum(spark, folder):
     """One row per document, sorted by the training position of its first copy."""
@@ -91,9 +106,23 @@ def op7_chat_formatting(spark, folder):
     )
 
 
-WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@_query
+def op8_best_fit_packing(spark, folder):
+    found = packing.packed(_documents(spark, folder), tokenizer_file("word_bpe_49k.json"))
+    return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@_query
+def op10_token_counts(spark, folder):
+    return token_count.token_counts(_documents(spark, folder), tokenizer_file("piece_bpe_32k.model"))
+
 
-# Placeholder kept together with the queries it mirrors.
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": """
         with d as (
