@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import chat, exact_dedup, langid, mixing, packing, quality, token_count, warc
+from marketlake.llm import chat, exact_dedup, langid, mixing, ngram_join, packing, quality, token_count, warc
 from marketlake.llm.text import remainder
 from marketlake.session import prepare
 
@@ -118,6 +118,12 @@ def op8_best_fit_packing(spark, folder):
     return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@_query
+def op9_ngram_jaccard(spark, folder):
+    found = ngram_join.joined(_documents(spark, folder))
+    return found.select("doc_id", F.col("size").alias("n_shingles"), "component_id")
+
+
 @_query
 def op10_token_counts(spark, folder):
     return token_count.token_counts(_documents(spark, folder), tokenizer_file("piece_bpe_32k.model"))
