@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import chat, exact_dedup, langid, mixing, ngram_join, packing, quality, token_count, warc
+from marketlake.llm import chat, exact_dedup, katz, langid, mixing, ngram_join, packing, quality, token_count, warc
 from marketlake.llm.text import remainder
 from marketlake.session import prepare
 
@@ -43,6 +43,11 @@ def op1_quality_divergence(spark, folder):
     return found.select("doc_id", *quality.BASE_COLUMNS, "base_failed", "kept")
 
 
+@_query
+def op2_katz_backoff(spark, folder):
+    return katz.scored(_documents(spark, folder), remainder(F.col("doc_id"), 10) == 0)
+
+
 @_query
 def op3_warc_revisits(spark, folder):
     found = warc.round_trip(_table(spark, folder, "pages"))
