@@ -76,6 +76,8 @@ _STARTS = [start for start, _ in SCRIPTS]
 SCRIPT_NAMES = sorted({name for _, name in SCRIPTS})
 LATIN = SCRIPT_NAMES.index("Latin")
 _SCRIPT_OF_RANGE = np.array([SCRIPT_NAMES.index(name) for _, name in SCRIPTS])
+# A document is accepted when one language holds this share of its letters.
+ACCEPTED_SHARE = 1 / 3
 RESULT = "doc_id long, lang_pred string, score double, spans array<struct<start:long,length:long,lang:string>>"
 
 
@@ -348,3 +350,16 @@ def identified(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY) -
             )
 
     return docs.select("doc_id", "text").mapInArrow(label, RESULT)
+
+
+def accepted(docs: DataFrame, model: Model, share: float = ACCEPTED_SHARE) -> DataFrame:
+    """The documents, with all their columns, in which some language prevails."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeler = Labeler(sent.value)
+        for batch in batches:
+            found = labeler.texts([text or "" for text in batch.column("text").to_pylist()])
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= share for lang, score, _ in found], pa.bool_()))
+
+    return docs.mapInArrow(choose, docs.schema)

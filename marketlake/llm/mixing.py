@@ -21,11 +21,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.llm.text import words
+from marketlake.operators.keys import attach
 from marketlake.session import materialize
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 CAP = 2
+POSITION_BYTES = 96
 
 # Relative weight at times from 0 to 1, straight in between, for the sources of each place in
 # WEIGHTS: the heavy ones fade, the light ones come in late.
@@ -36,6 +38,12 @@ SCHEDULES = (
 )
 
 
+def row_key(docs: DataFrame) -> Column:
+    """Names a document by its id, source and text."""
+    parts = [docs["doc_id"].cast("string"), docs["source"], docs["text"]]
+    return F.xxhash64(*[F.coalesce(p, F.lit("")) for p in parts], docs["source"].isNull())
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     """doc_id, source, size in words, order in the stream and a row number, written once."""
     return materialize(
@@ -45,6 +53,7 @@ def sizes(docs: DataFrame) -> DataFrame:
             F.size(words(F.col("text"))).cast("long").alias("size"),
             F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("turn"),
             F.monotonically_increasing_id().alias("row"),
+            row_key(docs).alias("key"),
         ),
         "document-sizes",
     )
@@ -166,7 +175,14 @@ def mixed(
 
     copies = F.array(*[position(F.lit(copy)) for copy in range(cap)])
     return known.select(
-        "doc_id", "source", "size", "source_size", "target", F.array_compact(copies).alias("positions"), "row"
+        "doc_id",
+        "source",
+        "size",
+        "source_size",
+        "target",
+        F.array_compact(copies).alias("positions"),
+        "row",
+        "key",
     )
 
 
@@ -177,8 +193,25 @@ def training_order(mix: DataFrame) -> DataFrame:
     return placed.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def copies(mix: DataFrame) -> DataFrame:
-    """One row per copy that the mix takes, range-sorted by its training position."""
-    rows = mix.select("*", F.posexplode("positions").alias("copy", "position")).drop("positions")
-    order = ["position", "doc_id", "copy", "row"]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+def mixture(docs: DataFrame, **settings) -> DataFrame:
+    """The training stream: documents with all their columns, once per copy the mix takes,
+    range-sorted by training position.
+
+    Positions travel to the texts; these move once, when they are sorted. Rows that repeat id,
+    source and text are one text with the positions of all.
+    """
+    taken = materialize(mixed(docs, **settings).filter(F.size("positions") > 0).select("key", "positions"), "mix")
+    repeated = materialize(taken.groupBy("key").count().filter("count > 1").select("key"), "mix-repeated")
+    named = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"), row_key(docs).alias("key"))
+    single = attach(
+        named,
+        taken.join(repeated, "key", "left_anti"),
+        ["key"],
+        spread=["_doc.doc_id"],
+        row_bytes=POSITION_BYTES,
+    ).select("_doc", "key", F.explode("positions").alias("position"))
+    same = named.join(repeated, "key", "left_semi").dropDuplicates(["key"])
+    places = taken.join(repeated, "key", "left_semi").select("key", F.explode("positions").alias("position"))
+    copies = single.unionByName(same.join(places, "key").select("_doc", "key", "position"))
+    ordered = copies.repartitionByRange("position", "key").sortWithinPartitions("position", "key")
+    return ordered.select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns])

@@ -36,7 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.components import components
@@ -57,13 +57,13 @@ ID_BYTES = 32
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _MIXER = np.uint64(0xBF58476D1CE4E5B9)
-SETS = "doc_id long, size long, class long, print binary, folds binary, block int, counts binary"
+SETS = "doc_id long, key long, size long, class long, print binary, folds binary, block int, counts binary"
 POSTINGS = "block int, columns binary, classes binary, sizes binary, places binary"
 CANDIDATES = "a long, b long, column long, class long, size long, place long"
 
 
 class Rows(NamedTuple):
-    """documents: doc_id, size, class; classes: class, size, folds, doc_id; frequencies per fold."""
+    """documents: doc_id, key, size, class; classes: class, size, folds, doc_id; frequencies per fold."""
 
     documents: DataFrame
     classes: DataFrame
@@ -107,30 +107,37 @@ def _frequency_fold(columns: np.ndarray) -> np.ndarray:
     return (columns % np.uint64(FREQUENCY_FOLDS)).astype(np.int64)
 
 
+def row_key(docs: DataFrame) -> Column:
+    """Names a document by its id and text."""
+    return F.xxhash64(F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.coalesce(docs["text"], F.lit("")))
+
+
 def rows(docs: DataFrame, n: int = N) -> Rows:
     """Sizes, classes and folded rows of all documents, and the frequencies of the columns."""
     names = [c.split(" ")[0] for c in SETS.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
+    types = [*[pa.int64()] * 4, pa.binary(), pa.binary(), pa.int32(), pa.binary()]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequencies = np.zeros(FREQUENCY_FOLDS, np.int64)
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), _texts(batch)):
+            ids = [batch.column(c).to_pylist() for c in ("doc_id", "key")]
+            for doc_id, key, text in zip(*ids, _texts(batch)):
                 columns = row(text, n)
                 print_ = fingerprint(columns)
                 folds = folded(columns).tobytes() if len(columns) else b""
-                out.append((doc_id, len(columns), class_of(print_), print_, folds, None, None))
+                out.append((doc_id, key, len(columns), class_of(print_), print_, folds, None, None))
                 np.add.at(frequencies, _frequency_fold(columns), 1)
             yield _batch(out, names, types)
         blocks = frequencies.reshape(FREQUENCY_BLOCKS, -1)
         yield _batch(
-            [(None, None, None, None, None, i, block.tobytes()) for i, block in enumerate(blocks) if block.any()],
+            [(*[None] * 6, i, block.tobytes()) for i, block in enumerate(blocks) if block.any()],
             names,
             types,
         )
 
-    read_ = materialize(docs.select("doc_id", "text").mapInArrow(read, SETS), "ngram-rows")
+    texts = docs.select("doc_id", row_key(docs).alias("key"), "text")
+    read_ = materialize(texts.mapInArrow(read, SETS), "ngram-rows")
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(counts, np.int64) for counts in part["counts"])
@@ -141,11 +148,11 @@ def rows(docs: DataFrame, n: int = N) -> Rows:
     # A table of fixed size.
     for found in counted.applyInPandas(add, "block int, counts binary").collect():
         frequencies[found["block"]] = np.frombuffer(found["counts"], np.int64)
-    documents = read_.filter("block is null").select("doc_id", "size", "class", "print", "folds")
+    documents = read_.filter("block is null").select("doc_id", "key", "size", "class", "folds")
     classes = documents.filter("size > 0").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.max("size").alias("size"), F.max("folds").alias("folds")
     )
-    return Rows(documents.select("doc_id", "size", "class"), classes, frequencies.reshape(-1))
+    return Rows(documents.drop("folds"), classes, frequencies.reshape(-1))
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
@@ -373,8 +380,8 @@ def linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, thresh
 
 
 def joined(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, size of its set, class, and component_id, the smallest id
-    of all documents that links reach."""
+    """One row per document: doc_id, key, size of its set, and component_id, the smallest id of
+    all documents that links reach; `kept` is true for one document of each component."""
     spark = docs.sparkSession
     blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     known = rows(docs, n)
@@ -395,8 +402,26 @@ def joined(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame
         roots = components(first.unionByName(second))
     named = known.documents.join(roots.withColumnRenamed("node", "class"), "class", "left")
     named = materialize(named.withColumn("root", F.coalesce("root", "class")), "ngram-components")
-    smallest = named.filter("size > 0").groupBy("root").agg(F.min("doc_id").alias("smallest"), F.count("*").alias("n"))
-    # Components of one document need no second look.
-    several = named.join(smallest.filter("n > 1").drop("n"), "root", "left")
-    component = F.when((F.col("size") > 0) & F.col("smallest").isNotNull(), F.col("smallest")).otherwise(F.col("doc_id"))
-    return several.select("doc_id", "size", "class", component.alias("component_id"))
+    first_of = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first")
+    found = named.filter("size > 0").groupBy("root").agg(first_of, F.count("*").alias("n"))
+    several = named.join(found.filter("n > 1").drop("n"), "root", "left")
+    alone = (F.col("size") == 0) | F.col("first").isNull()
+    return several.select(
+        "doc_id",
+        "key",
+        "size",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+        (alone | (F.col("key") == F.col("first.key"))).alias("kept"),
+    )
+
+
+def representatives(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:
+    """One document of each component, with all columns: that with the smallest id.
+
+    Rows that repeat both id and text stay together; exact duplicates are another operator's.
+    """
+    lost = joined(docs, n, threshold).filter("not kept").select(F.col("key").alias("_key")).distinct()
+    named = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"), row_key(docs).alias("_key"))
+    lost = materialize(lost.withColumn("_lost", F.lit(True)), "ngram-lost")
+    marked = attach(named, lost, ["_key"], spread=["_doc.doc_id"], row_bytes=ID_BYTES, how="left")
+    return marked.filter("_lost is null").select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns])
