@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import chat, exact_dedup, katz, langid, mixing, ngram_join, packing, quality, token_count, warc
+from marketlake.llm import chat, exact_dedup, katz, langid, mixing, ngram_join, oracles, packing, quality, token_count, warc
 from marketlake.llm.text import remainder
 from marketlake.session import prepare
 
@@ -79,7 +79,7 @@ def op5_mixing_curriculum(spark, folder):
 @_query
 def op6_exact_dedup(spark, folder):
     found = exact_dedup.decisions(_documents(spark, folder))
-    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
 # A conversation that tries to break the template.
@@ -134,18 +134,5 @@ def op10_token_counts(spark, folder):
     return token_count.token_counts(_documents(spark, folder), tokenizer_file("piece_bpe_32k.model"))
 
 
-ORACLES: dict[str, str] = {
-    "op6_exact_dedup": """
-        with d as (
-            select doc_id, sha256(coalesce(text, '')) as text_sha256 from documents
-        ), g as (
-            select text_sha256, max(doc_id) as keep_id, count(*) as group_size from d group by text_sha256
-        )
-        select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept, d.text_sha256
-        from d join g using (text_sha256)
-    """,
-}
-
-
 def statements() -> dict[str, str]:
-    return dict(ORACLES)
+    return oracles.statements()

@@ -34,7 +34,7 @@ class Groups(NamedTuple):
 
 
 def digest(text: Column) -> Column:
-    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
 def digest_table(docs: DataFrame) -> DataFrame:
@@ -45,8 +45,9 @@ def digest_table(docs: DataFrame) -> DataFrame:
 
 def duplicate_groups(digests: DataFrame, support: float = SUPPORT) -> Groups:
     spark = digests.sparkSession
-    candidates = digests.stat.freqItems(["digest"], support).first()[0] or []
-    named = spark.createDataFrame([(bytes(d),) for d in candidates], "digest binary")
+    # The summary compares values: a binary column would count every row as a value of its own.
+    candidates = sorted(set(digests.stat.freqItems(["digest"], support).first()[0] or []))
+    named = spark.createDataFrame([(d,) for d in candidates], "digest string")
     share = digests.count() * support
     verified = _winners(digests.join(F.broadcast(named), "digest")).filter(F.col("group_size") >= share)
     frequent = materialize(verified, "frequent-digests")
