@@ -92,7 +92,9 @@ LAYOUTS = (
 def shape(record: Column) -> Column:
     """The nested field paths of a record as one text: its schema without the scalar types."""
     schema = F.schema_of_variant(F.try_parse_json(record))
-    return F.regexp_replace(schema, r": (?!OBJECT<|ARRAY<)[A-Z][A-Z0-9_(), ]*?(?=[,>]|$)", "")
+    scalar = r"(?!OBJECT<|ARRAY<)[A-Z_]+(\([0-9,]+\))?"
+    without = F.regexp_replace(schema, ": " + scalar, "")
+    return F.regexp_replace(without, f"ARRAY<{scalar}>", "ARRAY<>")
 
 
 def declared_shape(paths: Sequence[str]) -> str:

@@ -1,9 +1,10 @@
 """Quality rules: how far a document's letters and words lie from those of a language.
 
 References are learned from the documents that name a language: the shares of character
-classes, and the shares of the language's most common words with one bin for all others. A
-document is held against the language whose words lie nearest to its own, by the
-Jensen-Shannon distance (base 2, from 0 to 1) of both histograms. A short text scatters widely
+classes, and the shares of the language's most common words with one bin for all others. Of
+the languages of which it has a common word, a document is held against the one whose word
+shares lie nearest to its own, by the Jensen-Shannon distance (base 2, from 0 to 1) of both
+histograms; a text without any common word is held against the nearest language. A short text scatters widely
 around its language, so the limits come down with the square root of its length, and below
 `MIN_WORDS` words nothing is said.
 
