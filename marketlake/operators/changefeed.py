@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.moments import Moment, moment
@@ -65,17 +65,42 @@ def apply_changes(old: DataFrame, changes: DataFrame, keys: Sequence[str]) -> Da
 def read_changes(feed: DataFrame, since: Moment | None = None, as_of: datetime | None = None) -> DataFrame:
     """Feed rows committed at `since` or later, or in the week before `as_of`."""
     if since is None:
-        since = (as_of or datetime.now()) - timedelta(days=FEED_DAYS)
+        if as_of is None:
+            raise ValueError("give a start, or the time the look-back ends")
+        since = as_of - timedelta(days=FEED_DAYS)
     return feed.filter(F.col("_commit_timestamp") >= moment(since))
 
 
+def commits_path(path: str) -> str:
+    """Folder of a stored feed's commits; readers of the feed itself pass it by."""
+    return f"{path}/_commits"
+
+
 def write_feed(feed: DataFrame, path: str, event_time: str) -> None:
     """Append a feed, partitioned by commit and by event date.
 
     A reader from a commit on, and a reader of given dates, each skip all other folders.
-    Rebalancing splits the files of a very large commit and merges small ones.
+    Rebalancing splits the files of a very large commit and merges small ones. The versions
+    and times of the commits are noted beside the feed, before its rows: a reader may find a
+    commit without rows, never rows without their commit.
     """
     dated = feed.withColumn("event_date", F.to_date(event_time))
+    commits = dated.groupBy("_commit_version").agg(F.max("_commit_timestamp").alias("committed_at"))
+    commits.coalesce(1).write.mode("append").parquet(commits_path(path))
     dated.hint("rebalance", "_commit_version", "event_date").write.mode("append").partitionBy(
         "_commit_version", "event_date"
     ).parquet(path)
+
+
+def first_version(spark: SparkSession, path: str, since: Moment) -> int | None:
+    """The first commit of a stored feed at `since` or later, found without reading the feed."""
+    commits = spark.read.schema("_commit_version long, committed_at timestamp").parquet(commits_path(path))
+    return commits.filter(F.col("committed_at") >= moment(since)).agg(F.min("_commit_version")).first()[0]
+
+
+def read_stored_changes(feed: DataFrame, path: str, since: Moment) -> DataFrame:
+    """`read_changes` over a stored feed: only folders of commits from `since` on are listed."""
+    version = first_version(feed.sparkSession, path, since)
+    if version is None:
+        return feed.limit(0)
+    return read_changes(feed.filter(F.col("_commit_version") >= version), since)

@@ -11,9 +11,8 @@ from marketlake.functions.moments import Moment, moment
 from marketlake.operators.changefeed import CURRENT_ROWS, INSERT
 from marketlake.schemas import DAILY_USAGE_STATS
 
-# Look-back of the dashboard and of a first run, in days.
+# Fixed value: look-back of the dashboard, in days.
 DASHBOARD_DAYS = 7
-FIRST_RUN_DAYS = 30
 
 
 def tool_calls_hourly(feed: DataFrame) -> DataFrame:
@@ -124,10 +123,11 @@ def usage_last_days(stats: DataFrame, as_of: date, days: int = DASHBOARD_DAYS) -
     )
 
 
-def high_water_mark(stats: DataFrame, as_of: Moment) -> str:
-    """Commit time up to which the rollup is filled; a first run looks back 30 days.
+def high_water_mark(stats: DataFrame, start: Moment | None = None) -> str | None:
+    """Commit time up to which the rollup is filled, or `start` while it is empty.
 
-    Given as text in the session's time zone.
+    Given as text in the session's time zone. It says how fresh the rollup is; which commits
+    a run takes is decided by the versions noted per feed.
     """
-    fallback = moment(as_of) - F.expr(f"INTERVAL {FIRST_RUN_DAYS} DAYS")
+    fallback = F.lit(None) if start is None else moment(start)
     return stats.agg(F.coalesce(F.max("last_updated"), fallback).cast("string").alias("mark")).first()["mark"]

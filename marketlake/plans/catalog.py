@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.moments import moment
@@ -491,15 +491,18 @@ def usage_last_7_days(spark, folder):
     return usage.usage_last_days(_daily_stats(spark, folder), EVENTS_AS_OF.date())
 
 
-def _commit_half(spark, folder, paths: UsagePaths, first: bool) -> None:
+def _commit_half(
+    spark, folder, paths: UsagePaths, first: bool, feeds=("calls", "mutations"), keep: Column | None = None
+) -> None:
     halfway = F.col("_commit_timestamp") < moment(EVENTS_HALFWAY)
-    chosen = halfway if first else ~halfway
-    feeds = {
-        paths.calls: sample_tables.tool_call_feed(spark, folder),
-        paths.mutations: sample_tables.watchlist_feed(spark, folder),
+    chosen = keep if keep is not None else halfway if first else ~halfway
+    sources = {
+        "calls": (paths.calls, sample_tables.tool_call_feed),
+        "mutations": (paths.mutations, sample_tables.watchlist_feed),
     }
-    for path, feed in feeds.items():
-        changefeed.write_feed(feed.filter(chosen), path, "timestamp")
+    for name in feeds:
+        path, feed = sources[name]
+        changefeed.write_feed(feed(spark, folder).filter(chosen), path, "timestamp")
 
 
 def _usage_paths(spark) -> UsagePaths:
@@ -513,7 +516,20 @@ def usage_incremental(spark, folder):
     paths = _usage_paths(spark)
     for first in (True, False):
         _commit_half(spark, folder, paths, first)
-        run_usage_rollup(spark, paths, EVENTS_AS_OF)
+        run_usage_rollup(spark, paths)
+    return read_daily_stats(spark, paths)
+
+
+@_query
+def usage_lagging_feed(spark, folder):
+    """Mutations arrive a run later than the calls of the same time."""
+    paths = _usage_paths(spark)
+    _commit_half(spark, folder, paths, True, feeds=("mutations",), keep=F.lit(False))
+    for first in (True, False):
+        _commit_half(spark, folder, paths, first, feeds=("calls",))
+        run_usage_rollup(spark, paths)
+        _commit_half(spark, folder, paths, first, feeds=("mutations",))
+    run_usage_rollup(spark, paths)
     return read_daily_stats(spark, paths)
 
 

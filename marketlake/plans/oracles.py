@@ -590,6 +590,7 @@ FROM current_mutations GROUP BY ALL"""
 _STATEMENTS["daily_usage_stats"] = "SELECT * FROM daily_stats"
 _STATEMENTS["usage_incremental"] = "SELECT * FROM daily_stats"
 _STATEMENTS["usage_stream"] = "SELECT * FROM daily_stats"
+_STATEMENTS["usage_lagging_feed"] = "SELECT * FROM daily_stats"
 
 _STATEMENTS["usage_last_7_days"] = """
 SELECT "date", CAST(sum(total_tool_calls) AS BIGINT) AS total_calls,

@@ -1,8 +1,9 @@
 """The usage job: new feed commits to rewritten rollup partitions.
 
 Feeds are written by `changefeed.write_feed`. A run finds the event dates touched by commits
-since the last run and recomputes those dates from the feed, so late events land in their
-old dates and a repeated run changes nothing.
+it has not seen and recomputes those dates from the feed, so late events land in their old
+dates and a repeated run changes nothing. What has been seen is a commit version per feed,
+noted when all rollups are written: a feed that lags behind the other loses nothing.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 
 from marketlake.functions.moments import Moment
 from marketlake.operators import usage
-from marketlake.operators.changefeed import read_changes
+from marketlake.operators.changefeed import read_stored_changes
 from marketlake.schemas import AGENT_TOOL_CALLS, DAILY_USAGE_STATS, WATCHLIST_MUTATIONS, feed_of
 from marketlake.sources.tables import overwrite_partitions
 
@@ -57,8 +58,7 @@ def refresh_dates(spark: SparkSession, paths: UsagePaths, dates: Sequence[date])
     """Recompute all rollups for the given event dates.
 
     Returns rows written, or the error, per rollup. One failing rollup does not stop the
-    other; the daily statistics carry the high-water mark and are only written when both
-    succeeded, so that a failed one is tried again by the next run.
+    other; the daily statistics are only written when both succeeded.
     """
     if not dates:
         return {}
@@ -87,8 +87,43 @@ def touched_dates(*changes: DataFrame) -> list[date]:
     return [row["event_date"] for row in days.distinct().collect()]
 
 
-def run_usage_rollup(spark: SparkSession, paths: UsagePaths, as_of: Moment) -> dict[str, int | str]:
-    """One scheduled run."""
-    mark = usage.high_water_mark(read_daily_stats(spark, paths), as_of)
-    calls, mutations = read_feeds(spark, paths)
-    return refresh_dates(spark, paths, touched_dates(read_changes(calls, mark), read_changes(mutations, mark)))
+_MARKS = T.StructType([T.StructField("feed", T.StringType()), T.StructField("version", T.LongType())])
+
+
+def _seen(spark: SparkSession, paths: UsagePaths) -> dict[str, int]:
+    """The last commit version taken up, per feed."""
+    path = paths.rollup("_marks")
+    spark.createDataFrame([], _MARKS).write.mode("ignore").parquet(path)
+    rows = spark.read.schema(_MARKS).parquet(path).groupBy("feed").agg(F.max("version").alias("version"))
+    return {row["feed"]: row["version"] for row in rows.collect()}
+
+
+def unseen_commits(feed: DataFrame, version: int | None) -> DataFrame:
+    """Feed rows of later commits; folders of earlier ones are not listed."""
+    return feed if version is None else feed.filter(F.col("_commit_version") > version)
+
+
+def run_usage_rollup(spark: SparkSession, paths: UsagePaths, since: Moment | None = None) -> dict[str, int | str]:
+    """One scheduled run over all commits that earlier runs have not taken up.
+
+    A first run starts at the beginning of the feeds, or at the commits of `since` if that is
+    given. Raises when a rollup failed; the next run tries its dates again.
+    """
+    seen = _seen(spark, paths)
+    new = {}
+    for name, path, feed in zip(("calls", "mutations"), (paths.calls, paths.mutations), read_feeds(spark, paths)):
+        if name not in seen and since is not None:
+            new[name] = read_stored_changes(feed, path, since)
+        else:
+            new[name] = unseen_commits(feed, seen.get(name))
+    # The newest version is taken before the dates: a commit that arrives meanwhile is new again.
+    newest = {name: feed.agg(F.max("_commit_version")).first()[0] for name, feed in new.items()}
+    upto = [new[name].filter(F.col("_commit_version") <= version) for name, version in newest.items() if version is not None]
+    report = refresh_dates(spark, paths, touched_dates(*upto)) if upto else {}
+    failed = {name: outcome for name, outcome in report.items() if isinstance(outcome, str)}
+    if failed:
+        raise RuntimeError(f"rollups failed: {failed}")
+    marks = [(name, version) for name, version in newest.items() if version is not None]
+    if marks:
+        spark.createDataFrame(marks, _MARKS).coalesce(1).write.mode("append").parquet(paths.rollup("_marks"))
+    return report

@@ -8,15 +8,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from marketlake.plans import catalog
+from marketlake.plans import catalog, oracles
 
 FOLDER = "/root/testdata/sf0.001"
 SOURCES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = catalog.registered()
+ORACLES = oracles.statements()
 
 
 @pytest.fixture(scope="module")

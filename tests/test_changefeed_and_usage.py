@@ -106,11 +106,12 @@ def test_daily_statistics(spark, rows):
     assert usage.usage_last_days(stats, date(2024, 1, 13)).count() == 0
 
 
-def test_first_run_looks_back_thirty_days(spark):
+def test_mark_of_an_empty_rollup_is_the_given_start(spark):
     from marketlake.schemas import DAILY_USAGE_STATS
 
     empty = spark.createDataFrame([], DAILY_USAGE_STATS)
-    assert usage.high_water_mark(empty, AS_OF) == "2024-01-01 00:00:00"
+    assert usage.high_water_mark(empty, AS_OF) == "2024-01-31 00:00:00"
+    assert usage.high_water_mark(empty) is None
 
 
 @pytest.fixture
@@ -143,10 +144,10 @@ def test_any_split_of_commits_gives_the_whole_rollup(spark, paths, rows, runs):
     for number, (day, events) in enumerate(COMMITS, 1):
         commit(spark, paths, day, events)
         if number in runs:
-            report = run_usage_rollup(spark, paths, AS_OF)
+            report = run_usage_rollup(spark, paths)
             assert all(isinstance(v, int) for v in report.values())
     assert rows(read_daily_stats(spark, paths)) == rows(whole(spark, paths))
-    run_usage_rollup(spark, paths, AS_OF)
+    run_usage_rollup(spark, paths)
     assert rows(read_daily_stats(spark, paths)) == rows(whole(spark, paths))
     hourly = spark.read.parquet(paths.rollup("hourly_tool_stats"))
     assert hourly.agg({"call_count": "sum"}).first()[0] == 6
@@ -156,10 +157,11 @@ def test_one_failing_rollup_leaves_the_other_and_is_retried(spark, paths, rows,
     commit(spark, paths, *COMMITS[0])
     with monkeypatch.context() as broken:
         broken.setattr(usage, "watchlist_daily", lambda feed: feed.selectExpr("raise_error('no') AS date"))
-        report = run_usage_rollup(spark, paths, AS_OF)
-    assert isinstance(report["hourly_tool_stats"], int) and isinstance(report["daily_watchlist_stats"], str)
-    assert "daily_usage_stats" not in report and read_daily_stats(spark, paths).count() == 0
-    run_usage_rollup(spark, paths, AS_OF)
+        with pytest.raises(RuntimeError, match="daily_watchlist_stats"):
+            run_usage_rollup(spark, paths)
+    assert spark.read.parquet(paths.rollup("hourly_tool_stats")).count() > 0
+    assert read_daily_stats(spark, paths).count() == 0
+    run_usage_rollup(spark, paths)
     assert rows(read_daily_stats(spark, paths)) == rows(whole(spark, paths))
 
 
@@ -182,3 +184,52 @@ def test_reading_dates_prunes_folders(spark, paths, capsys):
     calls.filter(calls.event_date.isin([date(2024, 1, 2)])).explain("formatted")
     plan = capsys.readouterr().out
     assert "PartitionFilters: [" in plan and "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def commit_feed(spark, paths, feed, day, number):
+    when = datetime(2024, 1, day, 23, 30)
+    if feed == "calls":
+        rows = calls_of(spark, call(number, datetime(2024, 1, day, 9), version=day, commit=when))
+        changefeed.write_feed(rows, paths.calls, "timestamp")
+    else:
+        full = [(str(number), datetime(2024, 1, day, 8), "u1", "AA", "add", "app", "insert", day, when)]
+        changefeed.write_feed(spark.createDataFrame(full, feed_of(WATCHLIST_MUTATIONS)), paths.mutations, "timestamp")
+
+
+def test_a_feed_that_lags_loses_nothing(spark, paths, rows):
+    commit_feed(spark, paths, "mutations", 1, 0)
+    commit_feed(spark, paths, "calls", 10, 1)
+    run_usage_rollup(spark, paths)
+    commit_feed(spark, paths, "mutations", 8, 2)
+    run_usage_rollup(spark, paths)
+    assert rows(read_daily_stats(spark, paths)) == rows(whole(spark, paths))
+    assert {r["date"] for r in read_daily_stats(spark, paths).collect()} == {date(2024, 1, d) for d in (1, 8, 10)}
+    assert run_usage_rollup(spark, paths) == {}
+
+
+def test_old_commits_are_taken_unless_a_start_is_given(spark, paths, tmp_path):
+    for day in (5, 20):
+        commit_feed(spark, paths, "calls", day, day)
+        commit_feed(spark, paths, "mutations", day, day)
+    later = UsagePaths(paths.calls, paths.mutations, str(tmp_path / "later"))
+    run_usage_rollup(spark, paths)
+    run_usage_rollup(spark, later, since=datetime(2024, 1, 10))
+    assert {r["date"].day for r in read_daily_stats(spark, paths).collect()} == {5, 20}
+    assert {r["date"].day for r in read_daily_stats(spark, later).collect()} == {20}
+
+
+def test_reading_commits_prunes_folders(spark, paths, capsys):
+    for day, events in COMMITS:
+        commit(spark, paths, day, events)
+    calls, _ = usage_rollup.read_feeds(spark, paths)
+    for part in (
+        usage_rollup.unseen_commits(calls, 3),
+        changefeed.read_stored_changes(calls, paths.calls, datetime(2024, 1, 4)),
+    ):
+        assert {r["_commit_version"] for r in part.collect()} == {4, 5}
+        part.explain("formatted")
+        filters = capsys.readouterr().out.split("PartitionFilters: [")[1].split("]")[0]
+        assert "_commit_version" in filters
+    assert changefeed.read_stored_changes(calls, paths.calls, datetime(2024, 2, 1)).count() == 0
+    with pytest.raises(ValueError):
+        changefeed.read_changes(calls)
