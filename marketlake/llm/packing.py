@@ -32,8 +32,11 @@ END_ID = 0
 CHUNK_PIECES = 20_000
 # Sequences with more room than this share are dealt anew in the second round.
 LOOSE_SHARE = 0.01
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 1_000_000
 LONGEST_REMEMBERED = 64
+MARKS = (b".", b",")
+# Fixed value: what tokens at the end of a word end with.
+WORD_END = "</w>"
 ID_BYTES = 4
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"row long, {PIECES}, sequence long, offset long"
@@ -44,7 +47,12 @@ PACKED = f"row long, {PIECES}, sequence long, offset long"
 
 class Encoder:
     """Token ids of texts as little-endian 32-bit numbers, for a tokenizer that drops white
-    space and lower-cases: words are encoded on their own and remembered."""
+    space and lower-cases: words are encoded on their own and remembered.
+
+    Words are kept in two halves: when the younger one is full, it becomes the older one, and
+    only words that still occur come back. New words of letters, with or without a mark behind,
+    are encoded many at a time and cut where a token ends a word.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -52,28 +60,57 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Strings that the tokenizer takes out of the raw text as one token.
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.ids: dict[bytes, bytes] = {}
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends_word[number] = token.endswith(WORD_END)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.marks = {mark: self._alone(mark) for mark in MARKS}
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         for text in texts:
             # Lower case saves memory; special strings count only as they are written.
             lowered = text.lower()
             words = (text if any(s in lowered for s in self.special) else lowered).split()
-            new = set(words).difference(self.ids)
-            if len(self.ids) + len(new) > REMEMBERED_WORDS:
-                self.ids.clear()
-                new = set(words)
+            new = set(words).difference(self.young)
             if new:
-                self._learn(list(new))
-            yield b"".join(map(self.ids.__getitem__, words))
+                self._learn(new)
+            yield b"".join(map(self.young.__getitem__, words))
             for word in new:
                 if len(word) > LONGEST_REMEMBERED:
-                    del self.ids[word]
-
-    def _learn(self, words: list[bytes]) -> None:
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        for word, found in zip(words, encoded):
-            self.ids[word] = np.array(found.ids, "<u4").tobytes()
+                    del self.young[word]
+            if len(self.young) > REMEMBERED_WORDS // 2:
+                self.old, self.young = self.young, {}
+
+    def _alone(self, word: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        young, old = self.young, self.old
+        stems: dict[bytes, list[tuple[bytes, bytes]]] = {}
+        for word in words:
+            known = old.get(word)
+            if known is not None:
+                young[word] = known
+                continue
+            stem, mark = (word[:-1], word[-1:]) if word[-1:] in MARKS else (word, b"")
+            # Lower case may split a letter in two characters, one of them no letter.
+            if stem.decode().isalpha() and stem.decode().lower().isalpha():
+                stems.setdefault(stem, []).append((word, mark))
+            else:
+                young[word] = self._alone(word)
+        for stem, ids in zip(stems, self._letters(list(stems))):
+            for word, mark in stems[stem]:
+                young[word] = ids + self.marks[mark] if mark else ids
+
+    def _letters(self, words: list[bytes]) -> list[bytes]:
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids, "<u4")
+        ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+        if len(ends) != len(words):
+            return [self._alone(word) for word in words]
+        return [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
 
 
 def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
