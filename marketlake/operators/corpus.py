@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.operators.keys import first_per_key
+from marketlake.session import materialize
 
 # Document types, labels and templates of the corpus.
 NEWS = "news"
@@ -84,6 +85,7 @@ def sentence_corpus(news: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def with_text(corpus: DataFrame) -> DataFrame:
+    """Documents that an encoder can say something about."""
     return corpus.filter(F.col("text").isNotNull() & (F.col("text") != ""))
 
 
@@ -94,7 +96,12 @@ def with_text_hash(corpus: DataFrame) -> DataFrame:
 def unique_documents(corpus: DataFrame) -> DataFrame:
     """One document per id, the newest; ties go to the greatest text hash.
 
-    `corpus` carries `text_hash`, so versions are compared without their texts.
+    `corpus` carries `text_hash`, so versions are compared without their texts. Ids that occur
+    more than once are found first and written down; only their rows move.
     """
     newest = [F.desc_nulls_last(c) for c in ("metadata_date", "text_hash", "metadata_source")]
-    return first_per_key(corpus, ["doc_id"], newest)
+    repeated = corpus.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    repeated = materialize(repeated, "repeated-ids")
+    alone = corpus.join(repeated, "doc_id", "left_anti")
+    several = corpus.join(repeated, "doc_id", "left_semi")
+    return alone.unionByName(first_per_key(several, ["doc_id"], newest))

@@ -31,15 +31,22 @@ def embed(
     return df.withColumn(output, encode_column(source, encoder, dim))
 
 
+def embedded(
+    documents: DataFrame, encoder: Encoder, dim: int, max_chars: int | None = None
+) -> DataFrame:
+    """Documents with a vector; `embed_ok` is false where it is zero."""
+    vectors = embed(documents, encoder, dim, max_chars=max_chars)
+    return vectors.withColumn("embed_ok", F.exists("embedding", lambda x: x != 0))
+
+
 def embed_corpus(
     corpus: DataFrame,
     encoder: Encoder = DEFAULT_ENCODER,
     dim: int = DEFAULT_ENCODER.dim,
     max_chars: int | None = None,
 ) -> DataFrame:
-    """One embedded document per id; `embed_ok` is false where the vector is zero."""
-    embedded = embed(unique_documents(with_text_hash(corpus)), encoder, dim, max_chars=max_chars)
-    return embedded.withColumn("embed_ok", F.exists("embedding", lambda x: x != 0))
+    """One embedded document per id."""
+    return embedded(unique_documents(with_text_hash(corpus)), encoder, dim, max_chars)
 
 
 def laid_out(index: DataFrame) -> DataFrame:
@@ -47,19 +54,31 @@ def laid_out(index: DataFrame) -> DataFrame:
     return index.sortWithinPartitions("doc_type", "ticker", "doc_id")
 
 
+FACTS = ("doc_type", "ticker", "title", "metadata_date", "metadata_source")
+
+
+def _newest(corpus: DataFrame) -> DataFrame:
+    """Facts and text hash of the newest version of every document, without the texts."""
+    return unique_documents(with_text_hash(corpus).drop("text"))
+
+
+def _usable(index: DataFrame) -> DataFrame:
+    """What need not be embedded again: the vector is there, or there is no text."""
+    return index.filter(F.col("embed_ok") | F.coalesce(F.col("text") == "", F.lit(True)))
+
+
 def documents_to_embed(corpus: DataFrame, index: DataFrame) -> DataFrame:
-    """Documents of a new corpus that the index lacks or holds with another text.
+    """Documents of a new corpus that the index lacks, holds with another text, or failed to
+    embed.
 
-    The newest version per id and its text hash are found and compared without the texts.
-    What changed is written down, so that Spark knows its size; while it is small it is
-    broadcast, and only texts of changed documents ever move.
+    They are found without the texts and written down, so that Spark knows their number; while
+    it is small it is broadcast, and only texts of changed documents ever move.
     """
-    hashed = with_text_hash(corpus)
-    newest = unique_documents(hashed.select("doc_id", "metadata_date", "text_hash", "metadata_source"))
-    known = index.select("doc_id", "text_hash")
-    changed = newest.select("doc_id", "text_hash").join(known, ["doc_id", "text_hash"], "left_anti")
-    changed = materialize(changed.select("doc_id"), "changed")
-    return unique_documents(hashed.join(changed, "doc_id", "left_semi"))
+    known = _usable(index).select("doc_id", "text_hash")
+    changed = _newest(corpus).select("doc_id", F.coalesce("text_hash", F.lit("")).alias("text_hash"))
+    known = known.withColumn("text_hash", F.coalesce("text_hash", F.lit("")))
+    changed = materialize(changed.join(known, ["doc_id", "text_hash"], "left_anti").select("doc_id"), "changed")
+    return unique_documents(with_text_hash(corpus.join(changed, "doc_id", "left_semi")))
 
 
 def embed_incremental(
@@ -67,14 +86,24 @@ def embed_incremental(
     index: DataFrame,
     encoder: Encoder = DEFAULT_ENCODER,
     dim: int = DEFAULT_ENCODER.dim,
+    max_chars: int | None = None,
 ) -> DataFrame:
-    """Embed only what changed since the index was written."""
-    return embed(documents_to_embed(corpus, index), encoder, dim)
+    """Embed only what changed since the index was written, or failed then."""
+    return embedded(documents_to_embed(corpus, index), encoder, dim, max_chars)
+
 
+def merge_index(index: DataFrame, fresh: DataFrame, corpus: DataFrame) -> DataFrame:
+    """The index after a refresh: fresh documents in, vanished ones gone, all facts current.
 
-def merge_index(index: DataFrame, embedded: DataFrame, corpus: DataFrame) -> DataFrame:
-    """The index after a refresh: changed documents replaced, vanished ones gone."""
-    kept = index.join(embedded.select("doc_id"), "doc_id", "left_anti").join(
-        corpus.select("doc_id"), "doc_id", "left_semi"
-    )
-    return kept.unionByName(embedded.select(kept.columns))
+    Rows that change are found without texts and vectors; the others stay where they are.
+    """
+    fresh = materialize(fresh, "fresh-documents")
+    facts = _newest(corpus).select("doc_id", F.struct(*FACTS).alias("_facts"))
+    held = index.select("doc_id", F.struct(*FACTS).alias("_held"))
+    moved = held.join(facts, "doc_id", "left").filter(~F.col("_held").eqNullSafe(F.col("_facts")))
+    moved = moved.select("doc_id", "_facts").join(fresh.select("doc_id"), "doc_id", "left_anti")
+    moved = materialize(moved, "moved-documents")
+    gone = moved.select("doc_id").unionByName(fresh.select("doc_id"))
+    kept = index.join(materialize(gone, "replaced-documents"), "doc_id", "left_anti")
+    told = index.drop(*FACTS).join(moved.filter("_facts is not null"), "doc_id").select("*", "_facts.*")
+    return kept.unionByName(told.select(kept.columns)).unionByName(fresh.select(kept.columns))

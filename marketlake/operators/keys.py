@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlake.session import materialize
 
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
-ID_BUCKET_DIGITS = 3
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int = 1) -> DataFrame:
@@ -24,6 +23,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], l
     return df.withColumn("_place", place).filter(F.col("_place") <= limit).drop("_place")
 
 
+def listed(spark: SparkSession, tickers: Sequence[str]) -> DataFrame:
+    """A list of tickers as a table: ticker in upper case, asked (its first place)."""
+    places = {ticker: place for place, ticker in reversed(list(enumerate(t.upper() for t in tickers)))}
+    return spark.createDataFrame(list(places.items()), "ticker string, asked long")
+
+
 def attach(
     big: DataFrame,
     small: DataFrame,
@@ -46,28 +51,15 @@ def attach(
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def assign_ids(new: DataFrame, key: Sequence[str], taken: DataFrame, id_column: str) -> DataFrame:
-    """Number new rows from the highest taken id upwards, without gaps.
+def assign_ids(new: DataFrame, order: Sequence[str], taken: DataFrame, id_column: str) -> DataFrame:
+    """Number new rows from the highest taken id upwards, without gaps, in the given order.
 
-    `key` must be unique in `new`. The new rows are written once, so counting and numbering
-    see the same rows. They are spread over 4096 buckets by a hash of the key and numbered
-    inside their bucket; the running total over the bucket counts (at most 4097 rows) gives
-    each bucket its start. No task sees more than one bucket.
+    `order` must be unique in `new`; time first gives later requests larger ids. The rows are
+    range-partitioned, so no task sees more than its share of them.
     """
-    bucket = F.substring(F.md5(F.concat_ws("\x1f", *key)), 1, ID_BUCKET_DIGITS)
-    spread = materialize(new.withColumn("_bucket", bucket), "new-rows")
-    counts = spread.groupBy("_bucket").agg(F.count("*").alias("_rows"))
-    highest = taken.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long").alias("_rows"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.unionByName(highest.withColumn("_bucket", F.lit(""))).select(
-        "_bucket", F.sum("_rows").over(before).alias("_start")
-    )
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*key))
-    return (
-        spread.join(F.broadcast(starts), "_bucket")
-        .withColumn(id_column, F.col("_start") + inside)
-        .drop("_bucket", "_start")
-    )
+    highest = taken.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long")).first()[0]
+    placed = global_position(new, [F.col(c) for c in order], id_column)
+    return placed.withColumn(id_column, F.col(id_column) + highest)
 
 
 def global_position(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:

@@ -25,10 +25,11 @@ class Saved(NamedTuple):
 def save_notes(users: DataFrame, notes: DataFrame, requests: DataFrame) -> Saved:
     """Store notes (request_id, email, ticker, note, requested_at); users are made as needed.
 
-    `request_id` is unique and decides the order of the new ids within their bucket.
+    `request_id` is unique; later requests get larger ids.
     """
     accounts = ensure_users(users, requests.select("email", "requested_at"))
-    numbered = assign_ids(requests.select("request_id"), ["request_id"], notes, "note_id")
+    times = requests.select("request_id", "requested_at")
+    numbered = assign_ids(times, ["requested_at", "request_id"], notes, "note_id").drop("requested_at")
     new = requests.join(numbered, "request_id").join(accounts.requested, "email").select(
         "note_id",
         "user_id",

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.text import clip, ticker_of
-from marketlake.operators.keys import first_per_key, global_position
+from marketlake.operators.keys import first_per_key, global_position, listed
 
 # Look-back months for a number of days, and shown lengths and texts.
 SHORT_DAYS, SHORT_MONTHS = 30, 1
@@ -19,8 +19,6 @@ DESCRIPTION_LENGTH = 500
 NOT_AVAILABLE = "N/A"
 NO_DESCRIPTION = "No description available"
 
-RANK_IN_ONE_TASK = 1000
-
 
 def summary_months(days: int) -> int:
     if days <= SHORT_DAYS:
@@ -180,18 +178,16 @@ def compare_tickers(
     """Tickers by change over the look-back months, best first.
 
     Equal changes keep the order of the request (by ticker when all are compared); tickers
-    without bars are left out. A long request, or none, is ranked over many tasks.
+    without bars are left out. The request is a table, whatever its length.
     """
     day = F.col("snapshot_date")
     window = bars.filter((day >= back_to(as_of, comparison_months(days))) & (day <= F.lit(as_of)))
-    order = [F.desc_nulls_last("change_pct")]
+    wanted = None
     if tickers is not None:
-        wanted = list(dict.fromkeys(t.upper() for t in tickers))
-        if len(wanted) < 2:
+        wanted = listed(bars.sparkSession, tickers)
+        if len(set(t.upper() for t in tickers)) < 2:
             raise ValueError("compare at least 2 tickers")
-        window = window.filter(F.col("ticker").isin(wanted))
-        order.append(F.array_position(F.array(*map(F.lit, wanted)), F.col("ticker")))
-    order.append(F.col("ticker"))
+        window = window.join(wanted, "ticker", "left_semi")
     changes = window.groupBy("ticker").agg(
         F.min_by("close_price", "snapshot_date").cast("double").alias("_first"),
         F.max_by("close_price", "snapshot_date").cast("double").alias("price"),
@@ -203,10 +199,8 @@ def compare_tickers(
         _percent(F.col("price") - F.col("_first"), F.col("_first")).alias("change_pct"),
         F.coalesce("market_cap", F.lit(0)).alias("market_cap"),
     )
-    if tickers is not None and len(wanted) <= RANK_IN_ONE_TASK:
-        ranked = compared.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
-    else:
-        ranked = global_position(compared, order, "rank")
+    asked = compared.withColumn("asked", F.lit(0)) if wanted is None else compared.join(wanted, "ticker")
+    ranked = global_position(asked, [F.desc_nulls_last("change_pct"), F.col("asked"), F.col("ticker")], "rank")
     return ranked.select("rank", "ticker", "price", "change_pct", "market_cap").orderBy("rank")
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.dataset as ds
+import pyarrow.fs as fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +18,8 @@ from marketlake.functions.text import clip_marked, snippet, ticker_of
 from marketlake.functions.vectors import Encoder, cosine_column, matrix, rounded, unit_rows
 from marketlake.operators.corpus import COMPANY_PROFILE, NEWS
 from marketlake.operators.embed import embed
-from marketlake.operators.keys import BROADCAST_BYTES, attach
-from marketlake.session import fresh_path
+from marketlake.operators.keys import attach
+from marketlake.session import fresh_path, materialize
 
 # Result counts, shown lengths and the text asked for a ticker's panel.
 RESULTS = 5
@@ -29,11 +30,9 @@ PROFILE_SNIPPET = 300
 NO_TITLE, NO_DATE, NO_TYPE = "No title", "N/A", "document"
 PANEL_QUESTION = "recent news and analysis for "
 
-# Queries scored in one pass over the corpus.
+# Queries, and rows, that meet in one matrix product; rows a task holds while it reads queries.
 QUERY_BLOCK = 1024
-
-# Generous size of a found row: two ids, score and rank.
-FOUND_ROW_BYTES = 1024
+HELD_ROWS = 1 << 18
 
 _BELOW_ANY_SCORE = -2.0
 
@@ -48,38 +47,71 @@ def search_filter(doc_type: str | None = None, ticker: str | None = None) -> Col
     return predicate
 
 
-def _batch_scorer(ids: list, vectors: np.ndarray, k: int, schema: pa.Schema):
-    """Batch function: the k best rows of a batch for every query of the block.
+def _query_blocks(stored: str, rows: int) -> Iterator[tuple[list, np.ndarray]]:
+    """Ids and unit vectors of the stored queries, a block at a time."""
+    files, path = (
+        fs.FileSystem.from_uri(stored) if "://" in stored or stored.startswith("file:") else (fs.LocalFileSystem(), stored)
+    )
+    queries = ds.dataset(path, filesystem=files, format="parquet", schema=None)
+    for batch in queries.to_batches(columns=["query_id", "query_vector"], batch_size=rows):
+        if batch.num_rows:
+            vectors = np.array([v for v in batch.column("query_vector").to_pylist()], dtype=float)
+            yield batch.column("query_id").to_pylist(), unit_rows(vectors)
+
+
+def _best_rows(scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best scores; among equal ones the first."""
+    if len(scores) <= k:
+        return np.arange(len(scores))
+    least = np.partition(scores, len(scores) - k)[len(scores) - k]
+    above = np.flatnonzero(scores > least)
+    return np.concatenate([above, np.flatnonzero(scores == least)[: k - len(above)]])
 
-    One matrix product scores the batch. Rows are put in id order first, so among equal
-    scores the smallest ids are taken. A row or query without direction scores null and
-    ranks after every number.
+
+def _scorer(stored: str, k: int, schema: pa.Schema, block_rows: int, held_rows: int):
+    """Task function: the k best rows of the task's part for every query.
+
+    The task holds its rows (at most `held_rows` at a time), reads the queries block by block
+    and keeps a running best over its batches; a batch and a block meet in one matrix product.
+    Rows are put in id order first, so among equal scores the smallest ids are taken. A row or
+    query without direction scores null and ranks after every number.
     """
-    queries = unit_rows(vectors)
-    dim = vectors.shape[1]
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            batch = batch.take(pc.sort_indices(batch.column(0)))
-            scores = rounded(unit_rows(matrix(batch.column(1), dim)) @ queries.T)
-            scores = np.nan_to_num(scores, nan=_BELOW_ANY_SCORE)
-            rows = []
-            for column in scores.T:
-                if len(column) <= k:
-                    rows.append(np.arange(len(column)))
-                    continue
-                least = np.partition(column, len(column) - k)[len(column) - k]
-                above = np.flatnonzero(column > least)
-                rows.append(np.concatenate([above, np.flatnonzero(column == least)[: k - len(above)]]))
-            which = np.repeat(np.arange(len(ids)), [len(r) for r in rows])
-            where = np.concatenate(rows)
-            found = scores[where, which]
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= held_rows:
+                yield from scored(held)
+                held = []
+        if held:
+            yield from scored(held)
+
+    def scored(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        if not table.num_rows:
+            return
+        table = table.take(pc.sort_indices(table.column(0))).combine_chunks()
+        ids, vectors = table.column(0), None
+        for query_ids, queries in _query_blocks(stored, block_rows):
+            if vectors is None:
+                vectors = unit_rows(matrix(table.column(1), queries.shape[1]))
+            running = [(np.zeros(0, np.int64), np.zeros(0))] * len(query_ids)
+            for first in range(0, len(vectors), block_rows):
+                scores = np.nan_to_num(rounded(vectors[first : first + block_rows] @ queries.T), nan=_BELOW_ANY_SCORE)
+                for q, column in enumerate(scores.T):
+                    rows = _best_rows(column, k)
+                    places = np.concatenate([running[q][0], first + rows])
+                    values = np.concatenate([running[q][1], column[rows]])
+                    chosen = _best_rows(values, k)
+                    running[q] = (places[chosen], values[chosen])
+            where = np.concatenate([places for places, _ in running])
+            found = np.concatenate([values for _, values in running])
+            which = np.repeat(np.arange(len(query_ids)), [len(places) for places, _ in running])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([ids[i] for i in which], type=schema.field(0).type),
-                    batch.column(0).take(pa.array(where)),
+                    pa.array([query_ids[i] for i in which], type=schema.field(0).type),
+                    ids.take(pa.array(where)).combine_chunks(),
                     pa.array(found, mask=found == _BELOW_ANY_SCORE),
                 ],
                 schema=schema,
@@ -88,57 +120,32 @@ def _batch_scorer(ids: list, vectors: np.ndarray, k: int, schema: pa.Schema):
     return best
 
 
-def score_block(corpus: DataFrame, queries: list, id_type: T.DataType, k: int) -> DataFrame:
-    ids = [q["query_id"] for q in queries]
-    vectors = np.array([q["query_vector"] for q in queries], dtype=float)
-    doc_type = corpus.schema["doc_id"].dataType
+def scored(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """At least the k best rows of every query, from one scan of the corpus.
+
+    The queries are written once to the shared folder, where every task reads them: neither
+    the driver nor a task ever holds more than a block of them.
+    """
+    spark = corpus.sparkSession
+    stored = fresh_path(spark, "queries")
+    queries.select("query_id", F.col("query_vector").cast("array<double>").alias("query_vector")).write.parquet(stored)
     result = T.StructType([
-        T.StructField("query_id", id_type),
-        T.StructField("doc_id", doc_type),
+        T.StructField("query_id", queries.schema["query_id"].dataType),
+        T.StructField("doc_id", corpus.schema["doc_id"].dataType),
         T.StructField("score", T.DoubleType()),
     ])
     arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in result])
-    return corpus.select("doc_id", "embedding").mapInArrow(_batch_scorer(ids, vectors, k, arrow), result)
+    function = _scorer(stored, k, arrow, QUERY_BLOCK, HELD_ROWS)
+    return corpus.select("doc_id", "embedding").mapInArrow(function, result)
 
 
 def top_k(corpus: DataFrame, queries: DataFrame, k: int = RESULTS) -> DataFrame:
     """The k nearest documents of every query, over the whole corpus.
 
-    `corpus` has (doc_id, embedding) with unique ids, `queries` (query_id, query_vector).
-    Queries go to the tasks in blocks of bounded size; each block is scored in one pass in
-    which a task emits at most k rows per query and batch, so the final ranking never sees
-    more than that. One block gives a lazy plan. More blocks run one after the other, each
-    writing its result to the work folder, and the driver holds one block at a time.
+    `corpus` has (doc_id, embedding) with unique ids, `queries` (query_id, query_vector) in any
+    number, with unique ids. The final ranking sees at most k rows per query and task.
     """
-    return _top_k_and_bound(corpus, queries, k)[0]
-
-
-def _top_k_and_bound(corpus: DataFrame, queries: DataFrame, k: int) -> tuple[DataFrame, int]:
-    """The result of `top_k` and the number of rows it can have at most."""
-    spark = corpus.sparkSession
-    queries = queries.select("query_id", "query_vector")
-    id_type = queries.schema["query_id"].dataType
-    first = queries.limit(QUERY_BLOCK + 1).collect()
-    if not first:
-        nothing = corpus.select(
-            F.lit(None).cast(id_type).alias("query_id"), "doc_id", F.lit(None).cast("double").alias("score")
-        ).limit(0)
-        return rank_results(nothing, k), 0
-    if len(first) <= QUERY_BLOCK:
-        return rank_results(score_block(corpus, first, id_type, k), k), k * len(first)
-    del first
-    asked = queries.count()
-    blocks = math.ceil(asked / (QUERY_BLOCK // 2))
-    stored = fresh_path(spark, "queries")
-    numbered = queries.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    numbered.write.partitionBy("_block").parquet(stored)
-    numbered = spark.read.schema(numbered.schema).parquet(stored)
-    target = fresh_path(spark, "scored")
-    for block in range(blocks):
-        part = numbered.filter(F.col("_block") == block).collect()
-        if part:
-            rank_results(score_block(corpus, part, id_type, k), k).write.mode("append").parquet(target)
-    return spark.read.parquet(target), k * asked
+    return rank_results(scored(corpus, queries, k), k)
 
 
 def rank_results(scored: DataFrame, k: int) -> DataFrame:
@@ -168,23 +175,21 @@ def top_k_per_ticker(corpus: DataFrame, queries: DataFrame, dim: int, k: int = R
     return scored.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
-def with_documents(found: DataFrame, corpus: DataFrame, columns: Sequence[str], bound: int) -> DataFrame:
+def with_documents(found: DataFrame, corpus: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fetch document columns for what was found; texts stay out of the scoring pass.
 
-    `bound` is the greatest number of rows `found` can have. Where that fits, the found
-    rows are broadcast and the corpus is read in place.
+    The found rows are written first: Spark then knows their size and broadcasts them while
+    they are small, so that texts stay in place.
     """
     facts = corpus.select("doc_id", *[c for c in columns if c not in found.columns])
-    small = bound * FOUND_ROW_BYTES <= BROADCAST_BYTES
-    return facts.join(F.broadcast(found) if small else found, "doc_id")
+    return facts.join(materialize(found, "found"), "doc_id")
 
 
 def top_k_documents(
     corpus: DataFrame, queries: DataFrame, columns: Sequence[str], k: int = RESULTS
 ) -> DataFrame:
     """`top_k` with the named document columns."""
-    found, bound = _top_k_and_bound(corpus, queries, k)
-    return with_documents(found, corpus, columns, bound)
+    return with_documents(top_k(corpus, queries, k), corpus, columns)
 
 
 def as_results(found: DataFrame) -> DataFrame:
@@ -216,6 +221,25 @@ def semantic_search(
     return top_k_documents(corpus, queries, ["doc_type", "ticker", "title", "text", "metadata_date"], k)
 
 
+def semantic_search_indexed(
+    spark,
+    index,
+    questions: DataFrame,
+    encoder: Encoder,
+    dim: int,
+    *,
+    doc_type: str | None = None,
+    ticker: str | None = None,
+    k: int = RESULTS,
+) -> DataFrame:
+    """`semantic_search` over a clustered index (`vector_index`) that keeps document columns."""
+    from marketlake.operators.vector_index import search_index
+
+    queries = embed(questions.select("query_id", "text"), encoder, dim, output="query_vector")
+    found = search_index(spark, index, queries, k, search_filter(doc_type, ticker))
+    return with_documents(found, index.table(spark), ["doc_type", "ticker", "title", "text", "metadata_date"])
+
+
 def search_news(index: DataFrame, questions: DataFrame, encoder: Encoder, dim: int, ticker: str | None = None) -> DataFrame:
     found = semantic_search(index, questions, encoder, dim, doc_type=NEWS, ticker=ticker)
     return found.withColumn("snippet", snippet(F.col("text"), NEWS_SNIPPET)).drop("text")
@@ -237,11 +261,4 @@ def ticker_panel(index: DataFrame, tickers: DataFrame, encoder: Encoder, dim: in
     asked = asked.withColumn("question", F.concat(F.lit(PANEL_QUESTION), "ticker"))
     queries = embed(asked, encoder, dim, text="question", output="query_vector")
     found = top_k_per_ticker(index, queries, dim, k)
-    bound = asked.count() * k
-    return as_results(with_documents(found, index, ["doc_type", "title", "text", "metadata_date"], bound))
-
-
-def empty_index(spark, schema: T.StructType) -> DataFrame:
-    """What a search over a missing index reads: no rows, the declared columns."""
-    return spark.createDataFrame([], schema)
-
+    return as_results(with_documents(found, index, ["doc_type", "title", "text", "metadata_date"]))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.moments import Moment, moment
@@ -41,6 +41,17 @@ def clean_prices(bronze: DataFrame, latest: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def newest_days(bronze: DataFrame, days: int) -> DataFrame:
+    """Bars of each ticker's last days, repeats included: what a quote needs to see.
+
+    Ranks are cut down inside the map tasks, so a long history is not moved.
+    """
+    day = F.col("date").try_cast("date")
+    place = F.dense_rank().over(Window.partitionBy("ticker").orderBy(F.desc("_day")))
+    dated = bronze.withColumn("_day", day).filter(F.col("_day").isNotNull())
+    return dated.withColumn("_place", place).filter(F.col("_place") <= days).drop("_day", "_place")
+
+
 def clean_companies(bronze: DataFrame, loaded_at: Moment, latest: Sequence[str] = ()) -> DataFrame:
     """One profile per ticker, the latest landed one."""
     typed = bronze.select(

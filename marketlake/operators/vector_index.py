@@ -15,16 +15,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.functions.vectors import SCORE_DIGITS, matrix, unit_column, unit_rows
-from marketlake.operators.search import QUERY_BLOCK, RESULTS, rank_results, score_block, top_k
+from marketlake.operators.search import RESULTS, rank_results, scored
+from marketlake.session import materialize
 
-# Rows the centres are learned from. They only steer how much a search can skip; every
-# document is assigned and searched.
-TRAINING_ROWS = 100_000
+# Documents per cluster aimed at; the number of clusters follows the corpus.
+CLUSTER_ROWS = 50_000
 NO_DIRECTION = -1
 
 _ASSIGNED = T.StructType([T.StructField("cluster", T.IntegerType()), T.StructField("distance", T.DoubleType())])
@@ -38,17 +38,20 @@ class ClusteredIndex:
     radii: np.ndarray  # per centre; -1 where a cluster has no member
     sizes: np.ndarray
 
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(self.path)
+
     def read(self, spark: SparkSession, clusters: list[int]) -> DataFrame:
-        table = spark.read.schema(self.schema).parquet(self.path)
-        return table.filter(F.col("cluster").isin(clusters))
+        return self.table(spark).filter(F.col("cluster").isin(clusters))
 
 
-def learn_centres(corpus: DataFrame, dim: int, rows: int, clusters: int, seed: int = 1) -> np.ndarray:
-    """Cluster centres of the unit vectors."""
-    share = min(1.0, TRAINING_ROWS / max(rows, 1))
-    unit = corpus.sample(share, seed).select(unit_column(F.col("embedding"), dim).alias("unit"))
+def learn_centres(corpus: DataFrame, dim: int, clusters: int, seed: int = 1) -> np.ndarray:
+    """Cluster centres of all unit vectors; none where there is no vector with a direction."""
+    unit = corpus.select(unit_column(F.col("embedding"), dim).alias("unit"))
     training = unit.filter(F.col("unit").isNotNull()).select(array_to_vector("unit").alias("features"))
-    model = KMeans(k=clusters, seed=seed, initMode="random", maxIter=5).fit(training)
+    if not training.take(1):
+        return np.zeros((1, dim))
+    model = KMeans(k=max(clusters, 2), seed=seed, initMode="random", maxIter=5).fit(training)
     return np.array(model.clusterCenters())
 
 
@@ -72,10 +75,12 @@ def assigned(corpus: DataFrame, centres: np.ndarray) -> DataFrame:
     return corpus.withColumn("_near", nearest("embedding")).select(*corpus.columns, "_near.*")
 
 
-def build_index(corpus: DataFrame, path: str, dim: int, clusters: int) -> ClusteredIndex:
+def build_index(corpus: DataFrame, path: str, dim: int, clusters: int | None = None) -> ClusteredIndex:
     """Write the corpus (doc_id, embedding, ...) by cluster, and measure the clusters."""
     spark = corpus.sparkSession
-    centres = learn_centres(corpus, dim, corpus.count(), clusters)
+    if clusters is None:
+        clusters = -(-corpus.count() // CLUSTER_ROWS)
+    centres = learn_centres(corpus, dim, clusters)
     near = assigned(corpus, centres)
     near.hint("rebalance", "cluster").write.partitionBy("cluster").parquet(path)
     table = spark.read.schema(near.schema).parquet(path)
@@ -86,48 +91,81 @@ def build_index(corpus: DataFrame, path: str, dim: int, clusters: int) -> Cluste
     return ClusteredIndex(path, near.schema, centres, radii, sizes)
 
 
-def _probes(index: ClusteredIndex, distances: np.ndarray, k: int) -> set[int]:
-    """For each query the nearest clusters that hold k documents between them."""
-    chosen: set[int] = set()
-    for row in distances:
-        order = np.argsort(row)
-        needed = np.searchsorted(np.cumsum(index.sizes[order]), k) + 1
-        chosen.update(int(c) for c in order[:needed] if index.sizes[c])
-    return chosen
+def _clusters(queries: DataFrame, function) -> set[int]:
+    """The clusters that any query names: at most as many as there are."""
+    named = queries.mapInArrow(function, "cluster int").distinct().collect()
+    return {row["cluster"] for row in named}
 
 
-def _open_clusters(index: ClusteredIndex, distances: np.ndarray, kth: np.ndarray) -> set[int]:
-    """Clusters that could hold a score of at least the k-th found, rounding allowed for."""
-    closest = np.maximum(distances - index.radii, 0)
-    best = 1 - closest**2 / 2 + 2 * 10.0**-SCORE_DIGITS
-    possible = (best >= kth[:, None]) & (index.sizes > 0)
-    return set(np.flatnonzero(possible.any(axis=0)).tolist())
+def _distances(index: ClusteredIndex, batch: pa.RecordBatch) -> np.ndarray:
+    """Distances of a batch's queries to the centres; NaN for queries without direction."""
+    dim = index.centres.shape[1]
+    unit = unit_rows(np.array(batch.column("query_vector").to_pylist(), dtype=float).reshape(-1, dim))
+    products = unit @ index.centres.T
+    return np.sqrt(np.maximum(1 + (index.centres**2).sum(axis=1) - 2 * products, 0))
+
 
+def _named(clusters: set[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(sorted(clusters), pa.int32())], names=["cluster"])
 
-def search_index(spark: SparkSession, index: ClusteredIndex, queries: DataFrame, k: int = RESULTS) -> DataFrame:
-    """The same result as `top_k` over the whole corpus, from the clusters that matter.
 
-    Meant for few queries at a time; more than one block of queries touch every cluster
-    anyway and go to `top_k`.
+def _nearest(index: ClusteredIndex, k: int):
+    """For each query the nearest clusters that hold k documents between them. One without
+    direction scores null everywhere: any documents do, those with the smallest ids."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen: set[int] = set()
+        for batch in batches:
+            for row in _distances(index, batch):
+                if np.isnan(row).any():
+                    chosen.update([*np.flatnonzero(index.sizes).tolist(), NO_DIRECTION])
+                    continue
+                order = np.argsort(row)
+                needed = np.searchsorted(np.cumsum(index.sizes[order]), k) + 1
+                chosen.update(int(c) for c in order[:needed] if index.sizes[c])
+        yield _named(chosen)
+
+    return choose
+
+
+def _still_open(index: ClusteredIndex):
+    """Clusters that could hold a score of at least the k-th found, rounding allowed for."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen: set[int] = set()
+        for batch in batches:
+            kth = batch.column("kth").to_numpy(zero_copy_only=False).astype(float)
+            closest = np.maximum(_distances(index, batch) - index.radii, 0)
+            best = 1 - closest**2 / 2 + 2 * 10.0**-SCORE_DIGITS
+            missing = np.isnan(kth)
+            possible = (missing[:, None] | (best >= kth[:, None])) & (index.sizes > 0)
+            chosen.update(np.flatnonzero(possible.any(axis=0)).tolist())
+            if missing.any():
+                chosen.add(NO_DIRECTION)
+        yield _named(chosen)
+
+    return choose
+
+
+def search_index(
+    spark: SparkSession, index: ClusteredIndex, queries: DataFrame, k: int = RESULTS, keep: Column | None = None
+) -> DataFrame:
+    """The same result as `top_k` over the corpus (or the rows to `keep`), from the clusters
+    that matter to any of the queries.
+
+    The driver sees numbers of clusters only. A filter may leave less than k documents in the
+    nearest clusters; then all clusters are still open.
     """
-    asked = queries.select("query_id", "query_vector").limit(QUERY_BLOCK + 1).collect()
-    dim = index.centres.shape[1]
-    unit = unit_rows(np.array([q["query_vector"] for q in asked], dtype=float).reshape(-1, dim))
-    if not asked or len(asked) > QUERY_BLOCK or np.isnan(unit).any():
-        everything = [*range(len(index.centres)), NO_DIRECTION]
-        return top_k(index.read(spark, everything), queries, k)
-    id_type = queries.schema["query_id"].dataType
-    distances = np.linalg.norm(unit[:, None, :] - index.centres[None, :, :], axis=2)
-    first = _probes(index, distances, k)
-    near = rank_results(score_block(index.read(spark, sorted(first)), asked, id_type, k), k).drop("rank")
-    found = near.collect()
-    kth = np.full(len(asked), -np.inf)
-    for place, query in enumerate(asked):
-        scores = sorted((r["score"] for r in found if r["query_id"] == query["query_id"]), reverse=True)
-        if len(scores) >= k:
-            kth[place] = scores[k - 1]
-    further = _open_clusters(index, distances, kth) - first
-    if np.isinf(kth).any():
-        further.add(NO_DIRECTION)
-    rest = score_block(index.read(spark, sorted(further)), asked, id_type, k)
-    return rank_results(spark.createDataFrame(found, near.schema).unionByName(rest), k)
+    asked = materialize(queries.select("query_id", F.col("query_vector").cast("array<double>").alias("query_vector")), "asked")
+    chosen = F.lit(True) if keep is None else keep
+    first = _clusters(asked, _nearest(index, k))
+    near = materialize(rank_results(scored(index.read(spark, sorted(first)).filter(chosen), asked, k), k).drop("rank"), "near")
+    found = near.groupBy("query_id").agg(F.min("score").alias("kth"), F.count("score").alias("n"))
+    worst = asked.join(found, "query_id", "left").select(
+        "query_vector", F.when(F.col("n") >= k, F.col("kth")).alias("kth")
+    )
+    further = _clusters(worst, _still_open(index)) - first
+    if not further:
+        return rank_results(near, k)
+    rest = scored(index.read(spark, sorted(further)).filter(chosen), asked, k)
+    return rank_results(near.unionByName(rest), k)

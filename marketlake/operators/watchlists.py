@@ -46,7 +46,7 @@ def ensure_users(users: DataFrame, requests: DataFrame) -> Accounts:
     asked = materialize(asked, "asked-users")
     known = users.select("email", "user_id").join(asked.select("email"), "email", "left_semi")
     known = materialize(known, "known-users")
-    new = assign_ids(asked.join(known, "email", "left_anti"), ["email"], users, "user_id")
+    new = assign_ids(asked.join(known, "email", "left_anti"), ["created_at", "email"], users, "user_id")
     new = new.withColumn("display_name", F.lit(None).cast("string")).select(users.columns)
     return Accounts(users.unionByName(new), known.unionByName(new.select("email", "user_id")))
 
@@ -72,7 +72,7 @@ def get_or_create_lists(watchlists: DataFrame, requests: DataFrame) -> Lists:
         .agg(F.min("watchlist_id").alias("watchlist_id"))
     )
     known = materialize(known, "known-lists")
-    new = assign_ids(asked.join(known, key, "left_anti"), key, watchlists, "watchlist_id")
+    new = assign_ids(asked.join(known, key, "left_anti"), ["created_at", *key], watchlists, "watchlist_id")
     requested = known.withColumn("created", F.lit(False)).unionByName(
         new.select(*key, "watchlist_id", F.lit(True).alias("created"))
     )

@@ -23,7 +23,9 @@ from marketlake.operators import (
     vector_index,
     watchlists,
 )
+from marketlake.plans import medallion
 from marketlake.plans.usage_rollup import UsagePaths, read_daily_stats, run_usage_rollup
+from marketlake.schemas import INDEX
 from marketlake.session import fresh_path, materialize, prepare
 from marketlake.sources import landing, sample_tables, tables
 from marketlake.streaming.usage_stream import start_usage_stream
@@ -41,6 +43,10 @@ EVENTS_HALFWAY = datetime(2024, 1, 16)
 DIM = embed.DEFAULT_ENCODER.dim
 SAMPLE_DIM = 64
 INDEX_CLUSTERS = 16
+# What the queries for one ticker and one user ask for.
+ONE_TICKER = "SUPPLIER#000000003"
+NOTES_TICKER = "SUPPLIER#000000007"
+ONE_EMAIL = "customer#000000007@example.com"
 ENCODER = embed.DEFAULT_ENCODER
 
 _REGISTERED: dict[str, Query] = {}
@@ -71,6 +77,11 @@ def _bars_back(spark, folder, months: int) -> DataFrame:
     return _bars(spark, folder, since=prices.back_to(PRICES_AS_OF, months))
 
 
+def _newest_bars(spark, folder) -> DataFrame:
+    landed = silver.newest_days(sample_tables.landed_prices(spark, folder), days=2)
+    return silver.clean_prices(landed, sample_tables.BAR_ORDER)
+
+
 def _profiles(spark, folder) -> DataFrame:
     return landing.bronze_companies(sample_tables.landed_companies(spark, folder))
 
@@ -182,12 +193,49 @@ def price_history(spark, folder):
 
 @_query
 def price_quote(spark, folder):
-    return prices.price_quote(_bars(spark, folder), _companies(spark, folder))
+    return prices.price_quote(_newest_bars(spark, folder), _companies(spark, folder))
 
 
 @_query
 def dashboard_quote(spark, folder):
-    return prices.dashboard_quote(_bars(spark, folder), _companies(spark, folder))
+    return prices.dashboard_quote(_newest_bars(spark, folder), _companies(spark, folder))
+
+
+def _snapshots(spark, folder) -> DataFrame:
+    """Provider snapshots: some carry their own change, some no current price."""
+    number = F.col("s_suppkey")
+    return sample_tables.table(spark, folder, "supplier").select(
+        F.upper("s_name").alias("ticker"),
+        F.when(number % 3 != 0, F.concat(F.lit("Company "), number.cast("string"))).alias("longName"),
+        F.when(number % 4 != 0, F.col("s_acctbal")).alias("currentPrice"),
+        (F.col("s_acctbal") + 1).alias("regularMarketPrice"),
+        F.when(number % 5 != 0, F.col("s_acctbal") - F.col("s_nationkey")).alias("previousClose"),
+        F.when(number % 2 == 0, F.lit(1.5)).alias("regularMarketChange"),
+        F.when(number % 2 == 0, F.lit(0.25)).alias("regularMarketChangePercent"),
+        number.cast("bigint").alias("volume"),
+        F.lit(None).cast("double").alias("dayHigh"),
+        F.col("s_acctbal").alias("dayLow"),
+        F.lit(None).cast("bigint").alias("marketCap"),
+    )
+
+
+@_query
+def quote_from_snapshot(spark, folder):
+    return prices.quote_from_snapshot(_snapshots(spark, folder))
+
+
+@_query
+def price_history_of_ticker(spark, folder):
+    start = F.date_sub(F.lit(PRICES_AS_OF), 90)
+    return prices.price_history(_bars(spark, folder, since=start), start, PRICES_AS_OF, ticker=ONE_TICKER.lower())
+
+
+@_query
+def compare_listed_tickers(spark, folder):
+    listed = ["supplier#000000007", "SUPPLIER#000000002", ONE_TICKER, "NOBODY", "supplier#000000002"]
+    return prices.compare_tickers(
+        _bars_back(spark, folder, 1), _companies(spark, folder), PRICES_AS_OF, days=30, tickers=listed
+    )
 
 
 @_query
@@ -238,6 +286,11 @@ def text_corpus(spark, folder):
     return _corpus(spark, folder)
 
 
+@_query
+def corpus_embeddable(spark, folder):
+    return corpus.with_text(_corpus(spark, folder)).select("doc_id", "doc_type", F.length("text").alias("chars"))
+
+
 @_query
 def corpus_sentence(spark, folder):
     return corpus.sentence_corpus(_news(spark, folder), _companies(spark, folder))
@@ -249,19 +302,53 @@ def embed_corpus(spark, folder):
     return embedded.select("doc_id", "doc_type", "ticker", "embed_ok", _spelled("embedding").alias("vector"))
 
 
+def _earlier_corpus(spark, folder) -> DataFrame:
+    """Articles up to the halfway time and bare profiles."""
+    return corpus.text_corpus(
+        _news(spark, folder).filter(F.col("published_at") < moment(EVENTS_HALFWAY)),
+        _companies(spark, folder).withColumn("company_description", F.lit(None).cast("string")),
+    )
+
+
 @_query
 def embed_incremental(spark, folder):
-    """Articles up to the halfway time and bare profiles are indexed; the rest is new."""
-    news, companies = _news(spark, folder), _companies(spark, folder)
-    earlier = corpus.text_corpus(
-        news.filter(F.col("published_at") < moment(EVENTS_HALFWAY)),
-        companies.withColumn("company_description", F.lit(None).cast("string")),
-    )
-    index = corpus.unique_documents(corpus.with_text_hash(earlier))
-    new = embed.embed_incremental(corpus.text_corpus(news, companies), index)
+    """What is new against an index of the earlier corpus."""
+    earlier = corpus.unique_documents(corpus.with_text_hash(_earlier_corpus(spark, folder)))
+    index = earlier.withColumn("embed_ok", F.lit(True))
+    new = embed.embed_incremental(_corpus(spark, folder), index)
     return new.select("doc_id", "text_hash", _spelled("embedding").alias("vector"))
 
 
+def _read_index(spark, path: str) -> DataFrame:
+    index = tables.read_version(spark, path, INDEX)
+    return index.select(
+        "doc_id", "doc_type", "ticker", "metadata_date", "metadata_source", "embed_ok",
+        _spelled("embedding").alias("vector"),
+    )
+
+
+@_query
+def index_refresh(spark, folder):
+    """An index of the earlier corpus, with other dates, brought up to date."""
+    path = fresh_path(spark, "index")
+    medallion.refresh_index(_earlier_corpus(spark, folder).withColumn("metadata_date", F.lit("1999")), path)
+    medallion.refresh_index(_corpus(spark, folder), path)
+    return _read_index(spark, path)
+
+
+def _failing(texts):
+    raise RuntimeError("no answer")
+
+
+@_query
+def index_retry(spark, folder):
+    """An index whose first embedding failed throughout, refreshed with a working encoder."""
+    path = fresh_path(spark, "index")
+    medallion.refresh_index(_corpus(spark, folder), path, _failing)
+    medallion.refresh_index(_corpus(spark, folder), path)
+    return _read_index(spark, path)
+
+
 def _label_queries(index: DataFrame) -> DataFrame:
     return sample_tables.mean_vectors(index, "label")
 
@@ -291,6 +378,14 @@ def knn_indexed(spark, folder):
     return vector_index.search_index(spark, index, _label_queries(vectors))
 
 
+@_query
+def knn_many_queries(spark, folder):
+    """Every vector of the index as a query."""
+    index = sample_tables.vector_index(spark, folder)
+    queries = index.select(F.col("doc_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    return search.top_k(index, queries, k=3)
+
+
 @_query
 def knn_by_type(spark, folder):
     index = sample_tables.vector_index(spark, folder)
@@ -326,6 +421,15 @@ def semantic_search(spark, folder):
     return found.select("query_id", "rank", "score", "doc_id", "doc_type", "ticker", "title", "text")
 
 
+@_query
+def semantic_search_indexed(spark, folder):
+    """The same as `semantic_search`, from a clustered index of the texts."""
+    path = fresh_path(spark, "text-index")
+    index = vector_index.build_index(_text_index(spark, folder), path, DIM, INDEX_CLUSTERS)
+    found = search.semantic_search_indexed(spark, index, _questions(spark, folder), ENCODER, DIM)
+    return found.select("query_id", "rank", "score", "doc_id", "doc_type", "ticker", "title", "text")
+
+
 @_query
 def search_results(spark, folder):
     found = search.semantic_search(_text_index(spark, folder), _questions(spark, folder), ENCODER, DIM)
@@ -340,6 +444,13 @@ def search_news(spark, folder):
     return found.select("query_id", "rank", "score", "doc_id", "ticker", "title", "snippet")
 
 
+@_query
+def search_news_of_ticker(spark, folder):
+    index = _text_index(spark, folder)
+    found = search.search_news(index, _questions(spark, folder), ENCODER, DIM, ticker=NOTES_TICKER.lower())
+    return found.select("query_id", "rank", "score", "doc_id", "ticker", "title", "snippet")
+
+
 @_query
 def search_profiles(spark, folder):
     index = _text_index(spark, folder)
@@ -382,6 +493,11 @@ def watchlist_get(spark, folder):
     return watchlists.get_watchlists(*_relations(spark, folder))
 
 
+@_query
+def watchlist_of_user(spark, folder):
+    return watchlists.get_watchlists(*_relations(spark, folder), email=ONE_EMAIL, list_name="1-URGENT")
+
+
 @_query
 def watchlist_users(spark, folder):
     users = sample_tables.users(spark, folder)
@@ -446,6 +562,17 @@ def notes_get(spark, folder):
     return notes.get_notes(sample_tables.users(spark, folder), sample_tables.research_notes(spark, folder))
 
 
+@_query
+def notes_of_user(spark, folder):
+    return notes.get_notes(
+        sample_tables.users(spark, folder),
+        sample_tables.research_notes(spark, folder),
+        email=ONE_EMAIL,
+        ticker=NOTES_TICKER.lower(),
+        limit=3,
+    )
+
+
 # Feeds and usage --------------------------------------------------------------------------
 
 

@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketlake.functions.vectors import Encoder
 from marketlake.operators import corpus as documents
 from marketlake.operators import embed, silver
+from marketlake.operators.keys import listed
+from marketlake.schemas import INDEX
 from marketlake.sources import landing, tables
 
 
@@ -29,15 +33,21 @@ def run_medallion(
     tickers: Sequence[str] | None = None,
     price_order: Sequence[str] = (),
     company_order: Sequence[str] = (),
+    price_days: int | None = None,
+    articles: int | None = None,
 ) -> dict[str, int]:
-    """Write bronze and silver tables; returns the rows written to each."""
+    """Write bronze and silver tables, a report and the records that did not parse; returns
+    the rows written to each.
+
+    All landed rows are taken, unless `price_days` or `articles` per ticker limit them.
+    """
     tables.create_database(spark, database)
     bronze = {
-        "bronze_prices": landing.bronze_prices(landed.prices, as_of.date(), tickers=tickers),
+        "bronze_prices": landing.bronze_prices(landed.prices, as_of.date(), price_days, tickers),
         "bronze_companies": landing.bronze_companies(landed.companies, tickers),
-        "bronze_news": landing.bronze_news(landed.news, tickers=tickers),
+        "bronze_news": landing.bronze_news(landed.news, articles, tickers),
     }
-    written = {}
+    written = _report(spark, database, landed, tickers)
     for table, rows in bronze.items():
         if rows.take(1):  # whole row: text formats cannot be asked for the corrupt column alone
             written[table] = tables.overwrite(rows, f"{database}.{table}")
@@ -52,16 +62,55 @@ def run_medallion(
     return written
 
 
+def _report(
+    spark: SparkSession, database: str, landed: Landed, tickers: Sequence[str] | None
+) -> dict[str, int]:
+    """Table `quarantine` with raw records, and `ingest_report` with rows per source and ticker;
+    there, broken records count under no ticker."""
+    sources = {"prices": landed.prices, "companies": landed.companies, "news": landed.news}
+    quarantine = _union([landing.quarantined(rows, source) for source, rows in sources.items()])
+    written = {"quarantine": tables.overwrite(quarantine, f"{database}.quarantine")}
+    reports = []
+    for source, rows in sources.items():
+        good = landing.parsed(rows).withColumn("ticker", F.upper("ticker"))
+        asked = listed(spark, tickers) if tickers is not None else good.select("ticker").distinct()
+        reports.append(landing.ingest_report(asked, good, source))
+    broken = spark.table(f"{database}.quarantine").groupBy("source").agg(F.count("*").alias("rows"))
+    reports.append(broken.select("source", F.lit(None).cast("string").alias("ticker"), "rows", F.lit("corrupt").alias("status")))
+    written["ingest_report"] = tables.overwrite(_union(reports), f"{database}.ingest_report")
+    return written
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def run_embedding(
     spark: SparkSession,
     database: str,
+    path: str,
     encoder: Encoder = embed.DEFAULT_ENCODER,
     dim: int = embed.DEFAULT_ENCODER.dim,
     max_chars: int | None = None,
 ) -> int:
-    """Embed the corpus of the silver tables into `text_embeddings`."""
+    """Bring the index below `path` up to date with the silver tables; returns its rows.
+
+    Only documents that are new, changed, or failed before are embedded. The index becomes a
+    new version of its table, which readers see when it is complete.
+    """
     corpus = documents.text_corpus(
         spark.table(f"{database}.silver_news"), spark.table(f"{database}.silver_companies")
     )
-    index = embed.laid_out(embed.embed_corpus(corpus, encoder, dim, max_chars))
-    return tables.overwrite(index, f"{database}.text_embeddings")
+    return refresh_index(corpus, path, encoder, dim, max_chars)
+
+
+def refresh_index(
+    corpus: DataFrame,
+    path: str,
+    encoder: Encoder = embed.DEFAULT_ENCODER,
+    dim: int = embed.DEFAULT_ENCODER.dim,
+    max_chars: int | None = None,
+) -> int:
+    index = tables.read_version(corpus.sparkSession, path, INDEX)
+    fresh = embed.embed_incremental(corpus, index, encoder, dim, max_chars)
+    return tables.write_version(embed.laid_out(embed.merge_index(index, fresh, corpus)), path)

@@ -143,6 +143,25 @@ SELECT ticker, coalesce(company_name, ticker) AS name, price_date, price, previo
        change, change_pct, volume, market_cap
 FROM quotes"""
 
+_STATEMENTS["quote_from_snapshot"] = """
+SELECT ticker, name, price, previous_close, volume, day_high, day_low, market_cap,
+       coalesce(own, CASE WHEN known THEN round(price - previous_close, 4) + 0.0 ELSE 0.0 END) AS change,
+       coalesce(own_pct, CASE WHEN known THEN round((price - previous_close) * 100 / previous_close, 4) + 0.0
+                         ELSE 0.0 END) AS change_pct
+FROM (
+  SELECT *, price IS NOT NULL AND previous_close IS NOT NULL AND previous_close <> 0 AS known FROM (
+    SELECT upper(s_name) AS ticker, CASE WHEN s_suppkey % 3 <> 0 THEN 'Company ' || s_suppkey ELSE upper(s_name) END AS name,
+           CASE WHEN s_suppkey % 4 <> 0 THEN s_acctbal ELSE s_acctbal + 1 END AS price,
+           CASE WHEN s_suppkey % 5 <> 0 THEN s_acctbal - s_nationkey END AS previous_close,
+           CAST(s_suppkey AS BIGINT) AS volume, 0.0::DOUBLE AS day_high, s_acctbal AS day_low, 0::BIGINT AS market_cap,
+           CASE WHEN s_suppkey % 2 = 0 THEN 1.5::DOUBLE END AS own,
+           CASE WHEN s_suppkey % 2 = 0 THEN 0.25::DOUBLE END AS own_pct
+    FROM supplier))"""
+
+_STATEMENTS["price_history_of_ticker"] = _STATEMENTS["price_history"].replace(
+    "WHERE", "WHERE ticker = 'SUPPLIER#000000003' AND"
+)
+
 _STATEMENTS["dashboard_quote"] = """
 SELECT ticker, coalesce(price, 0) AS price, change, change_pct, coalesce(volume, 0) AS volume,
        coalesce(day_high, 0) AS day_high, coalesce(day_low, 0) AS day_low, market_cap
@@ -182,6 +201,10 @@ _STATEMENTS["price_period_summary_90_days"] = _period_summary(3)
 _STATEMENTS["price_period_summary_180_days"] = _period_summary(6)
 _STATEMENTS["compare_tickers"] = _comparison(1)
 _STATEMENTS["compare_tickers_90_days"] = _comparison(3)
+_ASKED = "(VALUES ('SUPPLIER#000000007', 0), ('SUPPLIER#000000002', 1), ('SUPPLIER#000000003', 2)) AS asked(ticker, place)"
+_STATEMENTS["compare_listed_tickers"] = f"""
+SELECT row_number() OVER (ORDER BY change_pct DESC, place) AS rank, ticker, price, change_pct, market_cap
+FROM ({_comparison(1)}) JOIN {_ASKED} USING (ticker)"""
 
 _STATEMENTS["company_fundamentals"] = """
 SELECT ticker, name, sector, industry, employees, "marketCap" AS market_cap,
@@ -267,6 +290,15 @@ _STATEMENTS["embed_corpus"] = """
 SELECT doc_id, doc_type, ticker, doc_id IN (SELECT doc_id FROM doc_vectors) AS embed_ok, vector
 FROM unique_docs JOIN doc_spelled USING (doc_id)"""
 
+_STATEMENTS["corpus_embeddable"] = """
+SELECT doc_id, doc_type, length(text) AS chars FROM corpus_t WHERE text <> ''"""
+
+_STATEMENTS["index_refresh"] = """
+SELECT doc_id, doc_type, ticker, metadata_date, metadata_source,
+       doc_id IN (SELECT doc_id FROM doc_vectors) AS embed_ok, vector
+FROM unique_docs JOIN doc_spelled USING (doc_id)"""
+_STATEMENTS["index_retry"] = _STATEMENTS["index_refresh"]
+
 _STATEMENTS["embed_incremental"] = """
 SELECT d.doc_id, md5(d.text) AS text_hash, vector
 FROM unique_docs AS d JOIN doc_spelled USING (doc_id)
@@ -312,6 +344,9 @@ QUALIFY rank <= 5"""
 _STATEMENTS["knn_topk"] = f"SELECT doc_id, score, rank FROM ({_nearest('overall_query')})"
 _STATEMENTS["knn_batch"] = f"SELECT query_id, doc_id, score, rank FROM ({_nearest('label_queries')})"
 _STATEMENTS["knn_indexed"] = _STATEMENTS["knn_batch"]
+_TABLES["vector_queries"] = "SELECT doc_id AS query_id, embedding AS query_vector FROM vector_index"
+_STATEMENTS["knn_many_queries"] = f"""
+SELECT query_id, doc_id, score, rank FROM ({_nearest('vector_queries')}) WHERE rank <= 3"""
 _STATEMENTS["knn_by_type"] = f"""
 SELECT query_id, doc_id, score, rank, doc_type, ticker
 FROM ({_nearest('label_queries', "doc_type = 'company_profile'")})"""
@@ -349,6 +384,7 @@ QUALIFY rank <= {k}"""
 _STATEMENTS["semantic_search"] = f"""
 SELECT query_id, rank, score, doc_id, doc_type, ticker, title, text
 FROM ({_answers('questions', 'question_vectors', 'true')})"""
+_STATEMENTS["semantic_search_indexed"] = _STATEMENTS["semantic_search"]
 _STATEMENTS["search_results"] = f"""
 SELECT query_id, rank, score, ticker, coalesce(title, 'No title') AS title,
        CASE WHEN length(text) > 500 THEN substr(text, 1, 500) || '...' ELSE text END AS text,
@@ -357,6 +393,9 @@ FROM ({_answers('questions', 'question_vectors', 'true')})"""
 _STATEMENTS["search_news"] = f"""
 SELECT query_id, rank, score, doc_id, ticker, title, substr(text, 1, 200) || '...' AS snippet
 FROM ({_answers('questions', 'question_vectors', "doc_type = 'news'")})"""
+_STATEMENTS["search_news_of_ticker"] = f"""
+SELECT query_id, rank, score, doc_id, ticker, title, substr(text, 1, 200) || '...' AS snippet
+FROM ({_answers('questions', 'question_vectors', "doc_type = 'news' AND ticker = 'SUPPLIER#000000007'")})"""
 _STATEMENTS["search_profiles"] = f"""
 SELECT query_id, rank, score, doc_id, ticker, title, substr(text, 1, 300) || '...' AS snippet
 FROM ({_answers('questions', 'question_vectors', "doc_type = 'company_profile'")})"""
@@ -399,7 +438,7 @@ def _with_new_users(requests: str) -> str:
     return f"""
 SELECT * FROM users_t
 UNION ALL
-SELECT (SELECT max(user_id) FROM users_t) + row_number() OVER (ORDER BY substr(md5(email), 1, 3), email),
+SELECT (SELECT max(user_id) FROM users_t) + row_number() OVER (ORDER BY created_at, email),
        email, NULL, created_at
 FROM (SELECT email, min(requested_at) AS created_at FROM {requests}
       WHERE email NOT IN (SELECT email FROM users_t) GROUP BY email)"""
@@ -417,7 +456,7 @@ FROM lists_wanted JOIN (SELECT user_id, name, min(watchlist_id) AS watchlist_id
 UNION ALL
 SELECT user_id, name,
        (SELECT max(watchlist_id) FROM watchlists_t)
-       + row_number() OVER (ORDER BY substr(md5(concat_ws(chr(31), user_id, name)), 1, 3), user_id, name), true
+       + row_number() OVER (ORDER BY created_at, user_id, name), true
 FROM lists_wanted WHERE (user_id, name) NOT IN (SELECT (user_id, name) FROM watchlists_t)"""
 
 _TABLES["rows_added"] = """
@@ -441,6 +480,9 @@ _STATEMENTS["watchlist_get"] = """
 SELECT email, name AS list_name, watchlist_id, ticker, added_at
 FROM watchlist_tickers_t JOIN watchlists_t USING (watchlist_id) JOIN users_t USING (user_id)
 ORDER BY email, list_name, added_at DESC, ticker, watchlist_id"""
+_STATEMENTS["watchlist_of_user"] = _STATEMENTS["watchlist_get"].replace(
+    "ORDER BY", "WHERE email = 'customer#000000007@example.com' AND list_name = '1-URGENT' ORDER BY"
+)
 _STATEMENTS["watchlist_users"] = "SELECT * FROM users_after"
 _STATEMENTS["watchlist_get_or_create"] = "SELECT * FROM lists_found"
 _STATEMENTS["watchlist_add"] = """
@@ -503,7 +545,7 @@ _STATEMENTS["notes_save"] = """
 SELECT * FROM notes_t
 UNION ALL
 SELECT (SELECT max(note_id) FROM notes_t)
-       + row_number() OVER (ORDER BY substr(md5(request_id), 1, 3), request_id),
+       + row_number() OVER (ORDER BY requested_at, request_id),
        user_id, ticker, NULL, text, requested_at
 FROM note_requests JOIN note_users USING (email)"""
 
@@ -513,6 +555,12 @@ FROM (SELECT * FROM notes_t
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC, note_id DESC) <= 10)
 JOIN (SELECT user_id, email FROM users_t) USING (user_id)"""
 
+_STATEMENTS["notes_of_user"] = """
+SELECT user_id, note_id, ticker, substr(content, 1, 200) || '...' AS snippet, created_at, email
+FROM notes_t JOIN users_t USING (user_id)
+WHERE email = 'customer#000000007@example.com' AND ticker = 'SUPPLIER#000000007'
+""".replace("created_at, email", "notes_t.created_at, email") + "ORDER BY notes_t.created_at DESC, note_id DESC LIMIT 3"
+
 
 # Feeds and usage --------------------------------------------------------------------------
 

@@ -50,6 +50,13 @@ CORPUS = _table(
     ("metadata_date", _STR), ("metadata_source", _STR),
 )
 TEXT_EMBEDDINGS = T.StructType([*CORPUS.fields, T.StructField("embedding", VECTOR)])
+# The index as stored: what was embedded, and whether that worked.
+INDEX = T.StructType([
+    *CORPUS.fields,
+    T.StructField("text_hash", T.StringType()),
+    T.StructField("embedding", VECTOR),
+    T.StructField("embed_ok", T.BooleanType()),
+])
 DOCUMENT_EMBEDDINGS = _table(
     ("ticker", _STR), ("title", _STR), ("text", _STR), ("date", _STR), ("doc_type", _STR),
     ("embedding_array", T.ArrayType(_DBL)),

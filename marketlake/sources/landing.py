@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.operators.keys import first_per_key
+from marketlake.operators.keys import first_per_key, listed
 
 # Look-back, article count and defaults of missing fields.
 PRICE_DAYS = 365
@@ -33,24 +33,46 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return spark.read.format(fmt).schema(schema).options(**options).load(path)
 
 
+def _whole(landed: DataFrame) -> Column:
+    """True, from all fields: a text format judges a record by the fields it is asked for."""
+    fields = [c for c in landed.columns if c != CORRUPT]
+    return F.xxhash64(*fields) >= F.lit(-(2**63))
+
+
 def parsed(landed: DataFrame) -> DataFrame:
-    return landed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in landed.columns else landed
+    if CORRUPT not in landed.columns:
+        return landed
+    return landed.filter(F.col(CORRUPT).isNull() & _whole(landed)).drop(CORRUPT)
+
+
+def quarantined(landed: DataFrame, source: str) -> DataFrame:
+    """Records that did not parse, in their raw form."""
+    if CORRUPT not in landed.columns:
+        return landed.limit(0).select(F.lit(source).alias("source"), F.lit(None).cast("string").alias("record"))
+    broken = landed.filter(F.col(CORRUPT).isNotNull() & _whole(landed))
+    return broken.select(F.lit(source).alias("source"), F.col(CORRUPT).alias("record"))
 
 
 def _wanted(df: DataFrame, tickers: Sequence[str] | None) -> DataFrame:
-    return df if tickers is None else df.filter(F.col("ticker").isin([t.upper() for t in tickers]))
+    """Rows of the listed tickers, however either is spelled."""
+    if tickers is None:
+        return df
+    wanted = listed(df.sparkSession, tickers).select(F.col("ticker").alias("_wanted"))
+    return df.join(wanted, F.upper("ticker") == F.col("_wanted"), "left_semi")
 
 
 def bronze_prices(
-    landed: DataFrame, as_of: date, days_back: int = PRICE_DAYS, tickers: Sequence[str] | None = None
+    landed: DataFrame, as_of: date, days_back: int | None = PRICE_DAYS, tickers: Sequence[str] | None = None
 ) -> DataFrame:
-    """Daily bars of the days before `as_of`.
+    """Daily bars of the days before `as_of`; without `days_back`, all of them.
 
     Dates are ISO strings, so the bounds are compared as text and reach the file scan.
     """
-    start = F.date_format(F.date_sub(F.lit(as_of), days_back), "yyyy-MM-dd")
-    end = F.lit(as_of.isoformat())
-    return _wanted(parsed(landed), tickers).filter((F.col("date") >= start) & (F.col("date") < end))
+    bars = parsed(landed).filter(F.col("date") < F.lit(as_of.isoformat()))
+    if days_back is not None:
+        start = F.date_format(F.date_sub(F.lit(as_of), days_back), "yyyy-MM-dd")
+        bars = bars.filter(F.col("date") >= start)
+    return _wanted(bars, tickers)
 
 
 def _default(name: str, value) -> Column:

@@ -18,7 +18,9 @@ def create_database(spark: SparkSession, name: str) -> None:
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
     """Create an empty parquet table unless it exists."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema
+    )
     partitions = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{partitions}")
 
@@ -30,6 +32,32 @@ def create_declared_tables(spark: SparkSession, database: str) -> None:
         create_table(spark, f"{database}.{name}", schema, PARTITION_COLUMNS.get(name, ()))
 
 
+_VERSIONS = "number long, folder string"
+
+
+def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest complete version of a table below `path`; no rows if there is none."""
+    spark.createDataFrame([], _VERSIONS).write.mode("ignore").parquet(f"{path}/_versions")
+    newest = spark.read.schema(_VERSIONS).parquet(f"{path}/_versions").orderBy(F.desc("number")).first()
+    if newest is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{newest['folder']}")
+
+
+def write_version(df: DataFrame, path: str) -> int:
+    """Write a new version of a table below `path`, then name it as the newest.
+
+    The table may be computed from its own earlier version. One writer at a time.
+    """
+    spark = df.sparkSession
+    folder = f"version-{uuid.uuid4().hex}"
+    rows = _counted(df, lambda d: d.write.parquet(f"{path}/{folder}"))
+    spark.createDataFrame([], _VERSIONS).write.mode("ignore").parquet(f"{path}/_versions")
+    last = spark.read.schema(_VERSIONS).parquet(f"{path}/_versions").agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
+    spark.createDataFrame([(last + 1, folder)], _VERSIONS).coalesce(1).write.mode("append").parquet(f"{path}/_versions")
+    return rows
+
+
 def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Rows written, counted by the write itself instead of by a second run."""
     seen = Observation(f"rows-{uuid.uuid4().hex}")
@@ -83,7 +111,3 @@ def profile(df: DataFrame, name: str) -> DataFrame:
     ])
     counted = df.agg(F.count(F.lit(1)).alias("row_count"))
     return counted.select(F.lit(name).alias("table_name"), "row_count", F.inline(columns))
-
-
-def sample(df: DataFrame, rows: int = 5) -> DataFrame:
-    return df.limit(rows)

@@ -113,15 +113,34 @@ def test_only_changed_documents_are_embedded(spark, rows):
     )
     old = make(("a", "one", "1"), ("b", "two", "1"), ("c", "three", "1"))
     new = make(("a", "one", "2"), ("b", "older", "1"), ("b", "changed", "2"), ("d", "four", "1"))
-    index = embed.embed_corpus(old).drop("embed_ok")
+    index = embed.embed_corpus(old)
     fresh = embed.embed_incremental(new, index)
     assert rows(fresh, "doc_id", "text") == [("b", "changed"), ("d", "four")]
     merged = embed.merge_index(index, fresh, new)
     whole = embed.embed_corpus(new)
-    assert rows(merged, "doc_id", "text_hash", "embedding") == rows(whole, "doc_id", "text_hash", "embedding")
+    assert sorted(merged.columns) == sorted(whole.columns)
+    assert rows(merged, *whole.columns) == rows(whole, *whole.columns)
     assert embed.embed_incremental(new, merged).count() == 0
 
 
+def test_failed_documents_are_tried_again_and_empty_ones_are_not(spark, rows):
+    docs = spark.createDataFrame(
+        [("a", "n", "AA", "t", "one", "1", "s"), ("b", "n", "AA", "t", "", "1", "s"), ("c", "n", "AA", "t", None, "1", "s")],
+        "doc_id string, doc_type string, ticker string, title string, text string, metadata_date string, metadata_source string",
+    )
+
+    def failing(texts):
+        raise RuntimeError("no answer")
+
+    broken = embed.embed_corpus(docs, failing)
+    assert rows(broken, "doc_id", "embed_ok") == [("a", False), ("b", False), ("c", False)]
+    fresh = embed.embed_incremental(docs, broken)
+    assert rows(fresh, "doc_id", "embed_ok") == [("a", True)]
+    mended = embed.merge_index(broken, fresh, docs)
+    assert rows(mended, "doc_id", "embed_ok") == [("a", True), ("b", False), ("c", False)]
+    assert embed.embed_incremental(docs, mended).count() == 0
+
+
 def test_text_column_alone_reaches_the_encoder(news, companies, capsys):
     embed.embed_corpus(corpus.text_corpus(news, companies)).select("doc_id", "embedding").explain()
     plan = capsys.readouterr().out

@@ -90,9 +90,7 @@ def test_period_summary(spark, rows):
     ]
 
 
-@pytest.mark.parametrize("in_one_task", [True, False])
-def test_comparison_keeps_request_order_on_ties(spark, monkeypatch, in_one_task):
-    monkeypatch.setattr(prices, "RANK_IN_ONE_TASK", 1000 if in_one_task else 0)
+def test_comparison_keeps_request_order_on_ties(spark):
     day = [date(2024, 3, 20), date(2024, 3, 28)]
     frame = bars(
         spark,

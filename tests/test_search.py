@@ -49,10 +49,11 @@ def test_empty_corpus_filter_and_queries(spark):
     assert search.top_k(index.filter(search.search_filter("news", "aa")), queries).count() == 1
 
 
-@pytest.mark.parametrize("block", [1024, 4])
-def test_equals_brute_force_with_many_copies(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "held"), [(1024, 1 << 18), (4, 50)])
+def test_equals_brute_force_with_many_copies(spark, monkeypatch, block, held):
     """A third of the corpus is one document; more queries than fit one block."""
     monkeypatch.setattr(search, "QUERY_BLOCK", block)
+    monkeypatch.setattr(search, "HELD_ROWS", held)
     random = np.random.default_rng(7)
     vectors = random.normal(size=(600, 8))
     vectors[::3] = vectors[0]

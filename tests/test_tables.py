@@ -4,6 +4,7 @@ import pytest
 
 from marketlake.plans.medallion import Landed, run_embedding, run_medallion
 from marketlake.schemas import (
+    INDEX,
     AGENT_TOOL_CALLS, BRONZE_COMPANIES, BRONZE_NEWS, BRONZE_PRICES, DAILY_USAGE_STATS,
     DECLARED_TABLES,
 )
@@ -72,14 +73,13 @@ def test_profile(spark, rows):
     assert rows(tables.profile(frame, "t"), "table_name", "row_count", "position", "column_name", "data_type") == [
         ("t", 1, 1, "id", "bigint"), ("t", 1, 2, "v", "array<float>"),
     ]
-    assert tables.sample(spark.range(9)).count() == 5
 
 
 def test_work_root_is_the_shared_folder_of_the_session(spark):
     assert work_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_whole_etl(spark, database, rows):
+def test_whole_etl(spark, database, rows, tmp_path):
     landed = Landed(
         spark.createDataFrame(
             [("AA", "2024-01-02", 1.0, 2.0, 0.5, 1.5, 10), ("AA", "2024-01-02", 1.0, 2.0, 0.5, 1.6, 10),
@@ -89,13 +89,22 @@ def test_whole_etl(spark, database, rows):
         spark.createDataFrame([("AA", "Alpha", "s", "i", 5, "d", "w", 3, "c", None)], BRONZE_COMPANIES),
         spark.createDataFrame([("AA", "t", "s", 5, "u", None, "c"), ("AA", "t", "s", 6, "u", None, "c2")], BRONZE_NEWS),
     )
-    written = run_medallion(spark, database, landed, datetime(2024, 1, 31), tickers=["aa", "bb"])
+    written = run_medallion(
+        spark, database, landed, datetime(2024, 1, 31), tickers=["aa", "bb", "CC"], price_days=365, articles=50
+    )
     assert written == {
         "bronze_prices": 2, "bronze_companies": 1, "bronze_news": 2,
         "silver_prices": 1, "silver_companies": 1, "silver_news": 2,
+        "quarantine": 0, "ingest_report": 9,
     }
-    assert run_embedding(spark, database) == 2
-    index = spark.table(f"{database}.text_embeddings")
+    report = spark.table(f"{database}.ingest_report").filter("source = 'prices'")
+    assert rows(report, "ticker", "rows", "status") == [("AA", 2, "ok"), ("BB", 1, "ok"), ("CC", 0, "missing")]
+    everything = run_medallion(spark, database, landed, datetime(2024, 1, 31))
+    assert (everything["bronze_prices"], everything["silver_prices"]) == (4, 3)
+    path = str(tmp_path / "index")
+    assert run_embedding(spark, database, path) == 2
+    assert run_embedding(spark, database, path) == 2
+    index = tables.read_version(spark, path, INDEX)
     assert rows(index, "doc_id", "text") == [("AA", "Alpha\n\nSector: s\n\nIndustry: i\n\nd"), ("AA | t", "t\n\nt\n\nc2")]
 
 
@@ -115,10 +124,27 @@ def test_etl_from_landed_json(spark, database, tmp_path, rows):
     assert written == {
         "bronze_prices": 1, "bronze_companies": 1, "bronze_news": 1,
         "silver_prices": 1, "silver_companies": 1, "silver_news": 1,
+        "quarantine": 2, "ingest_report": 5,
     }
+    assert rows(spark.table(f"{database}.quarantine"), "source", "record") == [
+        ("companies", '{"ticker": "AA", "marketCap": "x"}'), ("prices", "{broken"),
+    ]
+    corrupt = spark.table(f"{database}.ingest_report").filter("status = 'corrupt'")
+    assert rows(corrupt, "source", "rows") == [("companies", 1), ("prices", 1)]
     assert rows(spark.table(f"{database}.bronze_companies"), "ticker", "name", "sector") == [("AA", "Alpha", "Unknown")]
 
 
 def test_nothing_landed_writes_nothing(spark, database):
     empty = Landed(*(spark.createDataFrame([], s) for s in (BRONZE_PRICES, BRONZE_COMPANIES, BRONZE_NEWS)))
-    assert run_medallion(spark, database, empty, datetime(2024, 1, 31)) == {}
+    assert run_medallion(spark, database, empty, datetime(2024, 1, 31)) == {"quarantine": 0, "ingest_report": 0}
+
+
+def test_a_versioned_table_can_be_made_from_itself(spark, tmp_path, rows):
+    path, schema = str(tmp_path / "t"), "id long"
+    frame = spark.createDataFrame([], schema)
+    assert tables.read_version(spark, path, frame.schema).count() == 0
+    assert tables.write_version(spark.range(3), path) == 3
+    before = tables.read_version(spark, path, frame.schema)
+    assert tables.write_version(before.selectExpr("id + 1 AS id").unionByName(before), path) == 6
+    assert before.count() == 3
+    assert rows(tables.read_version(spark, path, frame.schema)) == [(0,), (1,), (1,), (2,), (2,), (3,)]

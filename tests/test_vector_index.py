@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marketlake.operators import search, vector_index
 
@@ -58,3 +59,27 @@ def test_no_queries_and_queries_without_direction(spark, tmp_path, clustered):
     assert vector_index.search_index(spark, index, asked.limit(0)).count() == 0
     found = vector_index.search_index(spark, index, asked, 3).orderBy("rank").collect()
     assert [(r["doc_id"], r["score"]) for r in found] == [(0, None), (1, None), (2, None)]
+
+
+def test_queries_without_direction_among_others(spark, tmp_path, rows, clustered):
+    corpus = frame(spark, clustered)
+    index = vector_index.build_index(corpus, str(tmp_path / "index"), dim=8, clusters=4)
+    asked = queries_of(spark, [np.zeros(8), clustered[0], np.eye(8)[2]])
+    columns = ["query_id", "rank", "doc_id", "score"]
+    assert rows(vector_index.search_index(spark, index, asked, 3), *columns) == rows(search.top_k(corpus, asked, 3), *columns)
+
+
+def test_filtered_search(spark, tmp_path, rows, clustered):
+    corpus = frame(spark, clustered)
+    index = vector_index.build_index(corpus, str(tmp_path / "index"), dim=8, clusters=8)
+    asked, keep = queries_of(spark, np.eye(8)[:3]), F.col("doc_id") % 50 == 7
+    columns = ["query_id", "rank", "doc_id", "score"]
+    assert rows(vector_index.search_index(spark, index, asked, 5, keep), *columns) == rows(
+        search.top_k(corpus.filter(keep), asked, 5), *columns
+    )
+
+
+def test_empty_corpus(spark, tmp_path, clustered):
+    empty = frame(spark, clustered).limit(0)
+    index = vector_index.build_index(empty, str(tmp_path / "index"), dim=8)
+    assert vector_index.search_index(spark, index, queries_of(spark, np.eye(8)[:2])).count() == 0
