@@ -4,9 +4,100 @@ from __future__ import annotations
 
 import re
 
-from marketlake.llm import chat, mixing
+from marketlake.llm import chat, mixing, quality
 from marketlake.llm.warc import MIN_BYTES
 
+WORD = r"[^\x20\x09-\x0D]"
+
+
+def _bin(p: str, q: str) -> str:
+    def part(x: str) -> str:
+        return f"case when {x} > 0 then {x} * log2({x} / (({p} + {q}) / 2)) else 0 end"
+
+    return f"(({part(p)}) + ({part(q)})) / 2"
+
+
+def _count(pattern: str) -> str:
+    return f"length(text) - length(regexp_replace(text, '{pattern}', '', 'g'))"
+
+
+def op1() -> str:
+    columns = quality.CLASS_COLUMNS
+    shares = ", ".join(f"sum({c}) / sum({' + '.join(columns)}) as q_{c}" for c in columns)
+    total = f"({' + '.join(f'd.{c}' for c in columns)})"
+    divergence = " + ".join(_bin(f"d.{c} / {total}", f"s.q_{c}") for c in columns)
+    space, letters, marks = r"[\x20\x09-\x0D]", r"\pL", "[.,;:?''\"()-]"
+    other = r"[a-zA-Z0-9\x20\x09-\x0D\pL.,;:?''" + "\"()-]"
+    base_failed = (
+        f"(n_words < {quality.MIN_WORDS} or 100 * n_repeat_words > {quality.MAX_REPEATED_PERCENT} * n_words)"
+    )
+
+    def limit(numbers: tuple[float, float]) -> str:
+        return f"{numbers[0]} + {numbers[1]} / sqrt(d.n_words)"
+
+    return f"""
+with t as (
+    select row_number() over () as r, doc_id, lang, coalesce(text, '') as text,
+        regexp_extract_all(coalesce(text, ''), '{WORD}+') as words,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) as lines
+    from documents
+), w as (
+    select r, lang, len(words) as n_words, unnest(words) as word, generate_subscripts(words, 1) as place from t
+), triples as (
+    select r, place, word, lead(word) over p as second, lead(word, 2) over p as third
+    from w window p as (partition by r order by place)
+), repeated as (
+    select r, place from triples where third is not null
+    qualify count(*) over (partition by r, word, second, third) > 1
+), covered as (
+    select r, count(distinct place + k) as n from repeated, (values (0), (1), (2)) as v(k) group by r
+), d as (
+    select t.r, doc_id, lang, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+        {_count('[#*$%&|<>]')} as n_symbols, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+        coalesce(covered.n, 0) as n_repeat_words,
+        {_count('[a-z]')} as n_lower, {_count(space)} as n_space,
+        ({_count(letters)}) - ({_count('[a-zA-Z]')}) as n_letters, {_count('[A-Z]')} as n_upper,
+        {_count('[0-9]')} as n_digits, {_count(marks)} as n_marks,
+        length(regexp_replace(text, '{other}', '', 'g')) as n_other
+    from t left join covered using (r)
+), languages as (
+    select lang, count(*) as total from w where lang is not null group by lang
+    order by total desc, lang limit {quality.LANGUAGES}
+), common as (
+    select lang as nearest, word, n / total as share
+    from (select lang, word, count(*) as n from w where lang is not null group by all) join languages using (lang)
+    qualify row_number() over (partition by lang order by n desc, word) <= {quality.COMMON_WORDS}
+), bare as (
+    select nearest, sum(share) as all_q from common group by nearest
+), hits as (
+    select r, word, count(*) / any_value(n_words) as p from w
+    where word in (select word from common) group by r, word
+), sums as (
+    select r, nearest, sum({_bin('p', 'share')}) as present, sum(p) as p, sum(share) as q
+    from hits join common using (word) group by r, nearest
+), distances as (
+    select r, nearest, sqrt(greatest(present + (all_q - q) / 2 + {_bin('(1 - p)', '(1 - all_q)')}, 0)) as distance
+    from sums join bare using (nearest)
+), closest as (
+    select r, nearest, distance from distances
+    qualify row_number() over (partition by r order by distance, nearest) = 1
+), without as (
+    select nearest, sqrt(all_q / 2 + {_bin('1.0', '(1 - all_q)')}) as distance
+    from bare order by distance, nearest limit 1
+), s as (
+    select lang as nearest, {shares} from d where lang in (select nearest from common) group by lang
+), found as (
+    select d.*, coalesce(c.nearest, (select nearest from without)) as nearest,
+        coalesce(c.distance, (select distance from without)) as distance
+    from d left join closest as c using (r)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {base_failed} as base_failed,
+    not {base_failed} and not coalesce(d.distance > {limit(quality.WORD_LIMIT)}
+        or sqrt(greatest({divergence}, 0)) > {limit(quality.CHARACTER_LIMIT)}, false) as kept
+from found as d left join s using (nearest)
+"""
+
+
 OP3 = f"""
 with p as (
     select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest
@@ -100,6 +191,7 @@ from g
 
 def statements() -> dict[str, str]:
     return {
+        "op1_quality_divergence": op1(),
         "op3_warc_revisits": OP3,
         "op5_mixing_curriculum": OP5,
         "op6_exact_dedup": OP6,

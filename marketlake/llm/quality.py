@@ -189,7 +189,7 @@ def nearest_language(rows: DataFrame, common: DataFrame) -> DataFrame:
     distance = _distance(F.col("present") + absent + others)
     scored = sums.join(F.broadcast(all_shares), "nearest", "left").withColumn("distance", distance)
     best = F.min(F.struct("distance", "nearest"))
-    found = scored.groupBy(*facts).agg(best.alias("best"), F.min_by("nearest", "distance").alias("nearest"))
+    found = scored.groupBy(*facts).agg(best.alias("best"))
     # A text without any common word is nearest to the language with the least of them.
     bare = all_shares.select(
         _distance(F.col("all_q") / 2 + divergence_bin(F.lit(1.0), 1 - F.col("all_q"))).alias("d"), "nearest"
@@ -197,10 +197,8 @@ def nearest_language(rows: DataFrame, common: DataFrame) -> DataFrame:
     bare_distance, bare_language = (bare["d"], bare["nearest"]) if bare else (None, None)
     return found.select(
         *facts,
-        F.coalesce("nearest", F.lit(bare_language).cast("string")).alias("nearest"),
-        F.coalesce(
-            F.when(F.col("nearest").isNotNull(), F.col("best.distance")), F.lit(bare_distance).cast("double")
-        ).alias("word_distance"),
+        F.coalesce("best.nearest", F.lit(bare_language).cast("string")).alias("nearest"),
+        F.coalesce("best.distance", F.lit(bare_distance).cast("double")).alias("word_distance"),
     )
 
 
