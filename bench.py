@@ -27,10 +27,15 @@ HEADLINE = (
     "text_corpus",
     "embed_corpus",
     "embed_incremental",
+    "index_refresh",
     "knn_topk",
     "knn_batch",
     "knn_by_ticker",
+    "knn_indexed",
+    "knn_many_queries",
     "semantic_search",
+    "semantic_search_indexed",
+    "chat_search",
     "news_for_ticker",
     "watchlist_get",
     "watchlist_add",
@@ -44,6 +49,7 @@ HEADLINE = (
     "daily_usage_stats",
     "usage_last_7_days",
     "usage_incremental",
+    "usage_lagging_feed",
     "usage_stream",
     "chat_route",
 )
