@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +22,25 @@ SCORE_DIGITS = 6
 _WORD = re.compile(r"[^\W_]+")
 
 
-# Words up to this length are remembered by a worker; longer ones are rare and large.
+# Words a worker remembers, up to a length; longer ones are rare and large.
+_REMEMBERED_WORDS = 1 << 18
 _REMEMBERED_LENGTH = 32
 
 
-def _slot(word: str) -> tuple[int, int]:
-    digest = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
-    return int(digest[:8], 16), 1 if digest[8] < "8" else -1
+class _Slots(dict):
+    """Hash of each word, the lowest bit being its sign."""
 
+    def __missing__(self, word: str) -> int:
+        digest = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
+        slot = int(digest[:8], 16) << 1 | (digest[8] >= "8")
+        if len(word) <= _REMEMBERED_LENGTH:
+            if len(self) >= _REMEMBERED_WORDS:
+                self.clear()
+            self[word] = slot
+        return slot
 
-_remembered_slot = lru_cache(maxsize=1 << 18)(_slot)
+
+_SLOTS = _Slots()
 
 
 @dataclass(frozen=True)
@@ -48,10 +55,10 @@ class HashingEncoder:
 
     def __call__(self, texts: Sequence[str]) -> np.ndarray:
         rows = np.zeros((len(texts), self.dim))
-        for row, text in zip(rows, texts):
-            for word, times in Counter(_WORD.findall(text.lower())).items():
-                place, sign = (_remembered_slot if len(word) <= _REMEMBERED_LENGTH else _slot)(word)
-                row[place % self.dim] += sign * times
+        for row, text in enumerate(texts):
+            words = _WORD.findall(text.lower())
+            slots = np.fromiter(map(_SLOTS.__getitem__, words), np.int64, len(words))
+            rows[row] = np.bincount((slots >> 1) % self.dim, 1 - 2 * (slots & 1), self.dim)
         norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
         return np.divide(rows, norms, out=rows, where=norms > 0).astype(np.float32)
 

@@ -88,26 +88,14 @@ RESEARCH_NOTES = _table(
     ("note_id", _LONG), ("user_id", _LONG), ("ticker", _STR), ("title", _STR),
     ("content", _STR), ("created_at", _TS),
 )
-COMPANIES = _table(
-    ("ticker", _STR), ("name", _STR), ("sector", _STR), ("industry", _STR), ("market_cap", _LONG),
-    ("description", _STR), ("updated_at", _TS),
-)
-NEWS_ARTICLES = _table(("article_id", _LONG), *[(f.name, f.dataType) for f in SILVER_NEWS])
-ANALYSIS_REPORTS = _table(
-    ("report_id", _LONG), ("user_id", _LONG), ("tickers", T.ArrayType(_STR)), ("thesis", _STR),
-    ("report_body", _STR), ("created_at", _TS),
-)
 
 # The declared tables by name, and the columns that partition them.
 DECLARED_TABLES = {
     "users": USERS,
     "watchlists": WATCHLISTS,
     "watchlist_tickers": WATCHLIST_TICKERS,
-    "companies": COMPANIES,
     "price_snapshots": SILVER_PRICES,
-    "news_articles": NEWS_ARTICLES,
     "research_notes": RESEARCH_NOTES,
-    "analysis_reports": ANALYSIS_REPORTS,
     "agent_tool_calls": AGENT_TOOL_CALLS,
     "watchlist_mutations": WATCHLIST_MUTATIONS,
     "daily_usage_stats": DAILY_USAGE_STATS,

@@ -49,7 +49,6 @@ def test_all_declared_tables(spark, database):
         tables.create_declared_tables(spark, database)
     names = {t.name for t in spark.catalog.listTables(database)}
     assert names == set(DECLARED_TABLES)
-    assert spark.table(f"{database}.analysis_reports").schema["tickers"].dataType.simpleString() == "array<string>"
 
 
 def test_only_touched_partitions_are_replaced(spark, database, tmp_path, rows):
