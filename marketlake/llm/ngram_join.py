@@ -10,13 +10,15 @@ overlaps; it is computed in blocks of columns and only where a pair can reach th
    last. Only those entries are shuffled, by block of columns.
 2. In a block, documents of a column make pairs unless their sizes, or what is left of both
    rows behind the column, rule the threshold out.
-3. A folded row (`FOLDS` counts) bounds the overlap from above and discards most other pairs.
+3. Folded rows (two bytes per column) bound the overlap from above and discard most others.
 4. The overlaps of what remains are counted over whole rows and held against the threshold.
 
 A column that many documents share would give pairs of all with all. There, only three of
-its documents are paired with each other one; links are verified and components formed, and
-in a second turn only documents of the column that lie in different components are paired.
-No link between components is lost, and no pair inside one is needed.
+its documents are paired with each other one; links are verified and components formed. Then
+the folded rows of the column's documents are multiplied in the task, block by block. Of the
+pairs of different components that pass the bound, a second turn verifies as many as could
+connect them all, and a third turn every one that still lies between components. No link
+between components is lost, and no pair inside one is needed.
 
 The threshold is exact in whole numbers. n-grams and classes are 64-bit hashes, class
 fingerprints 128 bits. Words: ASCII letters in lower case, split at ASCII white space. A text
@@ -45,14 +47,14 @@ from marketlake.session import materialize
 
 N = 4
 THRESHOLD = 85  # percent
-# Columns folded for their frequencies, counted in that many blocks, and folds of a row.
+# Columns folded for their frequencies, counted in that many blocks.
 FREQUENCY_FOLDS = 1 << 20
 FREQUENCY_BLOCKS = 64
-FOLDS = 256
 # Documents of a column that are paired all with all; beyond, three of them with the others.
 ALL_PAIRS = 12
-# Entries of a column that are compared in one group.
-PART_ROWS = 20_000
+# Entries of a column in one part (two parts meet in a task), and columns multiplied at a time.
+PART_ROWS = 2000
+PRODUCT_COLUMNS = 4096
 ID_BYTES = 32
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -100,7 +102,15 @@ def class_of(print_: bytes) -> int:
 
 
 def folded(columns: np.ndarray) -> np.ndarray:
-    return np.bincount((columns >> np.uint64(56)).astype(np.int64), minlength=FOLDS).astype("<u4")
+    """The upper two bytes of a row's columns, in order; two columns may share a fold."""
+    return (columns >> np.uint64(48)).astype("<u2")
+
+
+def _told_apart(folds: np.ndarray) -> np.ndarray:
+    """Folds with their number among equal ones: overlaps of multisets as overlaps of sets."""
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(folds) != 0])) if len(folds) else np.zeros(0, np.int64)
+    nth = np.arange(len(folds)) - np.repeat(starts, np.diff(np.append(starts, len(folds))))
+    return folds.astype(np.int64) + (nth << 16)
 
 
 def _frequency_fold(columns: np.ndarray) -> np.ndarray:
@@ -279,8 +289,16 @@ def first_turn(packed: DataFrame, threshold: int) -> DataFrame:
     return packed.groupBy("block").applyInPandas(pair, CANDIDATES)
 
 
-def second_turn(shared: DataFrame, roots: DataFrame, threshold: int, part_rows: int = PART_ROWS) -> DataFrame:
-    """Pairs of documents of a column that lie in different components."""
+def later_turn(
+    shared: DataFrame,
+    classes: DataFrame,
+    roots: DataFrame,
+    threshold: int,
+    connect: bool,
+    part_rows: int = PART_ROWS,
+) -> DataFrame:
+    """Pairs of documents of a column that lie in different components and pass the bound; with
+    `connect` only as many as would connect what they can."""
     named = shared.join(roots.withColumnRenamed("node", "class"), "class", "left")
     named = named.withColumn("root", F.coalesce("root", "class"))
     open_ = named.groupBy("column").agg(
@@ -293,27 +311,58 @@ def second_turn(shared: DataFrame, roots: DataFrame, threshold: int, part_rows:
     rest = rest.withColumn("part", F.pmod(F.xxhash64("class"), "parts"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     rest = rest.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
+    rest = rest.join(classes.select("class", "folds"), "class")
 
     def pair(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group = pd.concat(list(batches)).sort_values(["size", "class"])
         size, place = group["size"].to_numpy(), group["place"].to_numpy()
         class_, root, part = group["class"].to_numpy(), group["root"].to_numpy(), group["part"].to_numpy()
-        within = key[1] == key[2]
-        # A document meets the ones behind it up to the largest size it can match.
-        last = np.searchsorted(size, 100 * size // threshold, side="right")
+        most = overlaps([np.frombuffer(f, "<u2") for f in group["folds"]])
+        label = root.copy()
         for at in range(len(group)):
-            others = np.arange(at + 1, last[at])
-            others = others[(root[others] != root[at]) & (within | (part[others] != part[at]))]
-            keep = others[possible(size[at], place[at], size[others], place[others], threshold)]
-            if len(keep):
-                yield pd.DataFrame(
-                    {"a": np.minimum(class_[at], class_[keep]), "b": np.maximum(class_[at], class_[keep])}
-                )
-
-    columns = ["column", "low", "high", "class", "size", "place", "root", "part"]
+            others = slice(at + 1, len(group))
+            apart = label[others] != label[at]
+            if key[1] != key[2]:
+                apart &= part[others] != part[at]
+            keep = (
+                apart
+                & (most[at, others] >= needed(size[at], size[others], threshold))
+                & possible(size[at], place[at], size[others], place[others], threshold)
+            )
+            chosen = np.flatnonzero(keep) + at + 1
+            if connect and len(chosen):
+                met, first = np.unique(label[chosen], return_index=True)
+                chosen = chosen[first]
+                label[np.isin(label, met)] = label[at]
+            found = class_[chosen]
+            if len(found):
+                yield pd.DataFrame({"a": np.minimum(class_[at], found), "b": np.maximum(class_[at], found)})
+
+    columns = ["column", "low", "high", "class", "size", "place", "root", "part", "folds"]
     return rest.select(*columns).groupBy("column", "low", "high").applyInPandas(pair, "a long, b long")
 
 
+def overlaps(rows_: list[np.ndarray]) -> np.ndarray:
+    """Overlaps of all folded rows: the product of the incidence matrix with its transpose,
+    summed over blocks of columns. Columns of a single row add nothing and are left out."""
+    codes = np.concatenate([_told_apart(r) for r in rows_])
+    owner = np.repeat(np.arange(len(rows_)), [len(r) for r in rows_])
+    columns, place, times = np.unique(codes, return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    used = shared[place]
+    owner, place = owner[used], number[place[used]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    total = np.zeros((len(rows_), len(rows_)), np.float32)
+    for first in range(0, int(shared.sum()), PRODUCT_COLUMNS):
+        part = slice(*np.searchsorted(place, [first, first + PRODUCT_COLUMNS]))
+        block = np.zeros((len(rows_), PRODUCT_COLUMNS), np.float32)
+        block[owner[part], place[part] - first] = 1.0
+        total += block @ block.T
+    return total
+
+
 # Overlaps ----------------------------------------------------------------------------------
 
 
@@ -328,14 +377,14 @@ def bounded(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            folds = [
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, FOLDS)
-                for c in ("folds_a", "folds_b")
+            sides = [batch.column(c).to_pylist() for c in ("folds_a", "folds_b")]
+            most = [
+                len(np.intersect1d(*[_told_apart(np.frombuffer(f, "<u2")) for f in pair_], assume_unique=True))
+                for pair_ in zip(*sides)
             ]
-            most = np.minimum(*folds).sum(axis=1, dtype=np.int64)
             sizes = [batch.column(c).to_numpy().astype(np.int64) for c in ("size_a", "size_b")]
-            keep = pa.array(most >= needed(*sizes, threshold))
-            yield batch.select(["a", "b"]).filter(keep)
+            keep = np.array(most, np.int64) >= needed(*sizes, threshold)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return both.mapInArrow(bound, "a long, b long")
 
@@ -396,10 +445,15 @@ def joined(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame
     first = links_of(found.filter("a is not null").select("a", "b").distinct(), "ngram-first")
     roots = materialize(components(first), "ngram-roots")
     shared = found.filter("a is null").select("column", "class", "size", "place")
-    more = materialize(second_turn(shared, roots, threshold).distinct(), "ngram-open")
-    second = links_of(more.join(first, ["a", "b"], "left_anti"), "ngram-second")
-    if second.take(1):
-        roots = components(first.unionByName(second))
+    links, tested = first, None
+    for turn, connect in (("second", True), ("third", False)):
+        more = later_turn(shared, classes, roots, threshold, connect).distinct()
+        more = more if tested is None else more.join(tested, ["a", "b"], "left_anti")
+        tested = materialize(more, f"ngram-{turn}-pairs")
+        found_ = links_of(tested, f"ngram-{turn}")
+        if found_.take(1):
+            links = links.unionByName(found_)
+            roots = materialize(components(links), "ngram-roots")
     named = known.documents.join(roots.withColumnRenamed("node", "class"), "class", "left")
     named = materialize(named.withColumn("root", F.coalesce("root", "class")), "ngram-components")
     first_of = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first")

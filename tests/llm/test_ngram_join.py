@@ -2,7 +2,6 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from marketlake.llm import ngram_join
 from marketlake.llm.components import components
@@ -59,10 +58,10 @@ def near_copies(n=60):
     return rows
 
 
-@pytest.mark.parametrize("all_pairs, part_rows", ((12, 20_000), (2, 20_000), (2, 5)))
+@pytest.mark.parametrize("all_pairs, part_rows", ((12, 2000), (2, 2000), (2, 5)))
 def test_columns_that_many_share(make, monkeypatch, all_pairs, part_rows):
     monkeypatch.setattr(ngram_join, "ALL_PAIRS", all_pairs)
-    monkeypatch.setattr(ngram_join.second_turn, "__defaults__", (part_rows,))
+    monkeypatch.setattr(ngram_join.later_turn, "__defaults__", (part_rows,))
     docs = make(*near_copies())
     assert joined(docs) == brute(docs)
 
@@ -111,8 +110,19 @@ def test_bounds_keep_every_link():
         assert len(shared)
         first = shared[0]
         assert ngram_join.possible(len(a), np.searchsorted(a, first), len(b), np.searchsorted(b, first), 85)
-        folds = np.minimum(ngram_join.folded(a), ngram_join.folded(b)).sum()
-        assert folds >= ngram_join.needed(len(a), len(b), 85)
+        folds = ngram_join.overlaps([ngram_join.folded(a), ngram_join.folded(b)])[0, 1]
+        assert folds >= common >= ngram_join.needed(len(a), len(b), 85)
+
+
+def test_blocked_product(monkeypatch):
+    draw = np.random.default_rng(6)
+    rows = [np.sort(draw.integers(0, 400, draw.integers(0, 90)).astype("<u2")) for _ in range(25)]
+    expected = [[sum(min((a == v).sum(), (b == v).sum()) for v in np.unique(a)) for b in rows] for a in rows]
+    whole = ngram_join.overlaps(rows)
+    monkeypatch.setattr(ngram_join, "PRODUCT_COLUMNS", 7)
+    for found in (whole, ngram_join.overlaps(rows)):
+        off = ~np.eye(25, dtype=bool)
+        assert (found[off] == np.array(expected)[off]).all()
 
 
 def test_connected_components(spark):
