@@ -1,8 +1,8 @@
-"""Words as the pipeline's operators count them, and narrow views of a table."""
+"""Words and held-out rows as the contracts of the operators define them."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A word is a run of anything but these characters: space, and tab to carriage return.
@@ -14,16 +14,6 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BREAKS), "")
 
 
-def lower_ascii(text: Column) -> Column:
-    """A to Z in lower case, every other character as it is."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo `divisor`; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % divisor
-
-
-def id_and_text(docs: DataFrame) -> DataFrame:
-    """The two columns most operators read, whatever else the table has."""
-    return docs.select("doc_id", "text")
