@@ -37,17 +37,18 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.session import materialize
+from marketlake.session import fresh_path, materialize
 
 # Counts up to this are discounted.
 LARGEST = 5
 ADDED = 0.1
 # Tokens handled at a time, texts staying whole; texts of a chunk have numbers of two bytes.
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 CHUNK_TEXTS = 50_000
 # Frequent words that travel as a number of two bytes, all ones standing for the others.
 NUMBERED = 65_535
@@ -148,7 +149,7 @@ def count_words(texts: DataFrame, buckets: int) -> Unigrams:
             return _batch(rows, ["bucket", "words", "counts"], [pa.int32(), pa.binary(), pa.binary()])
 
         for batch in batches:
-            kept = batch.filter(pa.compute.invert(batch.column("held")))
+            kept = batch.filter(pc.invert(batch.column("held")))
             for text in kept.column("text").cast(pa.binary()).to_pylist():
                 waiting.append(hashed(text))
                 size += len(waiting[-1])
@@ -297,49 +298,47 @@ def pair_chunks(texts: DataFrame, words: Unigrams, buckets: int) -> DataFrame:
 
 
 class _Pairs(NamedTuple):
-    """Occurrences of a bucket, sorted into distinct pairs."""
+    """Distinct pairs of a bucket with their training counts, and per chunk its number, the pair
+    of each occurrence and the text it stands in."""
 
     word: np.ndarray
     context: np.ndarray
     count: np.ndarray
-    pair: np.ndarray
-    text: np.ndarray
-    chunk: np.ndarray
+    chunks: list[tuple[int, np.ndarray, np.ndarray]]
 
 
 def _unpacked(part: pd.DataFrame, frequent: np.ndarray) -> _Pairs:
-    word, context, pair, text, chunk, train = [], [], [], [], [], []
+    word, context, chunks = [], [], []
     pairs = 0
     for row in part.itertuples():
-        runs, times = np.frombuffer(row.runs, "<u4"), np.frombuffer(row.times, "<u4")
-        word.append(np.repeat(np.frombuffer(row.words, np.uint64), runs))
+        word.append(np.repeat(np.frombuffer(row.words, np.uint64), np.frombuffer(row.runs, "<u4")))
         context.append(
             _contexts(np.frombuffer(row.numbers, "<u2"), np.frombuffer(row.others, np.uint64), frequent)
         )
-        pair.append(pairs + np.repeat(np.arange(len(times)), times))
-        texts = np.frombuffer(row.texts, np.uint16)
-        text.append(texts)
-        chunk.append(np.full(len(texts), row.first, np.int64))
-        train.append(np.unpackbits(np.frombuffer(row.held, np.uint8))[texts] == 0)
+        times, texts = np.frombuffer(row.times, "<u4"), np.frombuffer(row.texts, np.uint16)
+        train = np.unpackbits(np.frombuffer(row.held, np.uint8))[texts] == 0
+        chunks.append((row.first, np.repeat(np.arange(pairs, pairs + len(times), dtype=np.int32), times), texts, train))
         pairs += len(times)
-    word, context, pair = np.concatenate(word), np.concatenate(context), np.concatenate(pair)
+    word, context = np.concatenate(word), np.concatenate(context)
     order = np.lexsort((context, word))
+    word, context = word[order], context[order]
     new = np.ones(len(order), bool)
-    new[1:] = (np.diff(word[order]) != 0) | (np.diff(context[order]) != 0)
-    number = np.empty(len(order), np.int64)
-    number[order] = np.cumsum(new) - 1
-    pair = number[pair]
-    count = np.bincount(pair, np.concatenate(train), minlength=int(new.sum())).astype(np.int64)
-    firsts = order[new]
-    return _Pairs(word[firsts], context[firsts], count, pair, np.concatenate(text), np.concatenate(chunk))
+    new[1:] = (np.diff(word) != 0) | (np.diff(context) != 0)
+    number = np.empty(len(order), np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - 1
+    word, context = word[new], context[new]
+    count = np.zeros(len(word), np.int64)
+    for _, pair, _, train in chunks:
+        count += np.bincount(number[pair[train]], minlength=len(count))
+    return _Pairs(word, context, count, [(first, number[pair], texts) for first, pair, texts, _ in chunks])
 
 
 def count_pairs(packed: DataFrame, words: Unigrams, buckets: int) -> DataFrame:
     """The tables of `COUNTED`, from the pairs of each bucket.
 
     pair: words, runs, contexts, counts of the training pairs; n has how many were seen 1, 2,
-    ... times. context: contexts, followers by count, mass of followers. unseen: contexts,
-    chunk and text of pairs not seen in training. text: per text pairs by count, sums of
+    ... times. context: contexts, followers by count, mass of followers; then, of pairs not seen
+    in training, the contexts, chunks and texts. text: per text pairs by count, sums of
     logarithms, and known tokens. texts: ids, lengths, held-out flags.
     """
     sent = packed.sparkSession.sparkContext.broadcast(words)
@@ -380,42 +379,51 @@ def _bucket(found: _Pairs, uni: Unigrams, buckets: int) -> list[tuple]:
 
     # Shares of contexts.
     keys, place = np.unique(context, return_inverse=True)
-    followers = np.zeros((len(keys), LARGEST), "<u4")
+    followers = np.zeros((len(keys), LARGEST), np.int64)
     small = counts <= LARGEST
     np.add.at(followers, (place[small], counts[small] - 1), 1)
     weight = np.bincount(place, mass[seen], minlength=len(keys))
-    for home, at in _split(keys, buckets):
-        out.append(("context", home, keys[at].tobytes(), followers[at].tobytes(), weight[at].tobytes(), None, None, None))
-
-    # Pairs that training has not seen, with the texts they stand in.
-    count = found.count[found.pair]
-    of_token = of_word[found.pair]
-    missing = np.flatnonzero(count == 0)
-    contexts = found.context[found.pair[missing]]
-    for home, at in _split(contexts, buckets):
-        rows = missing[at]
-        out.append(
-            ("unseen", home, contexts[at].tobytes(), found.chunk[rows].tobytes(), found.text[rows].tobytes(), None, None, None)
-        )
-
-    # Sums per text.
-    logs = np.where(count > LARGEST, np.log10(np.maximum(count, 1)), 0.0)
-    logs[missing] += np.log10(uni.probability(of_token[missing]))
-    logs -= np.where(found.word[found.pair] != END, np.log10(of_token + 1.0), 0.0)
-    base = np.log10(of_token + ADDED)
-    for chunk in np.unique(found.chunk):
-        at = found.chunk == chunk
-        texts, place = np.unique(found.text[at], return_inverse=True)
+    # What an occurrence of each pair adds to its text.
+    logs = np.where(found.count > LARGEST, np.log10(np.maximum(found.count, 1)), 0.0)
+    unseen = ~seen
+    logs[unseen] += np.log10(uni.probability(of_word[unseen]))
+    logs -= np.where(found.word != END, np.log10(of_word + 1.0), 0.0)
+    base = np.log10(of_word + ADDED)
+    by_count = np.where(found.count <= LARGEST, found.count, 0).astype(np.int8)
+    known = of_word > 0
+    open_ = []
+    for chunk, pair, text in found.chunks:
+        texts, place = np.unique(text, return_inverse=True)
         size = len(texts)
-        by_count = np.zeros((size, LARGEST), "<u4")
-        small = (count[at] > 0) & (count[at] <= LARGEST)
-        np.add.at(by_count, (place[small], count[at][small] - 1), 1)
-        sums = np.stack([np.bincount(place, x, minlength=size) for x in (logs[at], base[at])])
-        known = np.bincount(place, of_token[at] > 0, minlength=size).astype("<u4")
-        out.append(("text", int(chunk), texts.tobytes(), by_count.tobytes(), sums.tobytes(), known.tobytes(), None, None))
+        kinds = np.bincount(place * (LARGEST + 1) + by_count[pair], minlength=size * (LARGEST + 1))
+        kinds = kinds.reshape(size, LARGEST + 1)[:, 1:]
+        sums = np.stack([np.bincount(place, x[pair], minlength=size) for x in (logs, base)])
+        told = np.bincount(place, known[pair], minlength=size).astype(np.int64)
+        out.append(("text", chunk, texts.tobytes(), _small(kinds), sums.tobytes(), _small(told), None, None))
+        missing = np.flatnonzero(unseen[pair])
+        open_.append((found.context[pair[missing]], np.full(len(missing), chunk, np.int64), text[missing]))
+
+    # Contexts, and pairs that training has not seen with the texts they stand in.
+    asked, chunks, texts = (np.concatenate(x) for x in zip(*open_))
+    of_home, asked_of_home = dict(_split(keys, buckets)), dict(_split(asked, buckets))
+    none = np.zeros(0, np.int64)
+    for home in sorted(of_home.keys() | asked_of_home.keys()):
+        at, open_at = of_home.get(home, none), asked_of_home.get(home, none)
+        places = chunks[open_at].tobytes() + texts[open_at].tobytes()
+        told = (keys[at].tobytes(), _small(followers[at]), weight[at].tobytes(), asked[open_at].tobytes(), places)
+        out.append(("context", home, *told, None))
     return out
 
 
+def _small(numbers: np.ndarray) -> bytes:
+    """Whole numbers from 0 up in as few bytes each as the largest needs."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max(initial=0)))).tobytes()
+
+
+def _large(data: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // count}" if count else "<u1").astype(np.int64)
+
+
 def _short(counts: np.ndarray) -> bytes:
     """Counts in one byte each, all ones standing for larger ones that follow in eight."""
     return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes()
@@ -438,19 +446,19 @@ def backoff(counted: DataFrame, discount: np.ndarray) -> DataFrame:
     pairs add to texts (kind `backed`: chunk, texts, sums)."""
 
     def weigh(part: pd.DataFrame) -> pd.DataFrame:
-        shares = part[part["kind"] == "context"]
-        keys, place = np.unique(np.frombuffer(b"".join(shares["a"]), np.uint64), return_inverse=True)
-        followers = np.frombuffer(b"".join(shares["b"]), "<u4").reshape(-1, LARGEST)
-        weight = np.frombuffer(b"".join(shares["c"]), float)
+        keys, place = np.unique(np.frombuffer(b"".join(part["a"]), np.uint64), return_inverse=True)
+        sizes = [len(a) // 8 * LARGEST for a in part["a"]]
+        parts = [_large(b, n) for b, n in zip(part["b"], sizes)]
+        followers = np.concatenate([*parts, np.zeros(0, np.int64)]).reshape(-1, LARGEST)
+        weight = np.frombuffer(b"".join(part["c"]), float)
         kinds = np.stack([np.bincount(place, f, minlength=len(keys)) for f in followers.T], axis=1)
         mass = np.bincount(place, weight, minlength=len(keys))
         logs = np.log10(left_over(kinds, discount)) - np.log10(1.0 - mass)
         out = [("weight", int(part["home"].iloc[0]), keys.tobytes(), logs.tobytes(), None)]
-        unseen = part[part["kind"] == "unseen"]
-        if len(unseen):
-            contexts = np.frombuffer(b"".join(unseen["a"]), np.uint64)
-            chunk = np.frombuffer(b"".join(unseen["b"]), np.int64)
-            text = np.frombuffer(b"".join(unseen["c"]), np.uint16)
+        contexts = np.frombuffer(b"".join(part["d"]), np.uint64)
+        if len(contexts):
+            chunk = np.frombuffer(b"".join(e[: len(d)] for d, e in zip(part["d"], part["e"])), np.int64)
+            text = np.frombuffer(b"".join(e[len(d) :] for d, e in zip(part["d"], part["e"])), np.uint16)
             at = np.minimum(np.searchsorted(keys, contexts), max(len(keys) - 1, 0))
             # A context never seen has followers of no mass: its weight is 1.
             added = np.where(keys[at] == contexts, logs[at], 0.0) if len(keys) else np.zeros(len(contexts))
@@ -461,8 +469,8 @@ def backoff(counted: DataFrame, discount: np.ndarray) -> DataFrame:
                 out.append(("backed", int(c), texts.tobytes(), sums.tobytes(), None))
         return pd.DataFrame(out, columns=["kind", "home", "a", "b", "c"])
 
-    both = counted.filter("kind in ('context', 'unseen')").select("kind", "home", "a", "b", "c")
-    return both.groupBy("home").applyInPandas(weigh, "kind string, home long, a binary, b binary, c binary")
+    contexts = counted.filter("kind = 'context'").select("home", "a", "b", "c", "d", "e")
+    return contexts.groupBy("home").applyInPandas(weigh, "kind string, home long, a binary, b binary, c binary")
 
 
 def summed(parts: DataFrame, words: Unigrams, discount: np.ndarray) -> DataFrame:
@@ -480,11 +488,11 @@ def summed(parts: DataFrame, words: Unigrams, discount: np.ndarray) -> DataFrame
         logs, base = np.zeros(size), np.zeros(size)
         for row in part[part["kind"] == "text"].sort_values("a").itertuples():
             texts = np.frombuffer(row.a, np.uint16)
-            by_count[texts] += np.frombuffer(row.b, "<u4").reshape(-1, LARGEST)
+            by_count[texts] += _large(row.b, LARGEST * len(texts)).reshape(-1, LARGEST)
             sums = np.frombuffer(row.c, float).reshape(2, -1)
             logs[texts] += sums[0]
             base[texts] += sums[1]
-            known[texts] += np.frombuffer(row.d, "<u4")
+            known[texts] += _large(row.d, len(texts))
         for row in part[part["kind"] == "backed"].itertuples():
             logs[np.frombuffer(row.a, np.uint16)] += np.frombuffer(row.b, float)
         r = np.arange(1, LARGEST + 1)
@@ -504,17 +512,24 @@ def summed(parts: DataFrame, words: Unigrams, discount: np.ndarray) -> DataFrame
     return parts.groupBy("home").applyInPandas(add, SCORES)
 
 
+def _stored(table: DataFrame, name: str) -> DataFrame:
+    """Written with the denser compression: most of these arrays hold few different numbers."""
+    path = fresh_path(table.sparkSession, name)
+    table.write.option("compression", "zstd").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def scored(docs: DataFrame, held_out: Column) -> DataFrame:
     """Train on the documents that are not held out, score all: see `SCORES`, and train_tokens."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select("doc_id", "text", held_out.alias("held")).withColumn("row", F.monotonically_increasing_id())
     words = count_words(texts, buckets)
-    counted = materialize(count_pairs(pair_chunks(texts, words, buckets), words, buckets), "katz-pairs")
+    counted = _stored(count_pairs(pair_chunks(texts, words, buckets), words, buckets), "katz-pairs")
     seen = counted.filter("kind = 'pair'")
     sums = seen.agg(*[F.coalesce(F.sum(F.col("n")[i]), F.lit(0)) for i in range(LARGEST + 2)]).first()
     discount = discounts(np.array(sums, float))
-    weights = materialize(backoff(counted, discount), "katz-weights")
+    weights = _stored(backoff(counted, discount), "katz-weights")
     parts = (
         counted.filter("kind in ('text', 'texts')")
         .select("kind", "home", "a", "b", "c", "d")
