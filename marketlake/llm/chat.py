@@ -3,7 +3,8 @@
 A record is a JSON text. Its fingerprint is the hash of its nested field paths, whatever the
 values; it selects the mapping that says where turns, roles and texts lie. Records whose
 fingerprint no mapping declares come back with `layout` null and no turns, so that they can
-be counted and mapped.
+be counted and mapped; formatting them is an error. The fingerprint is taken of the record
+with empty texts, and the turns are read from its JSON, so texts may have any length.
 
 The template marks each turn's role, text and end with control strings. Inside roles and
 texts, every control string (of this and of other common templates) gets a backslash behind
@@ -89,9 +90,28 @@ LAYOUTS = (
 # Fingerprints ------------------------------------------------------------------------------
 
 
+_OPENED = r'"(?:[^"\\]++|\\.)*+'
+# A text, or a field's name as a whole.
+_TEXT_OR_NAME = rf'(?s){_OPENED}(")(?!\s*+:)|({_OPENED}"\s*+:)'
+_BLANK_FIELDS = r'\{"[^"\\]*+":""(?:,"[^"\\]*+":"")*+\}'
+# What a JSON string may have at most in Java; the parser's own limit is 20 million.
+LONGEST_STRING = (1 << 31) - 1
+_MALFORMED = "_malformed"
+
+
+def blanked(record: Column) -> Column:
+    """A record with empty texts, and equal elements that follow one another once."""
+    empty = F.regexp_replace(record, _TEXT_OR_NAME, "$1$1$2")
+    return F.regexp_replace(empty, rf"({_BLANK_FIELDS})(?:,\1)++", "$1")
+
+
 def shape(record: Column) -> Column:
-    """The nested field paths of a record as one text: its schema without the scalar types."""
-    schema = F.schema_of_variant(F.try_parse_json(record))
+    """The nested field paths of a record as one text: its schema without the scalar types.
+
+    A VARIANT holds 128 MB and its parser takes no text of over 20 million characters, so
+    only the fields go through it.
+    """
+    schema = F.schema_of_variant(F.try_parse_json(blanked(record)))
     scalar = r"(?!OBJECT<|ARRAY<)[A-Z_]+(\([0-9,]+\))?"
     without = F.regexp_replace(schema, ": " + scalar, "")
     return F.regexp_replace(without, f"ARRAY<{scalar}>", "ARRAY<>")
@@ -128,20 +148,52 @@ def canonical(records: DataFrame, layouts: Sequence[Layout] = LAYOUTS) -> DataFr
     ).select("layout", fingerprint(F.col("declared")).alias("print"))
     printed = records.select("id", "record", fingerprint(shape(F.col("record"))).alias("print"))
     # One row per declared layout.
-    mapped = printed.join(F.broadcast(declared), "print", "left").withColumn("value", F.try_parse_json("record"))
+    mapped = printed.join(F.broadcast(declared), "print", "left")
     turns = F.lit(None).cast("array<struct<role:string,text:string>>")
-    for layout in layouts:
-        turns = F.when(F.col("layout") == layout.name, _turns(layout)).otherwise(turns)
-    return mapped.select("id", "layout", turns.alias("turns"))
+    options = {"maxStringLen": str(LONGEST_STRING), "columnNameOfCorruptRecord": _MALFORMED}
+    for at, layout in enumerate(layouts):
+        read = F.from_json("record", f"{_schema(layout)}, {_MALFORMED} string", options)
+        mapped = mapped.withColumn(f"value_{at}", F.when(F.col("layout") == layout.name, read))
+        value = F.col(f"value_{at}")
+        found = F.when(value[_MALFORMED].isNull(), _turns(layout, value))
+        turns = F.when(F.col("layout") == layout.name, found).otherwise(turns)
+    found = mapped.select("id", "layout", turns.alias("turns"))
+    return found.withColumn("layout", F.when(F.col("turns").isNotNull(), F.col("layout")))
+
+
+def _schema(layout: Layout) -> str:
+    """The fields that hold the turns, as from_json reads them."""
+    if layout.items:
+        tree: dict = {layout.items: f"array<struct<`{layout.role}`:string,`{layout.text}`:string>>"}
+    else:
+        tree = {path: "string" for _, path in layout.fields}
+
+    def spelled(fields: dict, separator: str) -> str:
+        below: dict = {}
+        for path, kind in fields.items():
+            first, _, rest = path.partition(".")
+            below.setdefault(first, {})[rest] = kind
+        return ", ".join(
+            f"`{name}`{separator}" + (inner[""] if "" in inner else f"struct<{spelled(inner, ':')}>")
+            for name, inner in below.items()
+        )
+
+    return spelled(tree, " ")
+
+
+def _field(value: Column, path: str) -> Column:
+    for name in path.split("."):
+        value = value[name]
+    return value
 
 
-def _turns(layout: Layout) -> Column:
+def _turns(layout: Layout, value: Column) -> Column:
     if layout.items:
-        items = F.variant_get("value", f"$.{layout.items}", f"array<struct<`{layout.role}`:string,`{layout.text}`:string>>")
+        items = _field(value, layout.items)
         return F.transform(items, lambda item: _turn(_renamed(item[layout.role], layout.names), item[layout.text]))
     fields = []
     for role, path in layout.fields:
-        text = F.variant_get("value", f"$.{path}", "string")
+        text = _field(value, path)
         turn = _turn(F.lit(role), text)
         fields.append(F.when(F.coalesce(text, F.lit("")) != "", turn) if path in layout.optional else turn)
     return F.array_compact(F.array(*fields))
@@ -215,9 +267,13 @@ def formatted(conversations: DataFrame, learned: Sequence[str] = LEARNED_ROLES)
     """Conversations (id, turns) as `formatted` text and `spans`, the loss mask.
 
     `spans` has a span for the text of each turn: start and length in code points of
-    `formatted`, and `loss`, which says whether the turn is learned.
+    `formatted`, and `loss`, which says whether the turn is learned. A conversation without
+    turns, whose record no layout takes, is an error.
     """
-    turns = conversations.select("id", F.posexplode("turns").alias("pos", "turn"))
+    name = F.coalesce(F.col("id").cast("string"), F.lit("null"))
+    unread = F.raise_error(F.concat(F.lit("no layout takes the record of conversation "), name))
+    taken = F.when(F.size("turns") > 0, F.col("turns")).otherwise(unread)
+    turns = conversations.select("id", F.posexplode(taken).alias("pos", "turn"))
     text = escaped(F.col("turn.text"))
     head = F.concat(F.lit(START), escaped(F.col("turn.role")), F.lit(SEPARATOR))
     rows = turns.select(

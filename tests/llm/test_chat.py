@@ -79,6 +79,30 @@ def test_spans_mark_the_texts(spark, odd_rows):
             assert r["formatted"][end:].startswith(chat.END + "\n")
 
 
+def test_texts_beyond_the_parsers_limits(spark):
+    roles = F.when(F.col("id") % 2 == 0, "user").otherwise("assistant")
+    text = F.when(F.col("id") == 1, F.repeat(F.lit('a"b\\'), 5_250_000)).otherwise("xxx")
+    rows = spark.range(5).select(F.floor(F.col("id") / 2).alias("conv_id"), F.col("id").alias("turn"), roles.alias("role"), text.alias("text"))
+    output = chat.formatted(chat.canonical(chat.records_of_rows(rows, "conv_id")))
+    found = {r["id"]: (r["n"], r["chars"]) for r in chat.read_back(output).select("id", F.size("turns").alias("n"), F.length(F.array_join("learned", "")).alias("chars")).collect()}
+    assert found == {0: (2, 21_000_000), 1: (2, 3), 2: (1, 0)}
+
+
+def test_equal_elements_do_not_change_the_shape(spark):
+    texts = [json.dumps({"messages": [{"role": "r", "content": f'{i} \\ " {{}}'} for i in range(n)]}, separators=s) for n in (1, 500) for s in ((",", ":"), (", ", ": "))]
+    frame = spark.createDataFrame([(t,) for t in texts], "record string")
+    assert {r[0] for r in frame.select(chat.shape(F.col("record"))).collect()} == {chat.declared_shape(chat.LAYOUTS[3].paths)}
+
+
+@pytest.mark.parametrize("record", ('{"unheard": 1}', "no json", '{"prompt": "\\q", "response": ""}', None))
+def test_records_without_layout_are_not_dropped(spark, record):
+    frame = spark.createDataFrame([(1, record), (2, '{"prompt": "a", "response": "b"}')], "id long, record string")
+    known = chat.canonical(frame)
+    assert {r["id"]: r["layout"] for r in known.collect()} == {1: None, 2: "prompt"}
+    with pytest.raises(Exception, match="record of conversation 1"):
+        chat.formatted(known).collect()
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.formatted(chat.canonical(chat.records_of_rows(frame, "conv_id")))).count() == 0
