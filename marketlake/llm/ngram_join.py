@@ -65,7 +65,7 @@ CANDIDATES = "a long, b long, column long, class long, size long, place long"
 
 
 class Rows(NamedTuple):
-    """documents: doc_id, key, size, class; classes: class, size, folds, doc_id; frequencies per fold."""
+    """documents: doc_id, key, size, class; classes: class, size, folds, key of a row; frequencies per fold."""
 
     documents: DataFrame
     classes: DataFrame
@@ -160,7 +160,7 @@ def rows(docs: DataFrame, n: int = N) -> Rows:
         frequencies[found["block"]] = np.frombuffer(found["counts"], np.int64)
     documents = read_.filter("block is null").select("doc_id", "key", "size", "class", "folds")
     classes = documents.filter("size > 0").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.max("size").alias("size"), F.max("folds").alias("folds")
+        F.min("key").alias("key"), F.max("size").alias("size"), F.max("folds").alias("folds")
     )
     return Rows(documents.drop("folds"), classes, frequencies.reshape(-1))
 
@@ -392,10 +392,10 @@ def bounded(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
 def linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, threshold: int) -> DataFrame:
     """The pairs that reach the threshold, their overlaps counted over whole rows."""
     asked = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    chosen = materialize(classes.select("class", "doc_id").join(asked, "class"), "ngram-asked")
-    texts = attach(
-        docs.select("doc_id", "text"), chosen.select("doc_id").distinct(), ["doc_id"], spread=["doc_id"], row_bytes=ID_BYTES
-    )
+    chosen = materialize(classes.select("class", "key").join(asked, "class"), "ngram-asked")
+    # By key, not by id: ids may be null, and one id may have many texts.
+    keyed = docs.select("doc_id", "text", row_key(docs).alias("key"))
+    texts = attach(keyed, chosen.select("key").distinct(), ["key"], spread=["doc_id"], row_bytes=ID_BYTES)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -410,7 +410,7 @@ def linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, thresh
             yield _batch(out, ["class", "columns"], [pa.int64(), pa.binary()])
 
     found = materialize(texts.select("text").mapInArrow(read, "class long, columns binary"), "ngram-sets")
-    # One row per class, should its text occur under the chosen id in several tasks.
+    # One row per class, should the chosen row be repeated in several tasks.
     sets = found.groupBy("class").agg(F.max("columns").alias("columns"))
     left = sets.select(F.col("class").alias("a"), F.col("columns").alias("left"))
     right = sets.select(F.col("class").alias("b"), F.col("columns").alias("right"))

@@ -82,6 +82,16 @@ def test_odd_texts(make):
     assert joined(docs) == brute(docs)
 
 
+def test_null_ids_link_with_other_texts(make):
+    words = [f"w{i}" for i in range(60)]
+    named, unnamed = " ".join(words), " ".join(w + "x" for w in words)
+    docs = make((1, named), (None, named + " one end"), (None, unnamed), (None, unnamed + " end"), (None, unnamed + " end"), (2, "z"))
+    assert joined(docs) == brute(docs)
+    assert [c for i, _, c in joined(docs) if i == "None"].count(1) == 1
+    kept = {r["text"] for r in ngram_join.representatives(docs).collect()}
+    assert named in kept and "z" in kept and len(kept) == 3
+
+
 def test_one_of_each_group_stays(make):
     docs = make(*near_copies(20), (50, None), (51, "other words"), (52, "other words"))
     kept = ngram_join.representatives(docs)
