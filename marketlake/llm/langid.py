@@ -4,7 +4,8 @@ A word's score for a language is the log probability of its letter trigrams ther
 scripts of its letters narrow the languages down to those that were seen to use them. The
 Viterbi path over the words, paying a penalty for every switch of language, labels spans of a
 text; the language with most letters in its spans is the document's, and the share of those
-letters is the score.
+letters is the score. Letters of words whose scripts no language uses are held by none: they
+lower the score, and a text of such words alone has score 0 (and the commonest language).
 
 The classifier is fitted on the documents with a language, at most `SAMPLE_ROWS` of each and
 `LANGUAGES` languages (a bounded sample by hash of the id); its size is fixed: languages times
@@ -182,13 +183,15 @@ class Labeler:
 
     def __init__(self, model: Model, penalty: float = SWITCH_PENALTY):
         self.model, self.penalty = model, penalty
-        self.letters: list[np.ndarray] = []
+        self.letters: list[tuple[np.ndarray, np.ndarray]] = []
         self.forget()
 
     def forget(self) -> None:
         self.places: dict[str, int] = {}
         self.scores = np.zeros((1024, len(self.model.languages)), np.float32)
         self.sizes = np.zeros(1024, np.int32)
+        # Letters that some language can hold: all of a word or none.
+        self.held = np.zeros(1024, np.int32)
 
     def learn(self, words: list[str]) -> None:
         """Scores of words not seen before."""
@@ -197,24 +200,29 @@ class Labeler:
             room = max(last, 2 * len(self.sizes)) - len(self.sizes)
             self.scores = np.concatenate([self.scores, np.zeros((room, self.scores.shape[1]), np.float32)])
             self.sizes = np.concatenate([self.sizes, np.zeros(room, np.int32)])
+            self.held = np.concatenate([self.held, np.zeros(room, np.int32)])
         letters = list(map(letters_of, words))
         sizes = np.fromiter(map(len, letters), np.int64, len(letters))
         spelled = np.flatnonzero(sizes)
         self.sizes[first:last] = sizes
+        self.held[first:last] = 0
         self.scores[first:last] = 0.0
         if len(spelled):
             letters = [word for word in letters if word]
             buckets, starts = trigram_buckets(letters)
             sums = np.add.reduceat(self.model.logs[buckets], starts, axis=0)
-            self.scores[first + spelled] = self.narrowed(letters, sizes[spelled], sums)
+            self.scores[first + spelled], usable = self.narrowed(letters, sizes[spelled], sums)
+            self.held[first + spelled] = np.where(usable, sizes[spelled], 0)
         self.places.update(zip(words, range(first, last)))
 
-    def narrowed(self, words: list[str], sizes: np.ndarray, sums: np.ndarray) -> np.ndarray:
-        """Scores with the languages out of reach that do not use the scripts of a word."""
+    def narrowed(self, words: list[str], sizes: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores with the languages out of reach that do not use the scripts of a word, and
+        whether any language does."""
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         scripts = _SCRIPT_OF_RANGE[np.searchsorted(_STARTS, codes, side="right") - 1]
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         sets = np.bitwise_or.reduceat(np.left_shift(1, scripts), starts)
+        usable = np.ones(len(words), bool)
         for scripts_of_word in np.unique(sets):
             members = [s for s in range(len(SCRIPT_NAMES)) if scripts_of_word >> s & 1]
             used = self.model.scripts[members].all(axis=0)
@@ -226,7 +234,8 @@ class Labeler:
                 sums[rows] = np.where(used, sums[rows], floor)
             else:
                 sums[rows] = 0.0
-        return sums
+                usable[rows] = False
+        return sums, usable
 
     def texts(self, texts: list[str]) -> list[tuple[str, float, list[dict]]]:
         """Language, score and spans of each text."""
@@ -239,10 +248,10 @@ class Labeler:
             if labels is None:
                 found.append((UNKNOWN, 0.0, []))
                 continue
-            sizes = self.letters[i]
-            letters = np.bincount(labels, weights=sizes, minlength=len(self.model.languages))
-            best = int(letters.argmax())
-            share = float(letters[best] / letters.sum())
+            sizes, held = self.letters[i]
+            letters = np.bincount(labels, weights=held, minlength=len(self.model.languages))
+            best = int(letters.argmax()) if held.any() else self.model.commonest
+            share = float(letters[best] / sizes.sum())
             found.append((self.model.languages[best], share, self.spans(spoken, labels, words)))
         self.letters.clear()
         return found
@@ -258,7 +267,7 @@ class Labeler:
         places = self.known(words) if self.model.languages else np.zeros(0, np.int64)
         spoken = np.flatnonzero(self.sizes[places])
         scores = self.scores[places[spoken]].astype(np.float64)
-        self.letters.append(self.sizes[places[spoken]])
+        self.letters.append((self.sizes[places[spoken]], self.held[places[spoken]]))
         if not len(spoken):
             return len(words), scores, spoken, None
         if not scores.any():

@@ -65,6 +65,18 @@ def test_scripts_narrow_the_languages(make):
     assert [r["lang_pred"] for r in sorted(found.collect(), key=lambda r: r["doc_id"])][:3] == ["ru", "en", "el"]
 
 
+def test_scripts_of_no_language_are_held_by_none(make, documents, model):
+    known = documents.filter("lang = 'fr' and n_chars > 600").first()["text"]
+    letters = sum(map(str.isalpha, known.lower()))
+    docs = make((1, "привет мир слово дело"), (2, "漢字 仮名"), (3, f"{known} {'ж' * letters}"), (4, f"{known} {'ж' * (3 * letters)}"), (5, known))
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identified(docs, model).collect()}
+    assert found[1] == found[2] == (model.languages[model.commonest], 0.0)
+    alone = found[5][1]
+    assert alone > 0.9
+    assert found[3] == ("fr", pytest.approx(alone / 2)) and found[4] == ("fr", pytest.approx(alone / 4))
+    assert sorted(r["doc_id"] for r in langid.accepted(docs, model).collect()) == [3, 5]
+
+
 def test_words_may_be_forgotten(documents, model, monkeypatch):
     texts = [r["text"] for r in documents.limit(30).collect()]
     whole = langid.Labeler(model).texts(texts)
