@@ -15,6 +15,10 @@ from marketlake.llm import exact_dedup, langid, mixing, ngram_join, packing
 from marketlake.llm.catalog import tokenizer_file
 from marketlake.session import materialize, prepare
 
+# Near-duplicates share this percentage of their shingles of so many words; op9 has its own.
+SHINGLE_WORDS = 5
+NEAR_THRESHOLD = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -33,7 +37,7 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest id."""
     prepare(spark)
-    return ngram_join.representatives(docs)
+    return ngram_join.representatives(docs, n=SHINGLE_WORDS, threshold=NEAR_THRESHOLD)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,6 +61,21 @@ def test_stages_on_an_empty_table(spark, documents):
         assert stage(spark, documents.limit(0), FOLDER).count() == 0
 
 
+def test_near_duplicates_by_five_words(make, spark):
+    """One changed word of 50: 41 of 51 shingles of five words are shared, 43 of 51 of four."""
+    words = [f"w{i}" for i in range(50)]
+    other = [f"v{i}" for i in range(49)]
+    # Of 49 words 40 of 50 remain, just at the threshold; two changed words are too many.
+    changed = [*words[:20], "x", *words[21:]]
+    rows = [(1, words), (2, changed), (3, other), (4, [*other[:20], "x", *other[21:]]), (5, ["y", *words[1:9], "y", *words[10:30], "y", *words[31:]])]
+    docs = make(*[(i, " ".join(text)) for i, text in rows])
+    sets = {i: {tuple(text[at : at + 5]) for at in range(len(text) - 4)} for i, text in rows}
+    near = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert near == {(1, 2), (3, 4)}
+    kept = dict(corpus_pipeline.STAGES)["near duplicates"](spark, docs, FOLDER)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 5]
+
+
 def test_pipeline_against_brute_force(spark, documents):
     """The filters' decisions by plain Python: the documents left before mixing."""
     from collections import Counter
