@@ -7,9 +7,9 @@ text; the language with most letters in its spans is the document's, and the sha
 letters is the score. Letters of words whose scripts no language uses are held by none: they
 lower the score, and a text of such words alone has score 0 (and the commonest language).
 
-The classifier is fitted on the documents with a language, at most `SAMPLE_ROWS` of each and
-`LANGUAGES` languages (a bounded sample by hash of the id); its size is fixed: languages times
-`BUCKETS`. Every document is labelled from its whole text. Texts are read in place, nothing is
+The classifier is fitted on the documents with a language, at most `SAMPLE_ROWS` of each (a
+bounded sample by hash of the id); its size is fixed: languages times `BUCKETS`. More than
+`LANGUAGES` languages are an error, for none may be left out. Every document is labelled from its whole text. Texts are read in place, nothing is
 shuffled but the counts of the sample.
 
 `und` with score 0 is for null texts, texts without a letter, and for all when nothing could
@@ -128,8 +128,10 @@ def sample(docs: DataFrame, training: Column, rows: int = SAMPLE_ROWS) -> DataFr
     ids = labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("turn"))
     place = F.expr("row_number() over (partition by lang order by turn, doc_id)")
     chosen = materialize(ids.withColumn("place", place).filter(F.col("place") <= rows), "language-sample")
-    sizes = chosen.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    chosen = chosen.join(F.broadcast(sizes), "lang", "left_semi").select("lang", "doc_id").distinct()
+    chosen = chosen.select("lang", "doc_id").distinct()
+    found = chosen.select("lang").distinct().count()
+    if found > LANGUAGES:
+        raise ValueError(f"{found} languages to learn, more than {LANGUAGES}")
     # At most rows x LANGUAGES ids.
     return labelled.select("lang", "doc_id", "text").join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi")
 

@@ -12,7 +12,8 @@ Base rules go before that: too few words, or too much of the text in repeated wo
 
 Everything is DataFrame expressions. Texts are read twice (word counts, then documents) and
 never shuffled; only counts are. Null texts count as empty, null languages teach nothing;
-without any reference the base rules decide alone. Repeated rows get a row each; empty tables
+without any reference, and for a language beyond the `LANGUAGES` with most words, the base rules
+decide alone. Repeated rows get a row each; empty tables
 give empty results; extra columns are left out.
 """
 
@@ -215,6 +216,10 @@ def judged(docs: DataFrame) -> DataFrame:
     divergence = sum((divergence_bin(F.col(c) / total, F.col(f"q_{c}")) for c in CLASS_COLUMNS), F.lit(0.0))
     characters = F.when((total > 0) & F.col(f"q_{CLASS_COLUMNS[0]}").isNotNull(), _distance(divergence))
     rows = found.join(F.broadcast(listed), "nearest", "left").withColumn("character_distance", characters)
+    learned = common.select("lang").distinct().withColumn("learned", F.lit(True))
+    rows = rows.join(F.broadcast(learned), "lang", "left")
+    # Documents of a language that was not learned have nothing to be held against.
+    comparable = F.col("lang").isNull() | F.col("learned").isNotNull()
     n, repeated = F.col("n_words"), F.col("n_repeat_words")
     base_failed = (n < MIN_WORDS) | (100 * repeated > MAX_REPEATED_PERCENT * n)
 
@@ -226,7 +231,7 @@ def judged(docs: DataFrame) -> DataFrame:
         "doc_id",
         *BASE_COLUMNS,
         "base_failed",
-        (~F.col("base_failed") & ~F.coalesce(strange, F.lit(False))).alias("kept"),
+        (~F.col("base_failed") & ~F.coalesce(strange & comparable, F.lit(False))).alias("kept"),
         "nearest",
         "word_distance",
         "character_distance",

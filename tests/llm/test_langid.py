@@ -84,6 +84,15 @@ def test_words_may_be_forgotten(documents, model, monkeypatch):
     assert langid.Labeler(model).texts(texts) == whole
 
 
+def test_no_language_is_left_out(make, monkeypatch):
+    docs = make((1, "some text", "en"), (2, "other text", "en"), (3, "du texte", "fr"))
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    assert langid.fit(langid.sample(docs, F.lit(True))).languages == ("en", "fr")
+    monkeypatch.setattr(langid, "LANGUAGES", 1)
+    with pytest.raises(ValueError, match="2 languages"):
+        langid.sample(docs, F.lit(True))
+
+
 def test_nothing_learned(make):
     docs = make((1, "some text"), (2, None, "en"))
     model = langid.fit(langid.sample(docs, F.lit(True)))

@@ -94,3 +94,13 @@ def test_without_languages_the_base_rules_decide(make, rows):
 
 def test_empty_table(make):
     assert quality.judged(make((1, "a", "en")).limit(0)).count() == 0
+
+
+def test_languages_that_were_not_learned(make, monkeypatch):
+    monkeypatch.setattr(quality.common_words, "__defaults__", (quality.COMMON_WORDS, 1))
+    own = " ".join(f"a{i * i % 41}b{i // 60}" for i in range(200))
+    foreign = "a0b0 " + " ".join(f"z{i}y" for i in range(90))
+    docs = make((1, own, "aa"), (2, own, "aa"), (3, foreign, "zz"), (4, foreign, "aa"), (5, foreign))
+    found = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality.judged(docs).collect()}
+    assert found[3] == (False, True)
+    assert found[4] == found[5] == (False, False)
