@@ -20,8 +20,10 @@ RUNTIME_SETTINGS = {
     # Split a hot join key even where the next step then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Long texts: bound a Python batch by bytes as well as by rows.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # Long texts: bound a Python batch by bytes as well as by rows. A worker keeps the memory of
+    # its largest batch, so batches are small.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
 _LOCAL_WORK_ROOTS: dict[str, str] = {}

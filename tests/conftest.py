@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from marketlake.session import prepare  # noqa: E402
+from row_order import ordered  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -27,10 +28,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def ordered(tuples):
-    return sorted(tuples, key=lambda t: [(v is not None, v) for v in t])
-
-
 @pytest.fixture
 def rows():
     """Rows of a frame as tuples, smallest first; null before any value."""

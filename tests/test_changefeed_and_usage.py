@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import ordered
+from row_order import ordered
 from marketlake.operators import changefeed, usage
 from marketlake.plans import usage_rollup
 from marketlake.plans.usage_rollup import UsagePaths, read_daily_stats, run_usage_rollup

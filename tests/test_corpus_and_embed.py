@@ -3,7 +3,7 @@ from datetime import datetime
 import numpy as np
 import pytest
 
-from conftest import ordered
+from row_order import ordered
 from marketlake.functions.vectors import HashingEncoder
 from marketlake.operators import corpus, embed
 from marketlake.schemas import SILVER_COMPANIES, SILVER_NEWS
