@@ -38,7 +38,9 @@ SMOOTHING = 0.5
 SWITCH_PENALTY = 30.0  # natural logarithm
 # A language uses a script that holds this share of its letters.
 SCRIPT_SHARE = 0.01
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 200_000
+# Texts whose word scores are held at the same time have so many characters.
+GROUP_CHARACTERS = 1 << 20
 
 # First code points of script ranges; "" stands for everything else.
 SCRIPTS = (
@@ -240,7 +242,20 @@ class Labeler:
         return sums, usable
 
     def texts(self, texts: list[str]) -> list[tuple[str, float, list[dict]]]:
-        """Language, score and spans of each text."""
+        """Language, score and spans of each text; a bounded number of characters at a time, or
+        one longer text, has its scores in memory."""
+        found: list[tuple[str, float, list[dict]]] = []
+        group: list[str] = []
+        size = 0
+        for text in texts:
+            if group and size + len(text) > GROUP_CHARACTERS:
+                found += self.together(group)
+                group, size = [], 0
+            group.append(text)
+            size += len(text)
+        return found + self.together(group)
+
+    def together(self, texts: list[str]) -> list[tuple[str, float, list[dict]]]:
         read = [self.read(text) for text in texts]
         open_ = [i for i, (_, scores, _, labels) in enumerate(read) if len(scores) and labels is None]
         paths = dict(zip(open_, viterbi([read[i][1] for i in open_], self.penalty)))

@@ -148,7 +148,8 @@ def divergence_bin(p: Column, q: Column) -> Column:
 
 
 def _distance(divergence: Column) -> Column:
-    return F.sqrt(F.greatest(divergence, F.lit(0.0)))
+    """Null where nothing was compared; rounding may leave a zero divergence below zero."""
+    return F.when(divergence > 0, F.sqrt(divergence)).when(divergence.isNotNull(), 0.0)
 
 
 # Documents ---------------------------------------------------------------------------------
