@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import chat, exact_dedup, katz, langid, mixing, ngram_join, oracles, packing, quality, token_count, warc
+from marketlake.llm import chat, exact_dedup, katz, langid, mixing, ngram_join, oracles, packing, quality, spelling, token_count, warc
 from marketlake.llm.text import remainder
 from marketlake.session import prepare
 
@@ -134,5 +134,10 @@ def op10_token_counts(spark, folder):
     return token_count.token_counts(_documents(spark, folder), tokenizer_file("piece_bpe_32k.model"))
 
 
+@_query
+def op11_spelling_variants(spark, folder):
+    return spelling.variants(_documents(spark, folder))
+
+
 def statements() -> dict[str, str]:
     return oracles.statements()

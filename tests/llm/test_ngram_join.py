@@ -7,17 +7,17 @@ from marketlake.llm import ngram_join
 from marketlake.llm.components import components
 
 
-def sets_of(docs):
+def sets_of(docs, n=4):
     found = []
     for r in docs.select("doc_id", "text").collect():
         words = (r["text"] or "").encode().lower().split()
-        grams = frozenset(tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))) if words else frozenset()
+        grams = frozenset(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))) if words else frozenset()
         found.append((r["doc_id"], grams))
     return found
 
 
-def brute(docs, threshold=85):
-    found = sets_of(docs)
+def brute(docs, threshold=85, n=4):
+    found = sets_of(docs, n)
     root = list(range(len(found)))
 
     def top(i):

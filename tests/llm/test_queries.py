@@ -38,7 +38,7 @@ def test_contract_columns(spark):
 
 def test_all_operators_are_registered():
     names = __spark_entry__.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 14))
     assert "pipeline" in names
 
 
@@ -87,7 +87,7 @@ def test_pipeline_against_brute_force(spark, documents):
         if any(c.isalpha() for c in r["text"] or ""):
             texts[r["text"]] = max(r["doc_id"], texts.get(r["text"], -1))
     unique = spark.createDataFrame([(i, t) for t, i in texts.items()], "doc_id long, text string")
-    left = {c for _, _, c in brute(unique)}
+    left = {c for _, _, c in brute(unique, n=corpus_pipeline.SHINGLE_WORDS, threshold=corpus_pipeline.NEAR_THRESHOLD)}
     docs = documents
     for _, stage in corpus_pipeline.STAGES[:3]:
         docs = stage(spark, docs, FOLDER)
