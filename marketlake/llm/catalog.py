@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import chat, exact_dedup, katz, langid, mixing, ngram_join, oracles, packing, quality, repair, spelling, token_count, warc
+from marketlake.llm import chat, exact_dedup, katz, langid, mixing, ngram_join, oracles, packing, quality, repair, spelling, suffix_dedup, token_count, warc
 from marketlake.llm.text import remainder
 from marketlake.session import prepare
 
@@ -144,5 +144,10 @@ def op12_conversation_repair(spark, folder):
     return repair.repaired_conversations(_table(spark, folder, "conversations"))
 
 
+@_query
+def op13_suffix_dedup(spark, folder):
+    return suffix_dedup.without_repeats(_documents(spark, folder))
+
+
 def statements() -> dict[str, str]:
     return oracles.statements()
