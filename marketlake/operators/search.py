@@ -7,8 +7,6 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.dataset as ds
-import pyarrow.fs as fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +17,7 @@ from marketlake.functions.vectors import Encoder, cosine_column, matrix, rounded
 from marketlake.operators.corpus import COMPANY_PROFILE, NEWS
 from marketlake.operators.embed import embed
 from marketlake.operators.keys import attach
-from marketlake.session import fresh_path, materialize
+from marketlake.session import materialize
 
 # Result counts, shown lengths and the text asked for a ticker's panel.
 RESULTS = 5
@@ -30,9 +28,11 @@ PROFILE_SNIPPET = 300
 NO_TITLE, NO_DATE, NO_TYPE = "No title", "N/A", "document"
 PANEL_QUESTION = "recent news and analysis for "
 
-# Queries, and rows, that meet in one matrix product; rows a task holds while it reads queries.
+# Queries, and rows, that meet in one matrix product.
 QUERY_BLOCK = 1024
-HELD_ROWS = 1 << 18
+# Bytes of queries that are broadcast; bytes of vectors that a task holds at a time.
+QUERY_BYTES = 64 << 20
+HELD_BYTES = 64 << 20
 
 _BELOW_ANY_SCORE = -2.0
 
@@ -47,19 +47,7 @@ def search_filter(doc_type: str | None = None, ticker: str | None = None) -> Col
     return predicate
 
 
-def _query_blocks(stored: str, rows: int) -> Iterator[tuple[list, np.ndarray]]:
-    """Ids and unit vectors of the stored queries, a block at a time."""
-    files, path = (
-        fs.FileSystem.from_uri(stored) if "://" in stored or stored.startswith("file:") else (fs.LocalFileSystem(), stored)
-    )
-    queries = ds.dataset(path, filesystem=files, format="parquet", schema=None)
-    for batch in queries.to_batches(columns=["query_id", "query_vector"], batch_size=rows):
-        if batch.num_rows:
-            vectors = np.array([v for v in batch.column("query_vector").to_pylist()], dtype=float)
-            yield batch.column("query_id").to_pylist(), unit_rows(vectors)
-
-
-def _best_rows(scores: np.ndarray, k: int) -> np.ndarray:
+def best_rows(scores: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best scores; among equal ones the first."""
     if len(scores) <= k:
         return np.arange(len(scores))
@@ -68,75 +56,108 @@ def _best_rows(scores: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([above, np.flatnonzero(scores == least)[: k - len(above)]])
 
 
-def _scorer(stored: str, k: int, schema: pa.Schema, block_rows: int, held_rows: int):
-    """Task function: the k best rows of the task's part for every query.
+def best_pairs(table: pa.Table, query_ids: pa.Array, queries: np.ndarray, k: int, schema: pa.Schema, rows_at_once: int) -> Iterator[pa.RecordBatch]:
+    """The k best rows (doc_id, embedding) of a table for each query, given as unit vectors.
 
-    The task holds its rows (at most `held_rows` at a time), reads the queries block by block
-    and keeps a running best over its batches; a batch and a block meet in one matrix product.
-    Rows are put in id order first, so among equal scores the smallest ids are taken. A row or
-    query without direction scores null and ranks after every number.
+    Rows are put in id order first, so among equal scores the smallest ids are taken. Blocks of
+    rows and of queries meet in one matrix product. A row or query without direction scores null
+    and ranks after every number.
     """
+    if not table.num_rows or not len(queries):
+        return
+    table = table.take(pc.sort_indices(table.column(0))).combine_chunks()
+    ids, vectors = table.column(0), unit_rows(matrix(table.column(1), queries.shape[1]))
+    for start in range(0, len(queries), rows_at_once):
+        block = queries[start : start + rows_at_once]
+        running = [(np.zeros(0, np.int64), np.zeros(0))] * len(block)
+        for first in range(0, len(vectors), rows_at_once):
+            scores = np.nan_to_num(rounded(vectors[first : first + rows_at_once] @ block.T), nan=_BELOW_ANY_SCORE)
+            for q, column in enumerate(scores.T):
+                rows = best_rows(column, k)
+                places = np.concatenate([running[q][0], first + rows])
+                values = np.concatenate([running[q][1], column[rows]])
+                chosen = best_rows(values, k)
+                running[q] = (places[chosen], values[chosen])
+        where = np.concatenate([places for places, _ in running])
+        found = np.concatenate([values for _, values in running])
+        which = start + np.repeat(np.arange(len(block)), [len(places) for places, _ in running])
+        yield pa.RecordBatch.from_arrays(
+            [
+                query_ids.take(pa.array(which)),
+                ids.take(pa.array(where)).combine_chunks(),
+                pa.array(found, mask=found == _BELOW_ANY_SCORE),
+            ],
+            schema=schema,
+        )
+
+
+def pair_schema(queries: DataFrame, corpus: DataFrame) -> tuple[T.StructType, pa.Schema]:
+    """Schema of scored pairs, for Spark and for Arrow."""
+    result = T.StructType([
+        T.StructField("query_id", queries.schema["query_id"].dataType),
+        T.StructField("doc_id", corpus.schema["doc_id"].dataType),
+        T.StructField("score", T.DoubleType()),
+    ])
+    return result, pa.schema([(f.name, to_arrow_type(f.dataType)) for f in result])
+
+
+def scored(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """At least the k best rows of every query.
+
+    The queries are written once and measured. Up to `QUERY_BYTES` they are broadcast, and the
+    corpus is scored where it lies, a bounded number of bytes at a time. Beyond that, parts of
+    the corpus meet blocks of queries by a join.
+    """
+    vector = F.col("query_vector").cast("array<double>").alias("query_vector")
+    asked = materialize(queries.select("query_id", vector), "queries")
+    measured = asked.agg(F.count("*").alias("rows"), F.max(F.size("query_vector")).alias("dim")).first()
+    dim = max(measured["dim"] or 0, 1)
+    if 8 * dim * measured["rows"] <= QUERY_BYTES:
+        return _scored_in_place(corpus, asked, k, dim)
+    return _scored_in_blocks(corpus, asked, k, dim, measured["rows"])
+
+
+def _scored_in_place(corpus: DataFrame, asked: DataFrame, k: int, dim: int) -> DataFrame:
+    result, arrow = pair_schema(asked, corpus)
+    told = asked.toArrow().cast(pa.schema([arrow.field(0), ("query_vector", pa.list_(pa.float64()))])).combine_chunks()
+    ids = told.column(0).combine_chunks()
+    sent = corpus.sparkSession.sparkContext.broadcast((ids, unit_rows(matrix(told.column(1), dim))))
+
+    at_once, held_bytes = QUERY_BLOCK, HELD_BYTES
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
-            if sum(b.num_rows for b in held) >= held_rows:
-                yield from scored(held)
+            if sum(b.nbytes for b in held) >= held_bytes:
+                yield from best_pairs(pa.Table.from_batches(held), *sent.value, k, arrow, at_once)
                 held = []
         if held:
-            yield from scored(held)
-
-    def scored(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held)
-        if not table.num_rows:
-            return
-        table = table.take(pc.sort_indices(table.column(0))).combine_chunks()
-        ids, vectors = table.column(0), None
-        for query_ids, queries in _query_blocks(stored, block_rows):
-            if vectors is None:
-                vectors = unit_rows(matrix(table.column(1), queries.shape[1]))
-            running = [(np.zeros(0, np.int64), np.zeros(0))] * len(query_ids)
-            for first in range(0, len(vectors), block_rows):
-                scores = np.nan_to_num(rounded(vectors[first : first + block_rows] @ queries.T), nan=_BELOW_ANY_SCORE)
-                for q, column in enumerate(scores.T):
-                    rows = _best_rows(column, k)
-                    places = np.concatenate([running[q][0], first + rows])
-                    values = np.concatenate([running[q][1], column[rows]])
-                    chosen = _best_rows(values, k)
-                    running[q] = (places[chosen], values[chosen])
-            where = np.concatenate([places for places, _ in running])
-            found = np.concatenate([values for _, values in running])
-            which = np.repeat(np.arange(len(query_ids)), [len(places) for places, _ in running])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([query_ids[i] for i in which], type=schema.field(0).type),
-                    ids.take(pa.array(where)).combine_chunks(),
-                    pa.array(found, mask=found == _BELOW_ANY_SCORE),
-                ],
-                schema=schema,
-            )
+            yield from best_pairs(pa.Table.from_batches(held), *sent.value, k, arrow, at_once)
 
-    return best
+    return corpus.select("doc_id", "embedding").mapInArrow(best, result)
 
 
-def scored(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """At least the k best rows of every query, from one scan of the corpus.
+def _scored_in_blocks(corpus: DataFrame, asked: DataFrame, k: int, dim: int, count: int) -> DataFrame:
+    """Each part of the corpus meets each block of queries in a group of its own."""
+    result, arrow = pair_schema(asked, corpus)
+    rows = corpus.count()
+    parts, blocks = (max(1, -(-n * 8 * dim // HELD_BYTES)) for n in (rows, count))
 
-    The queries are written once to the shared folder, where every task reads them: neither
-    the driver nor a task ever holds more than a block of them.
-    """
-    spark = corpus.sparkSession
-    stored = fresh_path(spark, "queries")
-    queries.select("query_id", F.col("query_vector").cast("array<double>").alias("query_vector")).write.parquet(stored)
-    result = T.StructType([
-        T.StructField("query_id", queries.schema["query_id"].dataType),
-        T.StructField("doc_id", corpus.schema["doc_id"].dataType),
-        T.StructField("score", T.DoubleType()),
-    ])
-    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in result])
-    function = _scorer(stored, k, arrow, QUERY_BLOCK, HELD_ROWS)
-    return corpus.select("doc_id", "embedding").mapInArrow(function, result)
+    def spread(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    at_once = QUERY_BLOCK
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        unit = unit_rows(matrix(right.column("query_vector"), dim))
+        ids = right.column("query_id").combine_chunks()
+        return pa.Table.from_batches(best_pairs(left.select(["doc_id", "embedding"]), ids, unit, k, arrow, at_once), schema=arrow)
+
+    placed = corpus.select("doc_id", "embedding", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).alias("part"))
+    placed = placed.withColumn("block", spread(blocks)).groupBy("part", "block")
+    questions = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn("part", spread(parts))
+    return placed.cogroup(questions.groupBy("part", "block")).applyInArrow(meet, result)
 
 
 def top_k(corpus: DataFrame, queries: DataFrame, k: int = RESULTS) -> DataFrame:
@@ -160,21 +181,43 @@ def top_k_per_ticker(corpus: DataFrame, queries: DataFrame, dim: int, k: int = R
     `queries` has one (ticker, query_vector) per ticker. Each document is scored once, and
     at most k rows per ticker and task reach the final ranking.
     """
-    asked = attach(
-        corpus.select("doc_id", "ticker", "embedding"),
-        queries.select("ticker", "query_vector"),
-        ["ticker"],
-        spread=["doc_id"],
-        row_bytes=8 * dim + 64,
-    )
-    scored = asked.select(
-        "ticker", "doc_id", cosine_column(F.col("embedding"), F.col("query_vector"), dim).alias("score")
-    )
+    asked = queries.select("ticker", F.col("query_vector").cast("array<double>").alias("query_vector"))
+    rows = corpus.select("doc_id", "ticker", "embedding")
+    count = asked.count()
+    if 8 * dim * count <= QUERY_BYTES:
+        scored = _scored_with_own(rows, asked, dim)
+    else:
+        met = attach(rows, asked, ["ticker"], spread=["doc_id"], row_bytes=8 * dim + 64)
+        scored = met.select(
+            "ticker", "doc_id", cosine_column(F.col("embedding"), F.col("query_vector"), dim).alias("score")
+        )
     order = [F.desc_nulls_last("score"), F.asc("doc_id")]
     place = F.row_number().over(Window.partitionBy("ticker").orderBy(*order))
     return scored.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
+def _scored_with_own(rows: DataFrame, asked: DataFrame, dim: int) -> DataFrame:
+    """ticker, doc_id, score of rows whose ticker has a query; the queries are a broadcast matrix,
+    no vector is copied onto a row."""
+    told = asked.toArrow()
+    places = {ticker: i for i, ticker in enumerate(told.column("ticker").to_pylist()) if ticker is not None}
+    sent = rows.sparkSession.sparkContext.broadcast((places, unit_rows(matrix(told.column("query_vector"), dim))))
+    result = T.StructType([rows.schema["ticker"], rows.schema["doc_id"], T.StructField("score", T.DoubleType())])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, queries = sent.value
+        for batch in batches:
+            which = np.array([places.get(t, -1) for t in batch.column("ticker").to_pylist()], np.int64)
+            batch, which = batch.filter(pa.array(which >= 0)), which[which >= 0]
+            values = (unit_rows(matrix(batch.column("embedding"), dim)) * queries[which]).sum(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("ticker"), batch.column("doc_id"), pa.array(rounded(values), from_pandas=True)],
+                names=["ticker", "doc_id", "score"],
+            )
+
+    return rows.mapInArrow(score, result)
+
+
 def with_documents(found: DataFrame, corpus: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fetch document columns for what was found; texts stay out of the scoring pass.
 

@@ -49,11 +49,12 @@ def test_empty_corpus_filter_and_queries(spark):
     assert search.top_k(index.filter(search.search_filter("news", "aa")), queries).count() == 1
 
 
-@pytest.mark.parametrize(("block", "held"), [(1024, 1 << 18), (4, 50)])
-def test_equals_brute_force_with_many_copies(spark, monkeypatch, block, held):
-    """A third of the corpus is one document; more queries than fit one block."""
+@pytest.mark.parametrize(("block", "held", "sent"), [(1024, 64 << 20, 64 << 20), (4, 2000, 64 << 20), (4, 2000, 0)])
+def test_equals_brute_force_with_many_copies(spark, monkeypatch, block, held, sent):
+    """A third of the corpus is one document; more queries than fit one block, or a broadcast."""
     monkeypatch.setattr(search, "QUERY_BLOCK", block)
-    monkeypatch.setattr(search, "HELD_ROWS", held)
+    monkeypatch.setattr(search, "HELD_BYTES", held)
+    monkeypatch.setattr(search, "QUERY_BYTES", sent)
     random = np.random.default_rng(7)
     vectors = random.normal(size=(600, 8))
     vectors[::3] = vectors[0]
@@ -65,8 +66,9 @@ def test_equals_brute_force_with_many_copies(spark, monkeypatch, block, held):
 
 @pytest.mark.parametrize("limit", [64 << 20, 0])
 def test_per_ticker_with_a_hot_ticker(spark, monkeypatch, limit):
-    """One ticker holds most rows; the lookup is broadcast or salted."""
+    """One ticker holds most rows; the queries are broadcast, or the lookup is salted."""
     monkeypatch.setattr(keys, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(search, "QUERY_BYTES", limit)
     random = np.random.default_rng(3)
     vectors = random.normal(size=(300, 4))
     ticker = lambda i: "HOT" if i % 5 else f"T{i % 4}"
