@@ -91,26 +91,53 @@ def rounded(scores: np.ndarray) -> np.ndarray:
     return np.round(scores, SCORE_DIGITS) + 0.0
 
 
-def encode_column(text: Column, encoder: Encoder, dim: int) -> Column:
-    """Embed a text column batch by batch.
+# Failing calls in a row, halves of a batch included, after which the encoder is taken to be down.
+MOST_FAILING_CALLS = 64
+NOT_TRIED = "not tried: the encoder failed on too much else"
+
+
+def encode_rows(texts: list[str | None], encoder: Encoder, dim: int) -> tuple[np.ndarray, list[str | None]]:
+    """Vectors of texts, zero for null and empty ones, and what went wrong with each text.
 
-    Null and empty texts get the zero vector, and so does every row of a batch on which
-    the encoder fails.
+    A batch on which the encoder fails is halved until the texts at fault stand alone, so a bad
+    text costs nothing but itself. After `MOST_FAILING_CALLS` in a row the rest is left, as not tried.
     """
+    rows = np.zeros((len(texts), dim), dtype=np.float32)
+    errors: list[str | None] = [None] * len(texts)
+    filled = [i for i, t in enumerate(texts) if t]
+    waiting, failing = [filled] if filled else [], 0
+    while waiting:
+        some = waiting.pop()
+        if failing >= MOST_FAILING_CALLS:
+            for i in some:
+                errors[i] = NOT_TRIED
+            continue
+        try:
+            rows[some] = encoder([texts[i] for i in some])
+            failing = 0
+        except Exception as error:  # noqa: BLE001 - any encoder failure
+            failing += 1
+            if len(some) == 1:
+                errors[some[0]] = f"{type(error).__name__}: {error}"
+            else:
+                half = len(some) // 2
+                waiting += [some[half:], some[:half]]
+    return rows, errors
+
+
+_ENCODED = T.StructType([
+    T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("error", T.StringType()),
+])
+
+
+def encode_column(text: Column, encoder: Encoder, dim: int) -> Column:
+    """A text column embedded batch by batch, as a struct of `embedding` and `error`."""
 
-    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    @F.arrow_udf(_ENCODED)
     def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            texts = batch.to_pylist()
-            filled = [i for i, t in enumerate(texts) if t]
-            rows = np.zeros((len(texts), dim), dtype=np.float32)
-            if filled:
-                try:
-                    rows[filled] = encoder([texts[i] for i in filled])
-                except Exception as error:  # noqa: BLE001 - any encoder failure
-                    print(f"encoder failed on a batch of {len(texts)} texts: {error}")
-                    rows[:] = 0
-            yield list_array(rows)
+            rows, errors = encode_rows(batch.to_pylist(), encoder, dim)
+            yield pa.StructArray.from_arrays([list_array(rows), pa.array(errors, pa.string())], names=["embedding", "error"])
 
     return embed(text)
 

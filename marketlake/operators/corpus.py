@@ -102,6 +102,8 @@ def unique_documents(corpus: DataFrame) -> DataFrame:
     newest = [F.desc_nulls_last(c) for c in ("metadata_date", "text_hash", "metadata_source")]
     repeated = corpus.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
     repeated = materialize(repeated, "repeated-ids")
+    if repeated.isEmpty():
+        return corpus
     alone = corpus.join(repeated, "doc_id", "left_anti")
     several = corpus.join(repeated, "doc_id", "left_semi")
     return alone.unionByName(first_per_key(several, ["doc_id"], newest))

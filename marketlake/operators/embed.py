@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.text import clip
-from marketlake.functions.vectors import Encoder, HashingEncoder, encode_column
+from marketlake.functions.vectors import NOT_TRIED, Encoder, HashingEncoder, encode_column
 from marketlake.operators.corpus import unique_documents, with_text_hash
 from marketlake.session import materialize
 
@@ -27,18 +27,63 @@ def embed(
     max_chars: int | None = None,
 ) -> DataFrame:
     """Add a vector per row. Only the text column travels to the Python workers."""
+    return _encoded(df, encoder, dim, text, max_chars).withColumn(output, F.col("_encoded.embedding")).drop("_encoded")
+
+
+def _encoded(df: DataFrame, encoder: Encoder, dim: int, text: str, max_chars: int | None) -> DataFrame:
     source = F.col(text) if max_chars is None else clip(F.col(text), max_chars)
-    return df.withColumn(output, encode_column(source, encoder, dim))
+    return df.withColumn("_encoded", encode_column(source, encoder, dim))
+
+
+# A partition that holds so many times its share of the rows is one that others wait for.
+UNEVEN = 2
+
+
+def balanced(documents: DataFrame) -> DataFrame:
+    """The documents, dealt anew if the layout of their files leaves most to a few tasks.
+
+    Rows per partition are counted without reading a column. Where every core has its share,
+    as with many splits, nothing moves.
+    """
+    cores = documents.sparkSession.sparkContext.defaultParallelism
+    sizes = documents.select(F.spark_partition_id().alias("part")).groupBy("part").agg(F.count("*").alias("rows"))
+    found = sizes.agg(F.max("rows").alias("most"), F.sum("rows").alias("rows"), F.count("*").alias("parts")).first()
+    if not found["rows"] or found["most"] <= UNEVEN * found["rows"] / max(cores, found["parts"]) or found["rows"] < cores:
+        return documents
+    return documents.repartition(max(2 * cores, found["parts"]))
 
 
 def embedded(
     documents: DataFrame, encoder: Encoder, dim: int, max_chars: int | None = None
 ) -> DataFrame:
-    """Documents with a vector; `embed_ok` is false where it is zero."""
-    vectors = embed(documents, encoder, dim, max_chars=max_chars)
+    """Documents with a vector; `embed_ok` is false where it is zero, `embed_error` says why if the
+    encoder failed on the text."""
+    vectors = _encoded(balanced(documents), encoder, dim, "text", max_chars)
+    vectors = vectors.select("*", "_encoded.embedding", F.col("_encoded.error").alias("embed_error")).drop("_encoded")
     return vectors.withColumn("embed_ok", F.exists("embedding", lambda x: x != 0))
 
 
+# Runs in which a text may fail before it is left alone until it changes.
+MOST_TRIES = 3
+
+
+def given_up(failures: DataFrame) -> DataFrame:
+    """Texts (doc_id, text_hash) that have failed too often."""
+    return failures.filter(F.col("tries") >= MOST_TRIES).select("doc_id", "text_hash")
+
+
+def merge_failures(failures: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Failures (doc_id, text_hash, error, tries) after a run: those of texts that were tried
+    again are replaced. A text that was not tried has not failed once more."""
+    tried = fresh.select("doc_id", "text_hash", "embed_error")
+    before = failures.select("doc_id", "text_hash", F.col("tries").alias("_before"))
+    counted = F.coalesce("_before", F.lit(0)) + F.when(F.col("embed_error") == NOT_TRIED, 0).otherwise(1)
+    again = tried.filter("embed_error is not null").join(before, ["doc_id", "text_hash"], "left").select(
+        "doc_id", "text_hash", F.col("embed_error").alias("error"), counted.cast("int").alias("tries")
+    )
+    return failures.join(tried.select("doc_id"), "doc_id", "left_anti").unionByName(again)
+
+
 def embed_corpus(
     corpus: DataFrame,
     encoder: Encoder = DEFAULT_ENCODER,
@@ -67,14 +112,16 @@ def _usable(index: DataFrame) -> DataFrame:
     return index.filter(F.col("embed_ok") | F.coalesce(F.col("text") == "", F.lit(True)))
 
 
-def documents_to_embed(corpus: DataFrame, index: DataFrame) -> DataFrame:
+def documents_to_embed(corpus: DataFrame, index: DataFrame, left_alone: DataFrame | None = None) -> DataFrame:
     """Documents of a new corpus that the index lacks, holds with another text, or failed to
-    embed.
+    embed, but for texts (doc_id, text_hash) to be left alone.
 
     They are found without the texts and written down, so that Spark knows their number; while
     it is small it is broadcast, and only texts of changed documents ever move.
     """
     known = _usable(index).select("doc_id", "text_hash")
+    if left_alone is not None:
+        known = known.unionByName(left_alone.select("doc_id", "text_hash"))
     changed = _newest(corpus).select("doc_id", F.coalesce("text_hash", F.lit("")).alias("text_hash"))
     known = known.withColumn("text_hash", F.coalesce("text_hash", F.lit("")))
     changed = materialize(changed.join(known, ["doc_id", "text_hash"], "left_anti").select("doc_id"), "changed")
@@ -87,17 +134,18 @@ def embed_incremental(
     encoder: Encoder = DEFAULT_ENCODER,
     dim: int = DEFAULT_ENCODER.dim,
     max_chars: int | None = None,
+    left_alone: DataFrame | None = None,
 ) -> DataFrame:
     """Embed only what changed since the index was written, or failed then."""
-    return embedded(documents_to_embed(corpus, index), encoder, dim, max_chars)
+    return embedded(documents_to_embed(corpus, index, left_alone), encoder, dim, max_chars)
 
 
 def merge_index(index: DataFrame, fresh: DataFrame, corpus: DataFrame) -> DataFrame:
     """The index after a refresh: fresh documents in, vanished ones gone, all facts current.
 
-    Rows that change are found without texts and vectors; the others stay where they are.
+    Rows that change are found without texts and vectors; the others stay where they are. `fresh`
+    is read several times.
     """
-    fresh = materialize(fresh, "fresh-documents")
     facts = _newest(corpus).select("doc_id", F.struct(*FACTS).alias("_facts"))
     held = index.select("doc_id", F.struct(*FACTS).alias("_held"))
     moved = held.join(facts, "doc_id", "left").filter(~F.col("_held").eqNullSafe(F.col("_facts")))

@@ -38,7 +38,7 @@ def _double(name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def _percent(change: Column, base: Column) -> Column:
+def percent(change: Column, base: Column) -> Column:
     return F.round(F.try_divide(change * 100, base), 4)
 
 
@@ -79,7 +79,7 @@ def _with_change(quotes: DataFrame) -> DataFrame:
     known = price.isNotNull() & previous.isNotNull() & (previous != 0)
     return quotes.withColumn(
         "change", F.when(known, F.round(price - previous, 4)).otherwise(F.lit(0.0))
-    ).withColumn("change_pct", F.when(known, _percent(price - previous, previous)).otherwise(F.lit(0.0)))
+    ).withColumn("change_pct", F.when(known, percent(price - previous, previous)).otherwise(F.lit(0.0)))
 
 
 def price_quote(bars: DataFrame, companies: DataFrame) -> DataFrame:
@@ -165,7 +165,7 @@ def price_period_summary(bars: DataFrame, as_of: date, days: int = 30) -> DataFr
         F.round(F.avg("volume"), 4).alias("avg_volume"),
     )
     start, end = F.col("start_price"), F.col("end_price")
-    return summary.withColumn("change_pct", _percent(end - start, start))
+    return summary.withColumn("change_pct", percent(end - start, start))
 
 
 def compare_tickers(
@@ -196,7 +196,7 @@ def compare_tickers(
     compared = changes.join(facts, "ticker", "left").select(
         "ticker",
         "price",
-        _percent(F.col("price") - F.col("_first"), F.col("_first")).alias("change_pct"),
+        percent(F.col("price") - F.col("_first"), F.col("_first")).alias("change_pct"),
         F.coalesce("market_cap", F.lit(0)).alias("market_cap"),
     )
     asked = compared.withColumn("asked", F.lit(0)) if wanted is None else compared.join(wanted, "ticker")

@@ -36,7 +36,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from marketlake.functions.text import ticker_of
 from marketlake.functions.vectors import SCORE_DIGITS, matrix, rounded, unit_column, unit_rows
 from marketlake.operators.changefeed import CURRENT_ROWS
-from marketlake.operators.search import RESULTS, best_rows, rank_results, search_filter
+from marketlake.operators.embed import embed
+from marketlake.operators.search import RESULTS, best_rows, rank_results, search_filter, with_documents
 from marketlake.operators.vector_index import NO_DIRECTION, assigned
 from marketlake.session import materialize
 
@@ -405,3 +406,12 @@ def search(
     worst = asked.join(found, "query_id", "left").select("query_id", "query_vector", kth)
     second = materialize(_routes(worst, index, allowed, k, further=True), "further-routes")
     return rank_results(near.unionByName(_scored(spark, index, second, k, keep)), k)
+
+
+def semantic_search(
+    spark: SparkSession, index: StoredIndex, questions: DataFrame, encoder, *, doc_type: str | None = None, ticker: str | None = None, k: int = RESULTS
+) -> DataFrame:
+    """Answer text questions (query_id, text) from an index that keeps document columns."""
+    queries = embed(questions.select("query_id", "text"), encoder, index.dim, output="query_vector")
+    found = search(spark, index, queries, k, doc_type, ticker)
+    return with_documents(found, live_rows(spark, index), ["doc_type", "ticker", "title", "text", "metadata_date"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -14,16 +15,19 @@ from marketlake.operators import (
     changefeed,
     corpus,
     embed,
+    lsh,
     notes,
+    price_ranges,
     prices,
     routing,
     search,
     silver,
+    stored_index,
     usage,
     vector_index,
     watchlists,
 )
-from marketlake.plans import medallion
+from marketlake.plans import medallion, usage_deltas
 from marketlake.plans.usage_rollup import UsagePaths, read_daily_stats, run_usage_rollup
 from marketlake.schemas import INDEX
 from marketlake.session import fresh_path, materialize, prepare
@@ -278,6 +282,14 @@ def _latest_profiles(spark, folder) -> DataFrame:
     return silver.first_per_key(_profiles(spark, folder), ["ticker"], [F.desc("landing")])
 
 
+@_query
+def price_range_summary(spark, folder):
+    """Any range per request, from month blocks and the days at both ends."""
+    bars = materialize(_bars(spark, folder), "bars")
+    blocks = materialize(price_ranges.month_blocks(bars), "month-blocks")
+    return price_ranges.summaries(sample_tables.range_requests(spark, folder), blocks, bars)
+
+
 # Corpus, embedding, search ----------------------------------------------------------------
 
 
@@ -349,6 +361,31 @@ def index_retry(spark, folder):
     return _read_index(spark, path)
 
 
+def _picky(texts):
+    """An encoder that refuses some texts."""
+    if any(len(text) % 41 == 0 for text in texts):
+        raise ValueError("refused")
+    return ENCODER(texts)
+
+
+@_query
+def embed_failures(spark, folder):
+    """Texts that an encoder refused in two refreshes, and nothing but those."""
+    path = fresh_path(spark, "index")
+    for _ in range(2):
+        medallion.refresh_index(_corpus(spark, folder), path, _picky)
+    failed = medallion.read_failures(spark, path)
+    index = tables.read_version(spark, path, INDEX).select("doc_id", "embed_ok")
+    return failed.join(index, "doc_id").select("doc_id", "error", "tries", "embed_ok")
+
+
+@_query
+def embed_clipped(spark, folder):
+    """Vectors of the first characters of each text, as for a model with an input limit."""
+    embedded = embed.embed_corpus(_corpus(spark, folder), max_chars=embed.MODEL_INPUT_LENGTH)
+    return embedded.select("doc_id", _spelled("embedding").alias("vector"))
+
+
 def _label_queries(index: DataFrame) -> DataFrame:
     return sample_tables.mean_vectors(index, "label")
 
@@ -378,6 +415,45 @@ def knn_indexed(spark, folder):
     return vector_index.search_index(spark, index, _label_queries(vectors))
 
 
+@_query
+def index_reopened(spark, folder):
+    """The same as `knn_batch`, from a stored index that is opened again."""
+    vectors = sample_tables.vector_index(spark, folder)
+    path = fresh_path(spark, "stored-index")
+    stored_index.build(vectors, path, SAMPLE_DIM, INDEX_CLUSTERS)
+    return stored_index.search(spark, stored_index.open_index(spark, path), _label_queries(vectors))
+
+
+@_query
+def knn_filtered_indexed(spark, folder):
+    """News of one ticker nearest to the mean of every label; clusters without any are not read."""
+    vectors = sample_tables.vector_index(spark, folder)
+    index = stored_index.build(vectors, fresh_path(spark, "stored-index"), SAMPLE_DIM, INDEX_CLUSTERS)
+    return stored_index.search(spark, index, _label_queries(vectors), doc_type=corpus.NEWS, ticker=ONE_TICKER.lower())
+
+
+def _every_twentieth(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """All vectors, and as queries those whose id is divisible by 20."""
+    vectors = sample_tables.vector_index(spark, folder)
+    chosen = vectors.filter(F.col("doc_id") % 20 == 0)
+    return vectors, chosen.select(F.col("doc_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+
+
+@_query
+def knn_lsh(spark, folder):
+    vectors, asked = _every_twentieth(spark, folder)
+    return lsh.knn_lsh(lsh.build(vectors, SAMPLE_DIM), asked)
+
+
+@_query
+def knn_lsh_recall(spark, folder):
+    """Whether the approximate search finds nine in ten of what the full search finds."""
+    vectors, asked = _every_twentieth(spark, folder)
+    found = lsh.knn_lsh(lsh.build(vectors, SAMPLE_DIM), asked)
+    measured = lsh.recall(found, search.top_k(vectors, asked))
+    return measured.select("queries", "wanted", (F.col("hits") >= 0.9 * F.col("wanted")).alias("recall_reached"))
+
+
 @_query
 def knn_many_queries(spark, folder):
     """Every vector of the index as a query."""
@@ -430,6 +506,32 @@ def semantic_search_indexed(spark, folder):
     return found.select("query_id", "rank", "score", "doc_id", "doc_type", "ticker", "title", "text")
 
 
+def _corpus_feed(spark, folder) -> DataFrame:
+    """Two commits: the earlier corpus, and what leads from it to the whole."""
+
+    def unique(documents: DataFrame) -> DataFrame:
+        return materialize(corpus.unique_documents(corpus.with_text_hash(documents)), "snapshot")
+
+    earlier, whole = unique(_earlier_corpus(spark, folder)), unique(_corpus(spark, folder))
+    commits = [
+        changefeed.committed(changefeed.snapshot_diff(old, new, ["doc_id"]), version, at)
+        for version, (old, new, at) in enumerate(((earlier.limit(0), earlier, EVENTS_HALFWAY), (earlier, whole, EVENTS_AS_OF)), 1)
+    ]
+    return commits[0].unionByName(commits[1])
+
+
+@_query
+def index_from_feed(spark, folder):
+    """The same as `semantic_search`, from a stored index that took up two commits of a feed."""
+    path = fresh_path(spark, "fed-index")
+    feed = materialize(_corpus_feed(spark, folder), "corpus-feed")
+    for version in (1, 2):
+        medallion.feed_index(spark, path, feed.filter(F.col("_commit_version") <= version), ENCODER, DIM, INDEX_CLUSTERS)
+    index = stored_index.open_index(spark, path)
+    found = stored_index.semantic_search(spark, index, _questions(spark, folder), ENCODER)
+    return found.select("query_id", "rank", "score", "doc_id", "doc_type", "ticker", "title", "text")
+
+
 @_query
 def search_results(spark, folder):
     found = search.semantic_search(_text_index(spark, folder), _questions(spark, folder), ENCODER, DIM)
@@ -670,6 +772,65 @@ def usage_stream(spark, folder):
     return read_daily_stats(spark, paths)
 
 
+def _delta_runs(spark, folder) -> UsagePaths:
+    """Both halves of the feeds taken up by deltas, and compacted in between."""
+    paths = _usage_paths(spark)
+    for first in (True, False):
+        _commit_half(spark, folder, paths, first)
+        usage_deltas.run_usage_deltas(spark, paths)
+        if first:
+            usage_deltas.compact(spark, paths)
+    return paths
+
+
+@_query
+def usage_by_deltas(spark, folder):
+    """The same as `usage_incremental`, from parts of the new commits alone."""
+    return read_daily_stats(spark, _delta_runs(spark, folder))
+
+
+@_query
+def tool_calls_hourly_by_deltas(spark, folder):
+    return usage_deltas.hourly_stats(spark, _delta_runs(spark, folder))
+
+
+@_query
+def watchlist_daily_by_deltas(spark, folder):
+    return usage_deltas.watchlist_stats(spark, _delta_runs(spark, folder))
+
+
+@_query
+def usage_distinct(spark, folder):
+    """Distinct users, tickers and pairs per day and over all days, counted, and whether the
+    estimate from united sketches lies within four times its standard error."""
+    paths = _delta_runs(spark, folder)
+    calls = sample_tables.tool_call_feed(spark, folder)
+    calls = calls.filter(F.col("_change_type").isin(*changefeed.CURRENT_ROWS)).withColumn("date", F.to_date("timestamp"))
+    names = ("users", "tickers", "pairs")
+
+    def day(date: Column | str) -> Column:
+        return F.coalesce(F.date_format(date, "yyyy-MM-dd"), F.lit("all")).alias("period")
+
+    facts = calls.select("date", F.col("user_id").alias("u"), F.col("ticker").alias("t")).distinct()
+    pair = F.when(F.col("t").isNotNull(), F.struct("u", "t"))
+    counts = [F.count_distinct("u").alias("users"), F.count_distinct("t").alias("tickers"), F.count_distinct(pair).alias("pairs")]
+    exact = facts.rollup("date").agg(*counts).withColumn("period", day("date")).drop("date")
+    daily = usage_deltas.distinct_counts(spark, paths, "date").withColumn("period", day("date")).drop("date")
+    whole = usage_deltas.distinct_counts(spark, paths, F.lit("all").alias("period"))
+    estimated = daily.unionByName(whole).select("period", *[F.col(n).alias(f"about_{n}") for n in names])
+    close = [
+        (F.abs(F.col(f"about_{n}") - F.col(n)) <= 1 + 4 * usage.SKETCH_ERROR * F.col(n)).alias(f"{n}_close") for n in names
+    ]
+    return exact.join(estimated, "period", "left").select("period", *names, *close)
+
+
+@_query
+def usage_freshness(spark, folder):
+    """How far the rollup is filled."""
+    mark = usage.high_water_mark(_daily_stats(spark, folder))
+    return spark.createDataFrame([(mark,)], "filled_until string")
+
+
 # Chat -------------------------------------------------------------------------------------
 
 
@@ -693,3 +854,34 @@ def chat_search(spark, folder):
 @_query
 def chat_intents(spark, folder):
     return routing.intent_counts(routing.route_messages(sample_tables.chat_messages(spark, folder)))
+
+
+@_query
+def chat_prices(spark, folder):
+    """The answers to all price messages, whose tickers are short names of the companies."""
+    routed = routing.route_messages(sample_tables.chat_messages(spark, folder))
+    quotes = prices.price_quote(_newest_bars(spark, folder), _companies(spark, folder))
+    short = F.concat(F.lit("T"), F.right("ticker", F.lit(9)).cast("int").cast("string"))
+    answers = routing.answer_prices(routed, quotes.withColumn("ticker", short))
+    return answers.select("conv_id", "turn", "ticker", "name", "price", "change", "change_pct", "volume")
+
+
+# Jobs -------------------------------------------------------------------------------------
+
+
+@_query
+def etl_written_rows(spark, folder):
+    """What the ETL job reports to have written, table by table."""
+    database = f"etl_{uuid.uuid4().hex}"
+    tables.create_database(spark, database, fresh_path(spark, "etl"))
+    landed = medallion.Landed(
+        sample_tables.landed_prices(spark, folder),
+        sample_tables.landed_companies(spark, folder),
+        sample_tables.landed_news(spark, folder),
+    )
+    written = medallion.run_medallion(
+        spark, database, landed, LOADED_AT, price_order=sample_tables.BAR_ORDER, company_order=("landing",)
+    )
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    rows = [(name, count) for name, count in written.items() if name != "quarantine"]
+    return spark.createDataFrame(rows, "table_name string, rows long")

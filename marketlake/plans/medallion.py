@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.vectors import Encoder
 from marketlake.operators import corpus as documents
-from marketlake.operators import embed, silver
+from marketlake.operators import embed, silver, stored_index
 from marketlake.operators.keys import listed
-from marketlake.schemas import INDEX
+from marketlake.schemas import FAILURES, FEED_COLUMNS, INDEX, SILVER_COMPANIES, SILVER_NEWS
+from marketlake.session import materialize
 from marketlake.sources import landing, tables
 
 
@@ -99,7 +100,8 @@ def run_embedding(
     new version of its table, which readers see when it is complete.
     """
     corpus = documents.text_corpus(
-        spark.table(f"{database}.silver_news"), spark.table(f"{database}.silver_companies")
+        tables.read_or_empty(spark, f"{database}.silver_news", SILVER_NEWS),
+        tables.read_or_empty(spark, f"{database}.silver_companies", SILVER_COMPANIES),
     )
     return refresh_index(corpus, path, encoder, dim, max_chars)
 
@@ -111,6 +113,51 @@ def refresh_index(
     dim: int = embed.DEFAULT_ENCODER.dim,
     max_chars: int | None = None,
 ) -> int:
-    index = tables.read_version(corpus.sparkSession, path, INDEX)
-    fresh = embed.embed_incremental(corpus, index, encoder, dim, max_chars)
-    return tables.write_version(embed.laid_out(embed.merge_index(index, fresh, corpus)), path)
+    """The index below `path` brought up to a corpus; returns its rows.
+
+    Texts on which the encoder failed are noted beside it, and tried again by `MOST_TRIES` runs.
+    """
+    spark = corpus.sparkSession
+    index, failures = tables.read_version(spark, path, INDEX), read_failures(spark, path)
+    fresh = embed.embed_incremental(corpus, index, encoder, dim, max_chars, embed.given_up(failures))
+    fresh = materialize(fresh, "fresh-documents")
+    written = tables.write_version(embed.laid_out(embed.merge_index(index, fresh, corpus)), path)
+    noted = materialize(embed.merge_failures(failures, fresh).select(FAILURES.names), "failures")
+    if not noted.isEmpty() or not failures.isEmpty():
+        tables.write_version(noted, _failures(path))
+    return written
+
+
+def _failures(path: str) -> str:
+    return f"{path}/_failures"
+
+
+def read_failures(spark: SparkSession, path: str) -> DataFrame:
+    """Texts of the index below `path` on which the encoder failed, with error and tries."""
+    return tables.read_version(spark, _failures(path), FAILURES)
+
+
+def feed_index(
+    spark: SparkSession,
+    path: str,
+    feed: DataFrame,
+    encoder: Encoder = embed.DEFAULT_ENCODER,
+    dim: int = embed.DEFAULT_ENCODER.dim,
+    clusters: int | None = None,
+    max_chars: int | None = None,
+) -> stored_index.StoredIndex:
+    """The stored index below `path` after the commits of a corpus feed that it has not taken up.
+
+    Without an index, one is built from the feed. What is read are new commits, what is written
+    their documents; centres and everything else stay.
+    """
+
+    def encode(documents: DataFrame) -> DataFrame:
+        return embed.embedded(documents, encoder, dim, max_chars)
+
+    if stored_index.exists(spark, path):
+        return stored_index.apply_feed(spark, stored_index.open_index(spark, path), feed, encode)
+    newest = feed.agg(F.max("_commit_version")).first()[0] or 0
+    changes = stored_index.net_changes(feed.filter(F.col("_commit_version") <= newest), -1)
+    present = changes.filter("_current").drop("_current", *FEED_COLUMNS.names)
+    return stored_index.build(materialize(encode(present), "embedded"), path, dim, clusters, newest)

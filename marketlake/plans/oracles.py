@@ -219,6 +219,21 @@ FROM profiles_t LEFT JOIN (
 WHERE landing = 2"""
 
 
+_STATEMENTS["price_range_summary"] = """
+SELECT request_id, ticker, min(snapshot_date) AS from_date, max(snapshot_date) AS to_date, count(*) AS bars,
+       arg_min(close_price, snapshot_date) AS start_price, arg_max(close_price, snapshot_date) AS end_price,
+       max(high_price) AS high, min(low_price) AS low, round(avg(volume), 4) AS avg_volume,
+       CASE WHEN arg_min(close_price, snapshot_date) <> 0 THEN
+         round((arg_max(close_price, snapshot_date) - arg_min(close_price, snapshot_date)) * 100
+               / arg_min(close_price, snapshot_date), 4) + 0.0 END AS change_pct
+FROM (SELECT *, since + CAST(request_id * 7 % 800 AS INT) AS until
+      FROM (SELECT o_orderkey AS request_id, 'SUPPLIER#' || lpad(CAST(o_orderkey % 10 + 1 AS VARCHAR), 9, '0') AS ticker,
+                   CAST(o_orderdate AS DATE) - CAST(o_orderkey % 40 AS INT) AS since FROM orders))
+JOIN silver_prices_t USING (ticker)
+WHERE snapshot_date >= since AND snapshot_date < until
+GROUP BY request_id, ticker"""
+
+
 # Corpus, embedding, search ----------------------------------------------------------------
 
 
@@ -290,6 +305,14 @@ _STATEMENTS["embed_corpus"] = """
 SELECT doc_id, doc_type, ticker, doc_id IN (SELECT doc_id FROM doc_vectors) AS embed_ok, vector
 FROM unique_docs JOIN doc_spelled USING (doc_id)"""
 
+_STATEMENTS["embed_failures"] = """
+SELECT doc_id, 'ValueError: refused' AS error, 2 AS tries, false AS embed_ok
+FROM unique_docs WHERE text <> '' AND length(text) % 41 = 0"""
+
+_TABLES["clipped_docs"] = "SELECT * REPLACE (substr(text, 1, 8000) AS text) FROM unique_docs"
+_TABLES["clipped_vectors"] = _encoded("clipped_docs", "doc_id")
+_STATEMENTS["embed_clipped"] = _spelled("clipped_vectors", "doc_id", "clipped_docs")
+
 _STATEMENTS["corpus_embeddable"] = """
 SELECT doc_id, doc_type, length(text) AS chars FROM corpus_t WHERE text <> ''"""
 
@@ -344,6 +367,13 @@ QUALIFY rank <= 5"""
 _STATEMENTS["knn_topk"] = f"SELECT doc_id, score, rank FROM ({_nearest('overall_query')})"
 _STATEMENTS["knn_batch"] = f"SELECT query_id, doc_id, score, rank FROM ({_nearest('label_queries')})"
 _STATEMENTS["knn_indexed"] = _STATEMENTS["knn_batch"]
+_STATEMENTS["index_reopened"] = _STATEMENTS["knn_batch"]
+_STATEMENTS["knn_filtered_indexed"] = f"""
+SELECT query_id, doc_id, score, rank
+FROM ({_nearest('label_queries', "doc_type = 'news' AND ticker = 'SUPPLIER#000000003'")})"""
+_STATEMENTS["knn_lsh_recall"] = """
+SELECT count(*) AS queries, CAST(sum(least(5, n)) AS BIGINT) AS wanted, true AS recall_reached
+FROM vector_index, (SELECT count(*) AS n FROM vector_index) WHERE doc_id % 20 = 0"""
 _TABLES["vector_queries"] = "SELECT doc_id AS query_id, embedding AS query_vector FROM vector_index"
 _STATEMENTS["knn_many_queries"] = f"""
 SELECT query_id, doc_id, score, rank FROM ({_nearest('vector_queries')}) WHERE rank <= 3"""
@@ -385,6 +415,7 @@ _STATEMENTS["semantic_search"] = f"""
 SELECT query_id, rank, score, doc_id, doc_type, ticker, title, text
 FROM ({_answers('questions', 'question_vectors', 'true')})"""
 _STATEMENTS["semantic_search_indexed"] = _STATEMENTS["semantic_search"]
+_STATEMENTS["index_from_feed"] = _STATEMENTS["semantic_search"]
 _STATEMENTS["search_results"] = f"""
 SELECT query_id, rank, score, ticker, coalesce(title, 'No title') AS title,
        CASE WHEN length(text) > 500 THEN substr(text, 1, 500) || '...' ELSE text END AS text,
@@ -640,6 +671,16 @@ _STATEMENTS["usage_incremental"] = "SELECT * FROM daily_stats"
 _STATEMENTS["usage_stream"] = "SELECT * FROM daily_stats"
 _STATEMENTS["usage_lagging_feed"] = "SELECT * FROM daily_stats"
 
+_STATEMENTS["usage_by_deltas"] = "SELECT * FROM daily_stats"
+_STATEMENTS["tool_calls_hourly_by_deltas"] = _STATEMENTS["tool_calls_hourly"]
+_STATEMENTS["watchlist_daily_by_deltas"] = _STATEMENTS["watchlist_daily"]
+_STATEMENTS["usage_distinct"] = """
+SELECT coalesce(strftime("date", '%Y-%m-%d'), 'all') AS period, count(DISTINCT user_id) AS users,
+       count(DISTINCT ticker) AS tickers, count(DISTINCT (user_id, ticker)) FILTER (WHERE ticker IS NOT NULL) AS pairs,
+       true AS users_close, true AS tickers_close, true AS pairs_close
+FROM current_calls GROUP BY ROLLUP ("date")"""
+_STATEMENTS["usage_freshness"] = "SELECT CAST(max(last_updated) AS VARCHAR) AS filled_until FROM daily_stats"
+
 _STATEMENTS["usage_last_7_days"] = """
 SELECT "date", CAST(sum(total_tool_calls) AS BIGINT) AS total_calls,
        CAST(sum(successful_calls) AS BIGINT) AS successful, CAST(sum(failed_calls) AS BIGINT) AS failed
@@ -691,8 +732,30 @@ def _needed(sql: str, done: list[str]) -> list[str]:
     return done
 
 
+_STATEMENTS["chat_prices"] = """
+SELECT conv_id, turn, r.ticker, CASE WHEN q.ticker IS NOT NULL THEN coalesce(company_name, q.ticker) END AS name, price, change, change_pct, volume
+FROM routed AS r LEFT JOIN quotes AS q ON r.ticker = 'T' || CAST(CAST(right(q.ticker, 9) AS INT) AS VARCHAR)
+WHERE intent = 'price'"""
+
+
+# Jobs -------------------------------------------------------------------------------------
+
+_STATEMENTS["etl_written_rows"] = """
+SELECT 'ingest_report' AS table_name,
+       (SELECT count(DISTINCT ticker) FROM landed_prices) + (SELECT count(DISTINCT ticker) FROM profiles_t)
+       + (SELECT count(DISTINCT ticker) FROM bronze_news_t) AS "rows"
+UNION ALL SELECT 'bronze_prices', count(*) FROM landed_prices
+UNION ALL SELECT 'bronze_companies', count(*) FROM profiles_t
+UNION ALL SELECT 'bronze_news', count(*) FROM bronze_news_t
+UNION ALL SELECT 'silver_prices', count(*) FROM silver_prices_t
+UNION ALL SELECT 'silver_companies', count(*) FROM companies_t
+UNION ALL SELECT 'silver_news', count(*) FROM news_t"""
+
+# Left out: `knn_lsh` returns what an approximate search happens to find.
+
+
 def statements() -> dict[str, str]:
-    """One runnable statement per registered query."""
+    """One runnable statement per registered query that has one."""
     full = {}
     for key, select in _STATEMENTS.items():
         tables = ",\n".join(f"{name} AS ({_TABLES[name].strip()})" for name in _needed(select, []))

@@ -57,6 +57,8 @@ INDEX = T.StructType([
     T.StructField("embedding", VECTOR),
     T.StructField("embed_ok", T.BooleanType()),
 ])
+# Texts on which the encoder failed, with the last error and the runs it failed in.
+FAILURES = _table(("doc_id", _STR), ("text_hash", _STR), ("error", _STR), ("tries", _INT))
 DOCUMENT_EMBEDDINGS = _table(
     ("ticker", _STR), ("title", _STR), ("text", _STR), ("date", _STR), ("doc_type", _STR),
     ("embedding_array", T.ArrayType(_DBL)),

@@ -286,3 +286,15 @@ def chat_messages(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(text)
         .alias("message"),
     )
+
+
+def range_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """One price range per order: its day and number say where it starts and how long it is."""
+    number = F.col("o_orderkey")
+    since = F.date_sub(F.col("o_orderdate").cast("date"), (number % 40).cast("int"))
+    return table(spark, folder, "orders").select(
+        number.alias("request_id"),
+        F.lower(numbered_ticker(number % NEWS_TICKERS + 1)).alias("ticker"),
+        since.alias("since"),
+        F.date_add(since, (number * 7 % 800).cast("int")).alias("until"),
+    )

@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 from marketlake.schemas import DECLARED_TABLES, PARTITION_COLUMNS
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create a database unless it exists, in the warehouse or at a location of its own."""
+    place = "" if location is None else f" LOCATION '{location}'"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:

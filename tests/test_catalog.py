@@ -40,11 +40,15 @@ def plan_of(df):
     return text.getvalue()
 
 
+# Tested against the full search in test_lsh.
+WITHOUT_SQL = {"knn_lsh"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) | WITHOUT_SQL
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)

@@ -2,11 +2,12 @@ from datetime import datetime
 
 import numpy as np
 import pytest
-
+from pyspark.sql import functions as F
 from row_order import ordered
+
 from marketlake.functions.vectors import HashingEncoder
 from marketlake.operators import corpus, embed
-from marketlake.schemas import SILVER_COMPANIES, SILVER_NEWS
+from marketlake.schemas import INDEX, SILVER_COMPANIES, SILVER_NEWS
 
 NOW = datetime(2024, 1, 31)
 
@@ -84,14 +85,14 @@ def test_null_and_empty_texts_get_zero_vectors(spark):
     assert any(found[3])
 
 
-def test_a_failing_batch_gets_zero_vectors(spark):
+def test_a_failing_text_gets_a_zero_vector(spark):
     def encoder(texts):
         if any("bad" in t for t in texts):
             raise RuntimeError("no answer")
         return np.ones((len(texts), 2))
 
     frame = spark.createDataFrame([("bad",), ("good",)], "text string").coalesce(1)
-    assert [r["embedding"] for r in embed.embed(frame, encoder, 2).collect()] == [[0.0, 0.0]] * 2
+    assert [r["embedding"] for r in embed.embed(frame, encoder, 2).collect()] == [[0.0, 0.0], [1.0, 1.0]]
     fine = frame.filter("text = 'good'")
     assert [r["embedding"] for r in embed.embed(fine, encoder, 2).collect()] == [[1.0, 1.0]]
 
@@ -146,3 +147,71 @@ def test_text_column_alone_reaches_the_encoder(news, companies, capsys):
     plan = capsys.readouterr().out
     assert "WindowGroupLimit" in plan and "ArrowEvalPython" in plan
 
+
+
+def test_a_bad_text_costs_only_itself():
+    from marketlake.functions import vectors
+
+    calls = []
+
+    def picky(texts):
+        calls.append(len(texts))
+        if any("bad" in t for t in texts):
+            raise ValueError("refused")
+        return embed.DEFAULT_ENCODER(texts)
+
+    texts = [f"word{i} text" if i % 50 else f"bad {i}" for i in range(400)] + [None, ""]
+    found, errors = vectors.encode_rows(texts, picky, 64)
+    assert [i for i, e in enumerate(errors) if e] == list(range(0, 400, 50))
+    assert errors[0] == "ValueError: refused"
+    good = [i for i, t in enumerate(texts) if t and i % 50]
+    assert (found[good] == embed.DEFAULT_ENCODER([texts[i] for i in good])).all()
+    assert not found[[0, 50, 400, 401]].any()
+    assert len(calls) < 8 * 2 * 10
+
+
+def test_an_encoder_that_is_down_is_not_asked_for_ever():
+    from marketlake.functions import vectors
+
+    calls = []
+
+    def down(texts):
+        calls.append(1)
+        raise RuntimeError("no answer")
+
+    _, errors = vectors.encode_rows([f"t{i}" for i in range(5000)], down, 4)
+    assert len(calls) == vectors.MOST_FAILING_CALLS and all(errors)
+    assert errors.count(vectors.NOT_TRIED) > 4900
+
+
+def test_failures_are_tried_again_until_given_up(spark, tmp_path, rows):
+    from marketlake.plans import medallion
+    from marketlake.sources import tables
+
+    docs = [(str(i), "news", "T", f"t{i}", "bad" if i == 3 else f"text {i}", "2024", "s") for i in range(8)]
+    corpus_of = lambda some: spark.createDataFrame(some, "doc_id string, doc_type string, ticker string, title string, text string, metadata_date string, metadata_source string")
+    path, seen = str(tmp_path / "index"), str(tmp_path / "calls")
+
+    def picky(texts):
+        with open(seen, "a") as log:
+            log.write("".join(f"{t}\n" for t in texts if len(texts) == 1))
+        if "bad" in texts:
+            raise ValueError("refused")
+        return embed.DEFAULT_ENCODER(texts)
+
+    for tries in (1, 2, 3, 3):
+        medallion.refresh_index(corpus_of(docs), path, picky)
+        assert rows(medallion.read_failures(spark, path), "doc_id", "error", "tries") == [("3", "ValueError: refused", tries)]
+    assert open(seen).read().split("\n").count("bad") == 3
+    docs[3] = (*docs[3][:4], "better", *docs[3][5:])
+    medallion.refresh_index(corpus_of(docs), path, picky)
+    assert medallion.read_failures(spark, path).count() == 0
+    assert tables.read_version(spark, path, INDEX).filter("embed_ok").count() == 8
+
+
+def test_unbalanced_documents_are_dealt_anew(spark):
+    one = spark.range(500).repartition(1).withColumn("text", F.lit("a"))
+    assert embed.balanced(one).select(F.spark_partition_id()).distinct().count() > 4
+    even = spark.range(500).repartition(8).withColumn("text", F.lit("a"))
+    assert embed.balanced(even) is even
+    assert embed.balanced(one.limit(0)).count() == 0
