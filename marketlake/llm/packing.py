@@ -18,6 +18,8 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pandas as pd
@@ -32,11 +34,14 @@ END_ID = 0
 CHUNK_PIECES = 20_000
 # Sequences with more room than this share are dealt anew in the second round.
 LOOSE_SHARE = 0.01
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 600_000
 LONGEST_REMEMBERED = 64
 MARKS = (b".", b",")
 # Fixed value: what tokens at the end of a word end with.
 WORD_END = "</w>"
+# Words that go to the tokenizer in one call; bytes of texts whose words are looked up together.
+WORDS_AT_ONCE = 50_000
+BATCH_BYTES = 2 << 20
 ID_BYTES = 4
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"row long, {PIECES}, sequence long, offset long"
@@ -49,9 +54,9 @@ class Encoder:
     """Token ids of texts as little-endian 32-bit numbers, for a tokenizer that drops white
     space and lower-cases: words are encoded on their own and remembered.
 
-    Words are kept in two halves: when the younger one is full, it becomes the older one, and
-    only words that still occur come back. New words of letters, with or without a mark behind,
-    are encoded many at a time and cut where a token ends a word.
+    Texts come in batches. The new words of letters of a batch are encoded in one call and cut
+    where a token ends a word. Words are kept in two halves: when the younger one is full, it
+    becomes the older one, and only words that still occur come back.
     """
 
     def __init__(self, path: str):
@@ -68,49 +73,74 @@ class Encoder:
         self.marks = {mark: self._alone(mark) for mark in MARKS}
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        for text in texts:
-            # Lower case saves memory; special strings count only as they are written.
-            lowered = text.lower()
-            words = (text if any(s in lowered for s in self.special) else lowered).split()
-            new = set(words).difference(self.young)
-            if new:
-                self._learn(new)
-            yield b"".join(map(self.young.__getitem__, words))
-            for word in new:
-                if len(word) > LONGEST_REMEMBERED:
-                    del self.young[word]
-            if len(self.young) > REMEMBERED_WORDS // 2:
-                self.old, self.young = self.young, {}
-
-    def _alone(self, word: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        split = [self._words(text) for text in texts]
+        found = [list(map(self.young.get, words)) for words in split]
+        gaps = [list(compress(range(len(words)), map(not_, ids))) for words, ids in zip(split, found)]
+        new = {words[i] for words, gap in zip(split, gaps) for i in gap}
+        self._learn(new)
+        for words, ids, gap in zip(split, found, gaps):
+            for i in gap:
+                ids[i] = self.young[words[i]]
+            yield b"".join(ids)
+        for word in new:
+            if len(word) > LONGEST_REMEMBERED:
+                del self.young[word]
+        if len(self.young) > REMEMBERED_WORDS // 2:
+            self.old, self.young = self.young, {}
+
+    def _words(self, text: bytes) -> list[bytes]:
+        # Lower case saves memory; special strings count only as they are written.
+        lowered = text.lower()
+        return (text if any(s in lowered for s in self.special) else lowered).split()
 
     def _learn(self, words: set[bytes]) -> None:
         young, old = self.young, self.old
-        stems: dict[bytes, list[tuple[bytes, bytes]]] = {}
-        for word in words:
-            known = old.get(word)
-            if known is not None:
-                young[word] = known
-                continue
-            stem, mark = (word[:-1], word[-1:]) if word[-1:] in MARKS else (word, b"")
-            # Lower case may split a letter in two characters, one of them no letter.
-            if stem.decode().isalpha() and stem.decode().lower().isalpha():
-                stems.setdefault(stem, []).append((word, mark))
+        known = old.keys() & words
+        young.update((word, old[word]) for word in known)
+        # A mark behind a letter is a token of its own: such a word has the ids of its stem.
+        marked: list[tuple[bytes, bytes]] = []
+        new: set[bytes] = set()
+        for word in words - known:
+            stem = word[:-1]
+            if word[-1:] in self.marks and stem[-1:].isalpha():
+                marked.append((word, stem))
+                if stem not in young and stem not in old:
+                    new.add(stem)
             else:
-                young[word] = self._alone(word)
-        for stem, ids in zip(stems, self._letters(list(stems))):
-            for word, mark in stems[stem]:
-                young[word] = ids + self.marks[mark] if mark else ids
-
-    def _letters(self, words: list[bytes]) -> list[bytes]:
-        if not words:
-            return []
-        ids = np.array(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids, "<u4")
+                new.add(word)
+        letters = [w for w in new if w.isalpha() or (not w.isascii() and self._spelled(w.decode()))]
+        for some, ids_of in ((letters, self._together), (list(new.difference(letters)), self._apart)):
+            for first in range(0, len(some), WORDS_AT_ONCE):
+                part = some[first : first + WORDS_AT_ONCE]
+                young.update(zip(part, ids_of(part)))
+        for word, stem in marked:
+            young[word] = (young.get(stem) or old[stem]) + self.marks[word[-1:]]
+
+    @staticmethod
+    def _spelled(word: str) -> bool:
+        """Whether a word is of letters, also in lower case, which may split a letter in two."""
+        return word.isalpha() and word.lower().isalpha()
+
+    def _together(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of letters, encoded as one text and cut where a token ends a word."""
+        text = b" ".join(words).decode()
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
-        if len(ends) != len(words):
-            return [self._alone(word) for word in words]
-        return [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+        return _sliced(ids, [0, *ends]) if len(ends) == len(words) else self._apart(words)
+
+    def _apart(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of any kind, which the tokenizer takes one by one."""
+        found = self.tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
+        of = np.array(found.word_ids, np.int64)
+        return _sliced(np.array(found.ids, "<u4"), np.searchsorted(of, np.arange(len(words) + 1)).tolist())
+
+    def _alone(self, word: bytes) -> bytes:
+        return self._apart([word])[0]
+
+
+def _sliced(ids: np.ndarray, ends: list[int]) -> list[bytes]:
+    data = ids.tobytes()
+    return [data[a * ID_BYTES : b * ID_BYTES] for a, b in zip(ends, ends[1:])]
 
 
 def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
@@ -121,6 +151,20 @@ def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
         yield piece, at // ID_BYTES, len(part) // ID_BYTES, zlib.crc32(part)
 
 
+def _grouped(texts: list[bytes], most: int) -> Iterator[list[bytes]]:
+    """Texts in groups of a bounded number of bytes, or one longer text alone."""
+    group: list[bytes] = []
+    size = 0
+    for text in texts:
+        if group and size + len(text) > most:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -134,9 +178,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             texts = [text or b"" for text in batch.column("text").cast(pa.binary()).to_pylist()]
+            ids_of = (ids for some in _grouped(texts, BATCH_BYTES) for ids in encoder.encode(some))
             rows = [
                 (doc_id, *part)
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts))
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), ids_of)
                 for part in cut(ids + end, capacity)
             ]
             columns = list(zip(*rows)) if rows else [()] * 5
