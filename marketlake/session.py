@@ -22,8 +22,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Long texts: bound a Python batch by bytes as well as by rows. A worker keeps the memory of
     # its largest batch, so batches are small.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 _LOCAL_WORK_ROOTS: dict[str, str] = {}
