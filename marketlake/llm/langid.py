@@ -8,12 +8,13 @@ letters is the score. Letters of words whose scripts no language uses are held b
 lower the score, and a text of such words alone has score 0 (and the commonest language).
 
 The classifier is fitted on the documents with a language, at most `SAMPLE_ROWS` of each (a
-bounded sample by hash of the id); its size is fixed: languages times `BUCKETS`. More than
+bounded sample by hash of id and text); its size is fixed: languages times `BUCKETS`. More than
 `LANGUAGES` languages are an error, for none may be left out. Every document is labelled from its whole text. Texts are read in place, nothing is
 shuffled but the counts of the sample.
 
 `und` with score 0 is for null texts, texts without a letter, and for all when nothing could
-be learned. Equal scores go to the language first in order. Repeated rows get a row each;
+be learned. Very long texts are labelled from all their words. Equal scores go to the language
+first in order. Repeated rows get a row each, and teach once; null ids are like others;
 empty tables give empty results; extra columns are left out.
 """
 
@@ -25,13 +26,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.session import materialize
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 2000
+SAMPLE_PARTS = 256
 LANGUAGES = 200
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
@@ -125,17 +127,28 @@ def trigram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sample(docs: DataFrame, training: Column, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Labelled texts to fit on: of each language the rows whose ids have the smallest hashes."""
+    """Labelled texts to fit on: of each language the rows with the smallest hashes of id and text.
+
+    Rows of one id and text count once, null ids like any others. The smallest hashes are
+    found in `SAMPLE_PARTS` parts of each language first, so that no task sees all its rows.
+    """
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
     labelled = docs.filter(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    ids = labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("turn"))
-    place = F.expr("row_number() over (partition by lang order by turn, doc_id)")
-    chosen = materialize(ids.withColumn("place", place).filter(F.col("place") <= rows), "language-sample")
-    chosen = chosen.select("lang", "doc_id").distinct()
+    labelled = labelled.select("lang", "text", key.alias("turn"))
+    keys = labelled.groupBy("lang", "turn", F.pmod("turn", F.lit(SAMPLE_PARTS)).alias("part")).agg(F.count("*"))
+
+    def first(found: DataFrame, *by: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("turn"))
+        return found.withColumn("place", place).filter(F.col("place") <= rows).drop("place")
+
+    chosen = first(first(keys.select("lang", "part", "turn"), "lang", "part"), "lang")
+    chosen = materialize(chosen.select("lang", "turn"), "language-sample")
     found = chosen.select("lang").distinct().count()
     if found > LANGUAGES:
         raise ValueError(f"{found} languages to learn, more than {LANGUAGES}")
-    # At most rows x LANGUAGES ids.
-    return labelled.select("lang", "doc_id", "text").join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi")
+    # At most rows x LANGUAGES keys.
+    taken = labelled.join(F.broadcast(chosen), ["lang", "turn"], "left_semi")
+    return taken.groupBy("lang", "turn").agg(F.first("text").alias("text")).select("lang", "text")
 
 
 def fit(texts: DataFrame) -> Model:

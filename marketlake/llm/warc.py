@@ -10,7 +10,8 @@ separator is the blank line that ends a record, so any file system Spark knows w
 file has at most `FILE_BYTES` of payload, as far as single pages allow, and is read in one
 piece.
 
-A null payload counts as empty. Payloads below `min_bytes` are always responses. A null url
+Pages may be very long: one above the largest size class has a file of its own. A null payload
+counts as empty. Payloads below `min_bytes` are always responses. A null url
 leaves its header out. Rows that repeat page id and payload give one response and revisits to
 it; of short payloads each row gives a response, with the same record id. A null page id is
 smaller than any other. Empty tables give an empty archive; extra columns are left out.
@@ -31,6 +32,8 @@ from marketlake.session import fresh_path, materialize
 
 MIN_BYTES = 1000
 FILE_BYTES = 256 << 20
+# Where classes of record sizes end.
+SIZE_CLASSES = (64 << 10, 1 << 20, 16 << 20, 256 << 20)
 WRITTEN_AT = "2024-01-01T00:00:00Z"
 LINE = "\r\n"
 RECORD_END = "\r\n\r\n"
@@ -168,10 +171,30 @@ def write_archives(
         ("Content-Length", F.octet_length(http).cast("string")),
     )
     revisits = repeats.select(F.concat(revisit, http).alias("value"))
-    longest = found.rows.agg(F.max("bytes")).first()[0] or 0
-    records = max(1, FILE_BYTES // (longest + 1024))
-    writer = responses.unionByName(revisits).write.option("lineSep", RECORD_END)
-    writer.option("maxRecordsPerFile", records).option("compression", "none").text(path)
+    _write_by_size(responses.unionByName(revisits), found.rows, path)
+
+
+def _write_by_size(values: DataFrame, rows: DataFrame, path: str) -> None:
+    """Records into files of at most about `FILE_BYTES`, by classes of size.
+
+    Files are cut after a number of records that their class allows, so that one long page
+    makes a file of its own and leaves the files of the others as they are.
+    """
+    ends = [*SIZE_CLASSES, None]
+    size = F.octet_length("value")
+    counted = [
+        F.count_if((F.col("bytes") >= low) & (F.lit(True) if high is None else F.col("bytes") < high))
+        for low, high in zip((0, *SIZE_CLASSES), ends)
+    ]
+    present = rows.agg(*counted).first()
+    # The header puts some pages into the next class, and revisits are in the first.
+    wanted = [i == 0 or present[i] > 0 or present[i - 1] > 0 for i in range(len(ends))]
+    for low, high, there in zip((0, *SIZE_CLASSES), ends, wanted):
+        if there:
+            part = values.filter((size >= low) & (F.lit(True) if high is None else size < high))
+            records = 1 if high is None else max(1, FILE_BYTES // high)
+            writer = part.write.mode("append").option("lineSep", RECORD_END).option("maxRecordsPerFile", records)
+            writer.option("compression", "none").text(path)
 
 
 # Reading -----------------------------------------------------------------------------------

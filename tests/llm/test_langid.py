@@ -98,3 +98,61 @@ def test_nothing_learned(make):
     model = langid.fit(langid.sample(docs, F.lit(True)))
     assert [(r["lang_pred"], r["score"]) for r in langid.identified(docs, model).collect()] == [("und", 0.0)] * 2
     assert langid.identified(docs.limit(0), model).count() == 0
+
+
+def test_the_sample_is_bounded_and_knows_null_ids(make):
+    text = "mot de la langue nulle"
+    rows = [(None, f"{text} {i}", "fr") for i in range(30)] + [(5, "same words of one id", "en")] * 50
+    found = langid.sample(make(*rows), F.lit(True), rows=10).collect()
+    assert sorted(r["lang"] for r in found) == ["en"] + ["fr"] * 10
+    model = langid.fit(langid.sample(make(*rows), F.lit(True)))
+    assert model.languages == ("en", "fr")
+
+
+def plain_label(model, text, penalty):
+    """Language and score by a plain Viterbi over words, one after the other."""
+    n = len(model.languages)
+    cells, sizes, held = [], [], []
+    for word in text.lower().split():
+        letters = "".join(filter(str.isalpha, word))
+        if not letters:
+            continue
+        sizes.append(len(letters))
+        used = [all(model.scripts[langid.script_of(c), l] for c in letters) for l in range(n)]
+        score = model.logs[langid.trigram_buckets([letters])[0]].sum(axis=0).astype(np.float32).astype(float)
+        held.append(len(letters) if any(used) else 0)
+        if not any(used):
+            score = np.zeros(n)
+        elif not all(used):
+            low = min(s for s, u in zip(score, used) if u) - 2 * penalty
+            score = np.array([s if u else low for s, u in zip(score, used)])
+        cells.append(score)
+    if not cells:
+        return "und", 0.0
+    total, back = list(cells[0]), []
+    for score in cells[1:]:
+        top = int(np.argmax(total))
+        step = [l if total[l] >= total[top] - penalty else top for l in range(n)]
+        total = [max(total[l], total[top] - penalty) + score[l] for l in range(n)]
+        back.append(step)
+    label = int(np.argmax(total))
+    path = [label]
+    for step in reversed(back):
+        label = step[label]
+        path.append(label)
+    path.reverse()
+    letters = np.bincount(path, weights=held, minlength=n)
+    best = int(letters.argmax()) if sum(held) else model.commonest
+    return model.languages[best], letters[best] / sum(sizes)
+
+
+def test_labels_against_a_plain_search(documents, model, make):
+    mixed = [r["text"] for r in documents.filter("n_chars > 300").limit(12).collect()]
+    texts = [r["text"] for r in documents.limit(60).collect()]
+    texts += [" ".join(x for pair in zip(mixed[i].split(" ")[:40], mixed[i + 1].split(" ")[:40]) for x in pair) for i in range(10)]
+    texts += [" ".join(mixed[i].split()[:60] + mixed[i + 2].split()[:60]) for i in range(8)]
+    texts += ["mot 漢字 word", "漢字", "", "12 34", " ".join(mixed) * 20]
+    found = {r["doc_id"]: r for r in langid.identified(make(*enumerate(texts)), model).collect()}
+    for i, text in enumerate(texts):
+        lang, score = plain_label(model, text, langid.SWITCH_PENALTY)
+        assert (found[i]["lang_pred"], found[i]["score"]) == (lang, pytest.approx(score, abs=1e-3)), i

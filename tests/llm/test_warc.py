@@ -79,3 +79,13 @@ def test_damaged_archives_are_refused():
 
 def test_empty_table(pages):
     assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+def test_one_long_page_leaves_the_others_together(spark, tmp_path):
+    rows = [(i, f"u{i}", f"{i} " + "x" * 1200) for i in range(400)] + [(1000, "long", "y" * (20 << 20)), (1001, "long", "y" * (20 << 20))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(pages, str(tmp_path / "w"))
+    files = [f for f in (tmp_path / "w").iterdir() if f.name.startswith("part") and f.stat().st_size]
+    assert len(files) <= 6
+    found = warc.read_archives(spark, str(tmp_path / "w")).filter("page_id >= 1000").collect()
+    assert sorted((r["page_id"], r["record_type"], r["payload_bytes"]) for r in found) == [(1000, "revisit", 20 << 20), (1001, "response", 20 << 20)]
