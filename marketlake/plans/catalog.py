@@ -27,6 +27,7 @@ from marketlake.operators import (
     vector_index,
     watchlists,
 )
+from marketlake.operators.keyed_store import WatchlistStore
 from marketlake.plans import medallion, usage_deltas
 from marketlake.plans.usage_rollup import UsagePaths, read_daily_stats, run_usage_rollup
 from marketlake.schemas import INDEX
@@ -636,6 +637,30 @@ def watchlist_after_remove(spark, folder):
     return _removed(spark, folder).tickers
 
 
+def _watchlist_store(spark, folder) -> WatchlistStore:
+    database = f"watchlists_{uuid.uuid4().hex}"
+    tables.create_database(spark, database, fresh_path(spark, "watchlists"))
+    store = WatchlistStore.of(database)
+    store.load(*_relations(spark, folder))
+    return store
+
+
+@_query
+def watchlist_store_add(spark, folder):
+    """All lists after a batch of additions that was appended to bucketed tables."""
+    store = _watchlist_store(spark, folder)
+    store.add(materialize(sample_tables.add_requests(spark, folder), "requests"), 1)
+    return store.listed(spark).select("email", "list_name", "ticker", "added_at")
+
+
+@_query
+def watchlist_store_remove(spark, folder):
+    """All lists after a batch of removals that was appended to bucketed tables."""
+    store = _watchlist_store(spark, folder)
+    store.remove(materialize(sample_tables.remove_requests(spark, folder), "requests"), 1)
+    return store.listed(spark).select("email", "list_name", "ticker", "added_at")
+
+
 @_query
 def watchlist_mutation_log(spark, folder):
     """What a batch of additions and a batch of removals log."""

@@ -526,6 +526,14 @@ FROM removals LEFT JOIN (
   SELECT * FROM doomed JOIN watchlist_tickers_t USING (watchlist_id, ticker)
 ) USING (email, list_name, ticker)
 GROUP BY ALL"""
+_STATEMENTS["watchlist_store_add"] = """
+SELECT email, name AS list_name, ticker, added_at
+FROM watchlist_tickers_t JOIN watchlists_t USING (watchlist_id) JOIN users_t USING (user_id)
+UNION ALL SELECT email, list_name, ticker, added_at FROM rows_added"""
+_STATEMENTS["watchlist_store_remove"] = """
+SELECT email, name AS list_name, ticker, added_at
+FROM watchlist_tickers_t JOIN watchlists_t USING (watchlist_id) JOIN users_t USING (user_id)
+WHERE (watchlist_id, ticker) NOT IN (SELECT (watchlist_id, ticker) FROM doomed)"""
 _STATEMENTS["watchlist_mutation_log"] = """
 SELECT md5(concat_ws('-', operation, watchlist_id, ticker, epoch_us("timestamp"))) AS mutation_id,
        "timestamp", email AS user_id, ticker, operation, source

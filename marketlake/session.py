@@ -20,6 +20,8 @@ RUNTIME_SETTINGS = {
     # Split a hot join key even where the next step then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Ranks up to this are cut down in the map tasks.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     # Long texts: bound a Python batch by bytes as well as by rows. A worker keeps the memory of
     # its largest batch, so batches are small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
