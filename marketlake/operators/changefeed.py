@@ -81,11 +81,13 @@ def write_feed(feed: DataFrame, path: str, event_time: str) -> None:
 
     A reader from a commit on, and a reader of given dates, each skip all other folders.
     Rebalancing splits the files of a very large commit and merges small ones. The versions
-    and times of the commits are noted beside the feed, before its rows: a reader may find a
+    and times of the commits, and of their newest events, are noted beside the feed, before its rows: a reader may find a
     commit without rows, never rows without their commit.
     """
     dated = feed.withColumn("event_date", F.to_date(event_time))
-    commits = dated.groupBy("_commit_version").agg(F.max("_commit_timestamp").alias("committed_at"))
+    commits = dated.groupBy("_commit_version").agg(
+        F.max("_commit_timestamp").alias("committed_at"), F.max(event_time).alias("newest_event")
+    )
     commits.coalesce(1).write.mode("append").parquet(commits_path(path))
     dated.hint("rebalance", "_commit_version", "event_date").write.mode("append").partitionBy(
         "_commit_version", "event_date"

@@ -58,6 +58,15 @@ def hourly_parts(feed: DataFrame, weights: dict[str, int] = WRITTEN_CALLS) -> Da
     )
 
 
+def hourly_columns(calls: DataFrame) -> DataFrame:
+    """Every call as a part of its own."""
+    error = F.col("error_message").isNotNull().cast("long")
+    return calls.select(
+        F.date_trunc("hour", "timestamp").alias("hour"), "tool_name", "user_id", F.lit(1).cast("long").alias("call_count"),
+        F.col("success").cast("long").alias("success_count"), error.alias("error_count"), (1 - error).alias("successful_calls"),
+    )
+
+
 def hourly_of_parts(parts: DataFrame) -> DataFrame:
     counts = ("call_count", "success_count", "error_count", "successful_calls")
     summed = parts.groupBy("hour", "tool_name", "user_id").agg(*[F.sum(c).alias(c) for c in counts])

@@ -33,6 +33,7 @@ from marketlake.plans.usage_rollup import UsagePaths, read_daily_stats, run_usag
 from marketlake.schemas import INDEX
 from marketlake.session import fresh_path, materialize, prepare
 from marketlake.sources import landing, sample_tables, tables
+from marketlake.streaming import usage_windows
 from marketlake.streaming.usage_stream import start_usage_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -856,6 +857,18 @@ def usage_freshness(spark, folder):
     return spark.createDataFrame([(mark,)], "filled_until string")
 
 
+@_query
+def tool_calls_hourly_windowed(spark, folder):
+    """Both halves of the calls taken up by two runs of the stream with state; what is more than a
+    day behind comes in on its own."""
+    paths = _usage_paths(spark)
+    for first in (True, False):
+        _commit_half(spark, folder, paths, first, feeds=("calls",))
+        for query in usage_windows.start_window_stream(spark, paths, f"{paths.rollups}/_window_progress"):
+            query.awaitTermination()
+    return usage_windows.hourly_stats(spark, paths)
+
+
 # Chat -------------------------------------------------------------------------------------
 
 

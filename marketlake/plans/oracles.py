@@ -681,6 +681,7 @@ _STATEMENTS["usage_lagging_feed"] = "SELECT * FROM daily_stats"
 
 _STATEMENTS["usage_by_deltas"] = "SELECT * FROM daily_stats"
 _STATEMENTS["tool_calls_hourly_by_deltas"] = _STATEMENTS["tool_calls_hourly"]
+_STATEMENTS["tool_calls_hourly_windowed"] = _STATEMENTS["tool_calls_hourly"]
 _STATEMENTS["watchlist_daily_by_deltas"] = _STATEMENTS["watchlist_daily"]
 _STATEMENTS["usage_distinct"] = """
 SELECT coalesce(strftime("date", '%Y-%m-%d'), 'all') AS period, count(DISTINCT user_id) AS users,
