@@ -24,6 +24,7 @@ HEADLINE = (
     "price_period_summary",
     "compare_tickers",
     "company_fundamentals",
+    "price_range_summary",
     "text_corpus",
     "embed_corpus",
     "embed_incremental",
@@ -33,6 +34,8 @@ HEADLINE = (
     "knn_by_ticker",
     "knn_indexed",
     "knn_many_queries",
+    "knn_lsh",
+    "index_reopened",
     "semantic_search",
     "semantic_search_indexed",
     "chat_search",
@@ -41,6 +44,7 @@ HEADLINE = (
     "watchlist_add",
     "watchlist_remove",
     "watchlist_replay",
+    "watchlist_store_add",
     "notes_save",
     "notes_get",
     "snapshot_diff",
@@ -50,6 +54,7 @@ HEADLINE = (
     "usage_last_7_days",
     "usage_incremental",
     "usage_lagging_feed",
+    "usage_by_deltas",
     "usage_stream",
     "chat_route",
 )
