@@ -5,7 +5,7 @@ of `LENGTH` bytes are judged, each by its anchor: the place in its first half wi
 hash of `GRAM` bytes, the first of equal ones. Equal windows have their anchors at the same
 offset, and every window holds `LENGTH - reach` bytes from its anchor on, the core.
 
-1. Texts are dealt to runs of about `RUN_BYTES`. Every run sends the hashes of its anchors' cores
+1. Texts are dealt to runs of about `RUN_BYTES`, which are kept compressed. Every run sends the hashes of its anchors' cores
    once each, sorted, and hears which of them other runs have, or hold twice itself. That leaves
    anchors whose suffixes may share a window; a wrong positive costs work only.
 2. For those the run sorts the suffixes that start at the anchors, cut to what the anchor's
@@ -242,37 +242,51 @@ def repeated_offsets(
 # Spark ------------------------------------------------------------------------------------
 
 
+_RUNS = "run long, doc_ids array<long>, sizes array<int>, data binary"
+
+
 def texts_in_runs(docs: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
-    """run, row (its number there), doc_id and data of all texts; runs end at a bound of bytes."""
+    """All texts, a run a row: ids, sizes, and the compressed bytes of its texts one after the
+    other. Runs end at a bound of bytes."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        run, row, size = task << 32, 0, 0
+        run, size = TaskContext.get().partitionId() << 32, 0
+        ids: list[int | None] = []
+        parts: list[bytes] = []
+
+        def row() -> pa.RecordBatch:
+            data = pa.compress(b"".join(parts), codec="zstd", asbytes=True)
+            columns = [[run], [ids], [[len(p) for p in parts]], [data]]
+            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["run", "doc_ids", "sizes", "data"])
+
         for batch in batches:
-            runs, rows = [], []
-            data = batch.column("data")
-            for n in np.diff(np.frombuffer(data.buffers()[1], np.int32, len(data) + 1, 4 * data.offset)).tolist():
-                if row and size + n > run_bytes:
-                    run, row, size = run + 1, 0, 0
-                runs.append(run)
-                rows.append(row)
-                row, size = row + 1, size + n
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(runs, pa.int64()), pa.array(rows, pa.int64()), batch.column("doc_id"), data],
-                names=["run", "row", "doc_id", "data"],
-            )
+            for doc_id, part in zip(batch.column("doc_id").to_pylist(), batch.column("data").to_pylist()):
+                if parts and size + len(part) > run_bytes:
+                    yield row()
+                    run, size, ids, parts = run + 1, 0, [], []
+                ids.append(doc_id)
+                parts.append(part)
+                size += len(part)
+        if parts:
+            yield row()
 
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data")
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), data)
-    return materialize(chosen.mapInArrow(deal, "run long, row long, doc_id long, data binary"), "texts")
+    return materialize(chosen.mapInArrow(deal, _RUNS), "texts")
+
+
+def _unpacked(sizes: list[int], data: bytes) -> list[np.ndarray]:
+    """The bytes of each text of a run."""
+    ends = np.cumsum([0, *sizes])
+    whole = np.frombuffer(pa.decompress(data, int(ends[-1]), codec="zstd"), np.uint8) if ends[-1] else np.zeros(0, np.uint8)
+    return [whole[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
 
-def _run_anchors(data: pa.Array, length: int) -> Iterator[tuple[int, np.ndarray, tuple]]:
-    """Number, bytes and anchors of every text that has a window."""
-    for row, value in enumerate(data):
-        buffer = value.as_buffer()
-        if buffer is not None and len(buffer) >= length:
-            codes = np.frombuffer(buffer, np.uint8)
+def _run_anchors(sizes: list[int], data: bytes, length: int) -> Iterator[tuple[int, np.ndarray, tuple]]:
+    """Number, bytes and anchors of every text of a run that has a window."""
+    for row, codes in enumerate(_unpacked(sizes, data)):
+        if len(codes) >= length:
             yield row, codes, anchors_of(codes, length)
 
 
@@ -285,9 +299,7 @@ _CORES = "run long, bucket long, cores binary, twice binary"
 
 def _cores(texts: DataFrame, buckets: int, length: int) -> DataFrame:
     """Per run and bucket, the hashes of the run's cores in order, and whether it has them twice.
-
-    Texts are read in place. A run that two tasks share sends twice, which counts the same.
-    """
+    Texts are read in place."""
 
     def sent(run: int, parts: list[np.ndarray]) -> pa.RecordBatch:
         cores, counts = np.unique(np.concatenate(parts), return_counts=True)
@@ -303,19 +315,13 @@ def _cores(texts: DataFrame, buckets: int, length: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["run", "bucket", "cores", "twice"])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run, parts = None, []
         for batch in batches:
-            of = batch.column("run").to_pylist()
-            for row, _, found in _run_anchors(batch.column("data"), length):
-                if of[row] != run:
-                    if parts:
-                        yield sent(run, parts)
-                    run, parts = of[row], []
-                parts.append(found[3])
-        if parts:
-            yield sent(run, parts)
+            for run, sizes, data in zip(*[batch.column(c) for c in ("run", "sizes", "data")]):
+                parts = [found[3] for _, _, found in _run_anchors(sizes.as_py(), data.as_py(), length)]
+                if parts:
+                    yield sent(run.as_py(), parts)
 
-    return texts.select("run", "data").mapInArrow(send, _CORES)
+    return texts.select("run", "sizes", "data").mapInArrow(send, _CORES)
 
 
 def _repeated_cores(cores: DataFrame) -> DataFrame:
@@ -342,6 +348,14 @@ _SUFFIXES = "bucket long, run long, common binary, sizes binary, rests binary, l
 _SUFFIX_COLUMNS = [c.split(" ")[0] for c in _SUFFIXES.split(", ")]
 
 
+def _small(data: bytes) -> bytes:
+    return pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _whole(data: bytes, size: int) -> bytes:
+    return pa.decompress(data, size, codec="zstd", asbytes=True) if size else b""
+
+
 def _packed_suffixes(bucket: int, run: int, suffixes: dict[tuple[bytes, bytes], list[tuple[int, int]]], length: int) -> tuple:
     """A sorted run of one bucket: front-coded suffixes, left contexts, numbers of places, places."""
     order = sorted(suffixes)
@@ -350,7 +364,7 @@ def _packed_suffixes(bucket: int, run: int, suffixes: dict[tuple[bytes, bytes],
     facts = np.array([(len(right), len(left), len(p)) for (right, left), p in zip(order, places)], np.int32)
     flat = np.array([x for p in places for x in p], np.int64).reshape(-1, 2)
     return (
-        bucket, run, common.tobytes(), sizes.tobytes(), rests, b"".join(left for _, left in order),
+        bucket, run, common.tobytes(), sizes.tobytes(), _small(rests), _small(b"".join(left for _, left in order)),
         facts.tobytes(), flat[:, 0].astype(np.int32).tobytes(), flat[:, 1].astype(np.int64).tobytes(),
     )
 
@@ -366,8 +380,8 @@ def _suffixes(texts: DataFrame, repeated: DataFrame, buckets: int, length: int)
             run = left.column("run")[0].as_py()
             held: dict[int, dict] = {}
             size = 0
-            table = left.sort_by("row")
-            for row, codes, (anchors, first, last, cores) in _run_anchors(table.column("data").combine_chunks(), length):
+            texts_of = (left.column(c)[0].as_py() for c in ("sizes", "data"))
+            for row, codes, (anchors, first, last, cores) in _run_anchors(*texts_of, length):
                 at = np.minimum(np.searchsorted(wanted, cores), len(wanted) - 1)
                 hit = wanted[at] == cores
                 buffer = codes.tobytes()
@@ -384,7 +398,7 @@ def _suffixes(texts: DataFrame, repeated: DataFrame, buckets: int, length: int)
         types = [pa.int64(), pa.int64()] + [pa.binary()] * 7
         return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=_SUFFIX_COLUMNS)
 
-    texts = texts.select("run", "row", "data")
+    texts = texts.select("run", "sizes", "data")
     return texts.groupBy("run").cogroup(repeated.groupBy("run")).applyInArrow(send, _SUFFIXES)
 
 
@@ -394,8 +408,11 @@ def _covered(suffixes: DataFrame, length: int) -> DataFrame:
         columns = {c: table.column(c).to_pylist() for c in _SUFFIX_COLUMNS}
         numbers = {c: [np.frombuffer(x, t) for x in columns[c]] for c, t in (("common", SIZE), ("sizes", SIZE), ("rows", np.int32), ("ends", np.int64))}
         facts = [np.frombuffer(x, np.int32).reshape(-1, 3) for x in columns["facts"]]
-        lefts = [iter(_cut(x, f[:, 1])) for x, f in zip(columns["lefts"], facts)]
-        sources = [decoded(*x) for x in zip(numbers["common"], numbers["sizes"], columns["rests"])]
+        lefts = [iter(_cut(_whole(x, int(f[:, 1].sum())), f[:, 1])) for x, f in zip(columns["lefts"], facts)]
+        sources = [
+            decoded(common, sizes, _whole(rests, int(sizes.sum(dtype=np.int64))))
+            for common, sizes, rests in zip(numbers["common"], numbers["sizes"], columns["rests"])
+        ]
         common, which, contexts = [], [], []
         for n, run, _ in merged(sources):
             common.append(n)
@@ -444,16 +461,16 @@ def _results(texts: DataFrame, covered: DataFrame) -> DataFrame:
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         if left.num_rows:
-            table = left.sort_by("row")
+            ids, sizes, packed = (left.column(c)[0].as_py() for c in ("doc_ids", "sizes", "data"))
             rows, begins, ends = (
                 np.concatenate([np.frombuffer(x, t) for x in right.column(c).to_pylist()] or [_NONE])
                 for c, t in (("rows", np.int32), ("begins", np.int64), ("ends", np.int64))
             )
             order = np.argsort(rows, kind="stable")
             rows, begins, ends = rows[order], begins[order], ends[order]
-            bounds = np.searchsorted(rows, np.arange(table.num_rows + 1))
-            for row, (doc_id, value) in enumerate(zip(table.column("doc_id").to_pylist(), table.column("data").combine_chunks())):
-                data = memoryview(value.as_buffer())
+            bounds = np.searchsorted(rows, np.arange(len(ids) + 1))
+            for row, (doc_id, codes) in enumerate(zip(ids, _unpacked(sizes, packed))):
+                data = memoryview(codes)
                 mine = slice(bounds[row], bounds[row + 1])
                 spans = united(begins[mine], ends[mine]) if bounds[row] < bounds[row + 1] else []
                 kept, at = hashlib.sha256(), 0
@@ -472,7 +489,8 @@ def _results(texts: DataFrame, covered: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame, length: int = LENGTH, run_bytes: int = RUN_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Per document: bytes, bytes and maximal stretches removed, and the hash of what stays."""
     texts = texts_in_runs(docs, run_bytes)
-    size = texts.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    sizes = F.aggregate("sizes", F.lit(0).cast("long"), lambda total, n: total + n)
+    size = texts.agg(F.sum(sizes)).first()[0] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
     repeated = materialize(_repeated_cores(_cores(texts, buckets, length)), "repeated-cores")
     covered = materialize(_covered(_suffixes(texts, repeated, buckets, length), length), "covered")
