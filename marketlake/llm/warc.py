@@ -152,7 +152,9 @@ def write_archives(
         ("Content-Type", F.lit("application/http; msgtype=response")),
         ("Content-Length", (F.octet_length(http) + length).cast("string")),
     )
-    responses = _responses(pages, found.groups).select(F.concat(response, http, "html").alias("value"))
+    responses = _responses(pages, found.groups).select(
+        F.concat(response, http, "html").alias("value"), F.octet_length("html").alias("size")
+    )
 
     group = found.groups.drop("same")
     repeats = attach(found.rows, group, ["digest"], spread=["row"], row_bytes=GROUP_BYTES)
@@ -170,28 +172,27 @@ def write_archives(
         ("Content-Type", F.lit("application/http; msgtype=response")),
         ("Content-Length", F.octet_length(http).cast("string")),
     )
-    revisits = repeats.select(F.concat(revisit, http).alias("value"))
+    revisits = repeats.select(F.concat(revisit, http).alias("value"), F.lit(0).alias("size"))
     _write_by_size(responses.unionByName(revisits), found.rows, path)
 
 
 def _write_by_size(values: DataFrame, rows: DataFrame, path: str) -> None:
-    """Records into files of at most about `FILE_BYTES`, by classes of size.
+    """Records (value, size of the payload) into files of at most about `FILE_BYTES`, by classes
+    of size.
 
     Files are cut after a number of records that their class allows, so that one long page
     makes a file of its own and leaves the files of the others as they are.
     """
-    ends = [*SIZE_CLASSES, None]
-    size = F.octet_length("value")
-    counted = [
-        F.count_if((F.col("bytes") >= low) & (F.lit(True) if high is None else F.col("bytes") < high))
-        for low, high in zip((0, *SIZE_CLASSES), ends)
-    ]
-    present = rows.agg(*counted).first()
-    # The header puts some pages into the next class, and revisits are in the first.
-    wanted = [i == 0 or present[i] > 0 or present[i - 1] > 0 for i in range(len(ends))]
-    for low, high, there in zip((0, *SIZE_CLASSES), ends, wanted):
-        if there:
-            part = values.filter((size >= low) & (F.lit(True) if high is None else size < high))
+    bounds = list(zip((0, *SIZE_CLASSES), (*SIZE_CLASSES, None)))
+
+    def within(size: str, low: int, high: int | None) -> Column:
+        return F.col(size) >= low if high is None else F.col(size).between(low, high - 1)
+
+    present = rows.agg(*[F.count_if(within("bytes", *bound)) for bound in bounds]).first()
+    for i, (low, high) in enumerate(bounds):
+        # Revisits are in the first class.
+        if i == 0 or present[i]:
+            part = values.filter(within("size", low, high)).select("value")
             records = 1 if high is None else max(1, FILE_BYTES // high)
             writer = part.write.mode("append").option("lineSep", RECORD_END).option("maxRecordsPerFile", records)
             writer.option("compression", "none").text(path)
