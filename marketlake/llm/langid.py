@@ -29,11 +29,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.operators.keys import attach
 from marketlake.session import materialize
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 2000
-SAMPLE_PARTS = 256
+# Rows ranked of a language, as a multiple of the sample; samples below the least size are
+# treated like it, for chance weighs more on them.
+SAMPLE_MARGIN = 1.5
+SAMPLE_LEAST = 1000
+LANG_BYTES = 64
 LANGUAGES = 200
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
@@ -129,19 +134,22 @@ def trigram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def sample(docs: DataFrame, training: Column, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Labelled texts to fit on: of each language the rows with the smallest hashes of id and text.
 
-    Rows of one id and text count once, null ids like any others. The smallest hashes are
-    found in `SAMPLE_PARTS` parts of each language first, so that no task sees all its rows.
+    Rows of one id and text count once, null ids like any others. Rows are counted per
+    language first, and only hashes below `SAMPLE_MARGIN` times the share that is wanted are
+    ranked, so that no task sees more than a few samples' worth of a language's rows.
     """
     key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
     labelled = docs.filter(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
     labelled = labelled.select("lang", "text", key.alias("turn"))
-    keys = labelled.groupBy("lang", "turn", F.pmod("turn", F.lit(SAMPLE_PARTS)).alias("part")).agg(F.count("*"))
-
-    def first(found: DataFrame, *by: str) -> DataFrame:
-        place = F.row_number().over(Window.partitionBy(*by).orderBy("turn"))
-        return found.withColumn("place", place).filter(F.col("place") <= rows).drop("place")
-
-    chosen = first(first(keys.select("lang", "part", "turn"), "lang", "part"), "lang")
+    keys = materialize(labelled.select("lang", "turn").distinct(), "language-keys")
+    sizes = materialize(keys.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes")
+    # Hashes are spread evenly over all longs; a language of few rows keeps them all.
+    height = F.col("turn").cast("double") / float(1 << 64) + 0.5
+    low = attach(keys, sizes, ["lang"], spread=["turn"], row_bytes=LANG_BYTES).filter(
+        height * F.col("n") <= SAMPLE_MARGIN * max(rows, SAMPLE_LEAST)
+    )
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("turn"))
+    chosen = low.withColumn("place", place).filter(F.col("place") <= rows)
     chosen = materialize(chosen.select("lang", "turn"), "language-sample")
     found = chosen.select("lang").distinct().count()
     if found > LANGUAGES:

@@ -109,6 +109,18 @@ def test_the_sample_is_bounded_and_knows_null_ids(make):
     assert model.languages == ("en", "fr")
 
 
+def test_the_sample_is_that_of_the_smallest_hashes(spark, make):
+    docs = make(*[(i, f"text {i}", "en" if i % 3 else "fr") for i in range(6000)])
+    turn = F.xxhash64(F.col("doc_id").cast("string"), "text")
+    hashes = {}
+    for r in docs.select("lang", "text", turn.alias("turn")).collect():
+        hashes.setdefault(r["lang"], []).append((r["turn"], r["text"]))
+    for limit in (5, 1500):
+        expected = sorted((lang, text) for lang, of in hashes.items() for _, text in sorted(of)[:limit])
+        found = langid.sample(docs, F.lit(True), rows=limit).collect()
+        assert sorted((r["lang"], r["text"]) for r in found) == expected
+
+
 def plain_label(model, text, penalty):
     """Language and score by a plain Viterbi over words, one after the other."""
     n = len(model.languages)
