@@ -20,8 +20,7 @@ pairs of different components that pass the bound, a second turn verifies as man
 connect them all, and a third turn every one that still lies between components. No link
 between components is lost, and no pair inside one is needed.
 
-The threshold is exact in whole numbers. n-grams and classes are 64-bit hashes, class
-fingerprints 128 bits. Words: ASCII letters in lower case, split at ASCII white space. A text
+The threshold is exact in whole numbers. n-grams and classes are 64-bit hashes. Words: ASCII letters in lower case, split at ASCII white space. A text
 with fewer words than n has one n-gram, all of them; null and empty texts have none and link
 with nothing. Copies are one class whatever their number. Very long texts are one row of 8
 bytes per n-gram. Null ids take part but never name a component unless all its ids are null.
@@ -52,8 +51,10 @@ FREQUENCY_FOLDS = 1 << 20
 FREQUENCY_BLOCKS = 64
 # Documents of a column that are paired all with all; beyond, three of them with the others.
 ALL_PAIRS = 12
-# Entries of a column in one part (two parts meet in a task), and columns multiplied at a time.
+# Rows of a column and their entries in one part (two parts meet in a task), and columns
+# multiplied at a time.
 PART_ROWS = 2000
+PART_ENTRIES = 4_000_000
 PRODUCT_COLUMNS = 4096
 ID_BYTES = 32
 
@@ -298,15 +299,17 @@ def later_turn(
     part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Pairs of documents of a column that lie in different components and pass the bound; with
-    `connect` only as many as would connect what they can."""
+    `connect` only as many as would connect what they can.
+
+    Columns are summed up by partial aggregates and the sums brought to the rows where they
+    lie, so a column's rows meet in a task only part by part.
+    """
     named = shared.join(roots.withColumnRenamed("node", "class"), "class", "left")
     named = named.withColumn("root", F.coalesce("root", "class"))
-    open_ = named.groupBy("column").agg(
-        F.min("root").alias("low"),
-        F.max("root").alias("high"),
-        F.ceil(F.count("*") / part_rows).cast("long").alias("parts"),
-    )
-    rest = named.join(open_.filter("low < high").select("column", "parts"), "column")
+    parts = F.ceil(F.greatest(F.count("*") / part_rows, F.sum("size") / PART_ENTRIES)).cast("long")
+    open_ = named.groupBy("column").agg(F.min("root").alias("low"), F.max("root").alias("high"), parts.alias("parts"))
+    open_ = materialize(open_.filter("low < high").select("column", "parts"), "ngram-open-columns")
+    rest = attach(named, open_, ["column"], spread=["class"], row_bytes=ID_BYTES)
     # A column of many documents is cut into parts, and each two parts meet in a group.
     rest = rest.withColumn("part", F.pmod(F.xxhash64("class"), "parts"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
