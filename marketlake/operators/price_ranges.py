@@ -2,7 +2,8 @@
 
 A block holds what a month of one ticker gives to a summary; blocks put together give the
 summary of any run of months. A request over years reads its whole months from blocks and at
-most two months of bars. Requests, however many, meet blocks and bars by joins on ticker and month.
+most two months of bars. Requests, however many, meet blocks and bars by joins on ticker and month;
+neither side is broadcast, as Spark takes requests for as small as before their months are listed.
 """
 
 from __future__ import annotations
@@ -70,7 +71,7 @@ def summaries(requests: DataFrame, blocks: DataFrame, bars: DataFrame) -> DataFr
     whole = asked.filter("_first < _end").withColumn(
         "month", F.explode(F.sequence(F.col("_first"), F.add_months("_end", -1), F.expr("interval 1 month")))
     )
-    from_blocks = whole.select("request_id", "ticker", "month").join(blocks, ["ticker", "month"]).select("request_id", "ticker", *_FACTS)
+    from_blocks = whole.select("request_id", "ticker", "month").hint("merge").join(blocks, ["ticker", "month"]).select("request_id", "ticker", *_FACTS)
     # Days before the first whole month and from the last one on; without one, the whole range.
     edges = F.array(
         F.struct(since.alias("a"), F.least("_first", until).alias("b")),
@@ -80,7 +81,7 @@ def summaries(requests: DataFrame, blocks: DataFrame, bars: DataFrame) -> DataFr
     parts = parts.select("request_id", "ticker", F.col("edge.a").alias("_a"), F.col("edge.b").alias("_b"))
     parts = parts.withColumn("month", F.explode(F.sequence(month_of(F.col("_a")), month_of(F.date_sub("_b", 1)), F.expr("interval 1 month"))))
     days = bars.withColumn("month", month_of(F.col("snapshot_date")))
-    in_edges = days.join(parts, ["ticker", "month"]).filter((F.col("snapshot_date") >= F.col("_a")) & (F.col("snapshot_date") < F.col("_b")))
+    in_edges = days.join(parts.hint("merge"), ["ticker", "month"]).filter((F.col("snapshot_date") >= F.col("_a")) & (F.col("snapshot_date") < F.col("_b")))
     found = _together(from_blocks.unionByName(_as_blocks(in_edges, "request_id", "ticker")), "request_id", "ticker")
     start, end_price = F.col("first_close").cast("double"), F.col("last_close").cast("double")
     return found.select(

@@ -65,3 +65,13 @@ def test_only_edges_are_read_from_bars(spark, bars):
     wanted = spark.createDataFrame([(1, "AA", date(2020, 3, 1), date(2020, 9, 1))], "request_id int, ticker string, since date, until date")
     blocks = price_ranges.month_blocks(frame)
     assert price_ranges.summaries(wanted, blocks, frame.limit(0)).first()["bars"] == sum(b[0] == "AA" and 3 <= b[1].month < 9 and b[1].year == 2020 for b in bars)
+
+
+def test_requests_are_not_broadcast(spark, bars, capsys):
+    """A request is listed once per month: what Spark takes for small is not."""
+    held = spark.createDataFrame(bars, BARS)
+    requests = spark.range(1000).selectExpr("id AS request_id", "'aa' AS ticker", "DATE '2020-01-05' AS since", "DATE '2021-05-20' AS until")
+    found = price_ranges.summaries(requests, price_ranges.month_blocks(held), held)
+    found.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+    assert found.count() == 1000
