@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from marketlake.functions.text import clip_marked, snippet, ticker_of
-from marketlake.functions.vectors import Encoder, cosine_column, matrix, rounded, unit_rows
+from marketlake.functions.vectors import SCORE_DIGITS, Encoder, cosine_column, matrix, rounded, unit_rows
 from marketlake.operators.corpus import COMPANY_PROFILE, NEWS
-from marketlake.operators.embed import embed
+from marketlake.operators.embed import balanced, embed
 from marketlake.operators.keys import attach
 from marketlake.session import materialize
 
@@ -30,9 +30,14 @@ PANEL_QUESTION = "recent news and analysis for "
 
 # Queries, and rows, that meet in one matrix product.
 QUERY_BLOCK = 1024
-# Bytes of queries that are broadcast; bytes of vectors that a task holds at a time.
+# Bytes of queries that are broadcast; of rows that a task holds at a time while it scores them
+# in place; of vectors in a part of the corpus and in a block of queries that meet in a group. A
+# task takes several times as much.
 QUERY_BYTES = 64 << 20
-HELD_BYTES = 64 << 20
+HELD_BYTES = 8 << 20
+PART_BYTES = 32 << 20
+# Queries from which scoring in place takes longer than dealing the vectors evenly first.
+MANY_QUERIES = 1024
 
 _BELOW_ANY_SCORE = -2.0
 
@@ -47,50 +52,101 @@ def search_filter(doc_type: str | None = None, ticker: str | None = None) -> Col
     return predicate
 
 
-def best_rows(scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best scores; among equal ones the first."""
-    if len(scores) <= k:
-        return np.arange(len(scores))
-    least = np.partition(scores, len(scores) - k)[len(scores) - k]
-    above = np.flatnonzero(scores > least)
-    return np.concatenate([above, np.flatnonzero(scores == least)[: k - len(above)]])
+def _cut(which: np.ndarray, where: np.ndarray, values: np.ndarray, best: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Of scored pairs the k best of each query that reach its k-th best score; among equal ones
+    the first rows. Their places among the pairs of their query come last."""
+    reaching = np.flatnonzero(values >= best[which, 0])
+    order = reaching[np.lexsort((where[reaching], -values[reaching], which[reaching]))]
+    which = which[order]
+    place = np.arange(len(which)) - np.searchsorted(which, which)
+    kept = place < k
+    order = order[kept]
+    return which[kept], where[order], values[order], place[kept]
 
 
-def best_pairs(table: pa.Table, query_ids: pa.Array, queries: np.ndarray, k: int, schema: pa.Schema, rows_at_once: int) -> Iterator[pa.RecordBatch]:
+def _met(queries: np.ndarray, rows: np.ndarray, coarse_rows: np.ndarray, best: np.ndarray, k: int, at_once: int) -> tuple[np.ndarray, ...]:
+    """Places of queries and rows, and scores, of all pairs of unit vectors that may be among the
+    k best of a query; `best` (query, k), ascending, takes up what is found.
+
+    Products of single precision tell which pairs come near the k-th best score, with room for
+    their error; only those are scored in double precision.
+    """
+    slack = np.float32((rows.shape[1] + 8) * 2.0**-23 + 10.0**-SCORE_DIGITS)
+    coarse_queries, found = queries.astype(np.float32), []
+    for first in range(0, len(rows), at_once):
+        coarse = coarse_queries @ coarse_rows[first : first + at_once].T
+        least, width = best[:, 0].astype(np.float32), coarse.shape[1]
+        if width >= k and np.isneginf(least).any():
+            least = np.maximum(least, np.partition(coarse, width - k, axis=1)[:, width - k] - slack)
+        which, where = np.divmod(np.flatnonzero(coarse >= (least - slack)[:, None]), width)
+        if not len(which):
+            continue
+        if len(which) <= coarse.size // 64:
+            values = rounded(np.einsum("ij,ij->i", queries[which], rows[first + where]))
+        else:
+            values = rounded(queries @ rows[first : first + at_once].T)[which, where]
+        which, where, values, place = _cut(which, first + where, values, best, k)
+        fresh = np.unique(which)
+        grown = np.full((len(best), k), -np.inf)
+        grown[which, place] = values
+        best[fresh] = np.sort(np.concatenate([best[fresh], grown[fresh]], axis=1))[:, -k:]
+        found.append((which, where, values))
+    if not found:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    return tuple(map(np.concatenate, zip(*found)))
+
+
+def best_pairs(
+    table: pa.Table, query_ids: pa.Array, queries: np.ndarray, k: int, schema: pa.Schema, rows_at_once: int, reached: np.ndarray | None = None
+) -> Iterator[pa.RecordBatch]:
     """The k best rows (doc_id, embedding) of a table for each query, given as unit vectors.
 
     Rows are put in id order first, so among equal scores the smallest ids are taken. Blocks of
     rows and of queries meet in one matrix product. A row or query without direction scores null
-    and ranks after every number.
+    and ranks after every number. `reached` (query, k), at first without limit, has the best
+    scores of the tables before this one: rows below them are left out, better ones noted.
     """
     if not table.num_rows or not len(queries):
         return
     table = table.take(pc.sort_indices(table.column(0))).combine_chunks()
     ids, vectors = table.column(0), unit_rows(matrix(table.column(1), queries.shape[1]))
+    if reached is None:
+        reached = unreached(len(queries), k)
+    lost = np.isnan(vectors).any(axis=1)
+    aimed, aimless = np.flatnonzero(~lost), np.flatnonzero(lost)[:k]
+    rows = vectors[aimed] if lost.any() else vectors
+    coarse = rows.astype(np.float32)
     for start in range(0, len(queries), rows_at_once):
-        block = queries[start : start + rows_at_once]
-        running = [(np.zeros(0, np.int64), np.zeros(0))] * len(block)
-        for first in range(0, len(vectors), rows_at_once):
-            scores = np.nan_to_num(rounded(vectors[first : first + rows_at_once] @ block.T), nan=_BELOW_ANY_SCORE)
-            for q, column in enumerate(scores.T):
-                rows = best_rows(column, k)
-                places = np.concatenate([running[q][0], first + rows])
-                values = np.concatenate([running[q][1], column[rows]])
-                chosen = best_rows(values, k)
-                running[q] = (places[chosen], values[chosen])
-        where = np.concatenate([places for places, _ in running])
-        found = np.concatenate([values for _, values in running])
-        which = start + np.repeat(np.arange(len(block)), [len(places) for places, _ in running])
+        block, best = queries[start : start + rows_at_once], reached[start : start + rows_at_once]
+        astray = np.isnan(block).any(axis=1)
+        asked = np.flatnonzero(~astray)
+        reaching = best[asked]
+        which, where, values = _met(block[asked], rows, coarse, reaching, k, rows_at_once)
+        best[asked] = reaching
+        which, where = asked[which], aimed[where]
+        # What scores null: all rows for a query without direction, else rows without.
+        short = asked[best[asked, 0] <= _BELOW_ANY_SCORE]
+        for some, places in ((short, aimless), (np.flatnonzero(astray), np.arange(min(k, len(vectors))))):
+            if len(some) and len(places):
+                which = np.concatenate([which, np.repeat(some, len(places))])
+                where = np.concatenate([where, np.tile(places, len(some))])
+                values = np.concatenate([values, np.full(len(some) * len(places), _BELOW_ANY_SCORE)])
+        which, where, values, _ = _cut(which, where, values, best, k)
         yield pa.RecordBatch.from_arrays(
             [
-                query_ids.take(pa.array(which)),
+                query_ids.take(pa.array(start + which)),
                 ids.take(pa.array(where)).combine_chunks(),
-                pa.array(found, mask=found == _BELOW_ANY_SCORE),
+                pa.array(values, mask=values == _BELOW_ANY_SCORE),
             ],
             schema=schema,
         )
 
 
+def unreached(queries: int, k: int) -> np.ndarray:
+    """What queries have reached before any row was seen."""
+    return np.full((queries, k), -np.inf)
+
+
 def pair_schema(queries: DataFrame, corpus: DataFrame) -> tuple[T.StructType, pa.Schema]:
     """Schema of scored pairs, for Spark and for Arrow."""
     result = T.StructType([
@@ -105,14 +161,17 @@ def scored(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """At least the k best rows of every query.
 
     The queries are written once and measured. Up to `QUERY_BYTES` they are broadcast, and the
-    corpus is scored where it lies, a bounded number of bytes at a time. Beyond that, parts of
-    the corpus meet blocks of queries by a join.
+    corpus is scored where it lies, a bounded number of bytes at a time; where that would leave many
+    queries to a few tasks, its vectors are dealt evenly first. Beyond that, parts of the corpus meet
+    blocks of queries by a join.
     """
     vector = F.col("query_vector").cast("array<double>").alias("query_vector")
     asked = materialize(queries.select("query_id", vector), "queries")
     measured = asked.agg(F.count("*").alias("rows"), F.max(F.size("query_vector")).alias("dim")).first()
     dim = max(measured["dim"] or 0, 1)
     if 8 * dim * measured["rows"] <= QUERY_BYTES:
+        if measured["rows"] >= MANY_QUERIES:
+            corpus = balanced(corpus.select("doc_id", "embedding"))
         return _scored_in_place(corpus, asked, k, dim)
     return _scored_in_blocks(corpus, asked, k, dim, measured["rows"])
 
@@ -126,14 +185,15 @@ def _scored_in_place(corpus: DataFrame, asked: DataFrame, k: int, dim: int) -> D
     at_once, held_bytes = QUERY_BLOCK, HELD_BYTES
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held, size, reached = [], 0, unreached(len(sent.value[1]), k)
         for batch in batches:
             held.append(batch)
-            if sum(b.nbytes for b in held) >= held_bytes:
-                yield from best_pairs(pa.Table.from_batches(held), *sent.value, k, arrow, at_once)
-                held = []
+            size += batch.nbytes
+            if size >= held_bytes:
+                yield from best_pairs(pa.Table.from_batches(held), *sent.value, k, arrow, at_once, reached)
+                held, size = [], 0
         if held:
-            yield from best_pairs(pa.Table.from_batches(held), *sent.value, k, arrow, at_once)
+            yield from best_pairs(pa.Table.from_batches(held), *sent.value, k, arrow, at_once, reached)
 
     return corpus.select("doc_id", "embedding").mapInArrow(best, result)
 
@@ -142,7 +202,7 @@ def _scored_in_blocks(corpus: DataFrame, asked: DataFrame, k: int, dim: int, cou
     """Each part of the corpus meets each block of queries in a group of its own."""
     result, arrow = pair_schema(asked, corpus)
     rows = corpus.count()
-    parts, blocks = (max(1, -(-n * 8 * dim // HELD_BYTES)) for n in (rows, count))
+    parts, blocks = (max(1, -(-n * 8 * dim // PART_BYTES)) for n in (rows, count))
 
     def spread(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

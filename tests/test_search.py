@@ -120,3 +120,43 @@ def test_missing_index_reads_as_empty(spark):
     index = read_or_empty(spark, "no_such_index", TEXT_EMBEDDINGS)
     questions = spark.createDataFrame([(1, "anything")], "query_id int, text string")
     assert search.semantic_search(index, questions, ENCODER, 64).count() == 0
+
+
+def test_a_task_sends_rows_that_its_earlier_ones_do_not_beat(spark, monkeypatch):
+    """Held a few rows at a time, a task still sends about k rows per query, not k each time."""
+    monkeypatch.setattr(search, "HELD_BYTES", 1)
+    monkeypatch.setattr(search, "QUERY_BLOCK", 8)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        random = np.random.default_rng(9)
+        vectors = random.normal(size=(800, 8))
+        vectors[5] = 0
+        questions = random.normal(size=(20, 8))
+        index = index_of(spark, vectors).coalesce(1)
+        assert search.scored(index, queries_of(spark, questions), 3).count() < 20 * 3 * 15
+        found = ranked(search.top_k(index, queries_of(spark, questions), 3))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    keep = [i for i in range(800) if i != 5]
+    assert found == {i: brute_force(vectors[keep], q, 3, keep) for i, q in enumerate(questions)}
+
+
+def test_a_matrix_product_is_bounded():
+    """Many rows meet a block of queries a block at a time; scores of all pairs are never held."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    random = np.random.default_rng(2)
+    rows, dim = 40_000, 4
+    column = pa.array(random.normal(size=(rows, dim)).astype(np.float32).tolist(), pa.list_(pa.float32()))
+    table = pa.table({"doc_id": pa.array(range(rows)), "embedding": column})
+    queries = random.normal(size=(256, dim))
+    schema = pa.schema([("query_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())])
+    unit = queries / np.linalg.norm(queries, axis=1)[:, None]
+    tracemalloc.start()
+    found = pa.Table.from_batches(search.best_pairs(table, pa.array(range(256)), unit, 5, schema, 256), schema=schema)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows == 256 * 5
+    assert peak < rows * 256 * 8 / 4
