@@ -11,7 +11,8 @@ scored exactly, so a result is wrong only by what it lacks.
 * A bucket above `SPLIT_ROWS` is split by a second hash: planes through the mean of its own
   vectors, not through zero, so that vectors close together part. It is probed likewise.
 
-Buckets and queries meet by a join. The driver holds the planes, and one mean per split bucket.
+Buckets and queries meet by a cogroup, in matrix products; no vector is copied onto a pair. The
+driver holds the planes, and one mean per split bucket.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.functions.vectors import cosine_column, list_array, matrix, unit_rows
-from marketlake.operators.search import RESULTS, rank_results
+from marketlake.functions.vectors import list_array, matrix, unit_rows
+from marketlake.operators.search import QUERY_BLOCK, RESULTS, best_pairs, pair_schema, rank_results
 from marketlake.session import materialize
 
 TABLES = 12
@@ -36,6 +37,9 @@ BUCKET_ROWS = 256
 SPLIT_ROWS = 4 * BUCKET_ROWS
 MOST_PLANES = 24
 SECOND_PLANES = 16
+# Rows, or queries, of a bucket that meet in one piece; bytes of vectors that meet in a cell of them.
+PIECE_ROWS = 16 * BUCKET_ROWS
+CELL_BYTES = 16 << 20
 
 _CODES = "array<long>"
 
@@ -214,6 +218,54 @@ def _probes(queries: DataFrame, index: HashIndex, probes: int) -> DataFrame:
     return queries.select("query_id", "query_vector", F.explode(look("query_vector")).alias("bucket"))
 
 
+def _cuts(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """(bucket, parts, blocks) of the buckets that more than `PIECE_ROWS` rows or queries meet in:
+    at most as many as there are such pieces."""
+    counted = rows.groupBy("bucket").agg(F.count("*").alias("rows"), F.lit(0).cast("long").alias("queries"))
+    probed = asked.groupBy("bucket").agg(F.lit(0).cast("long").alias("rows"), F.count("*").alias("queries"))
+    sizes = counted.unionByName(probed).groupBy("bucket").agg(F.max("rows").alias("rows"), F.max("queries").alias("queries"))
+    many = sizes.filter((F.col("rows") > PIECE_ROWS) | (F.col("queries") > PIECE_ROWS)).filter("rows > 0 and queries > 0")
+    cuts = [(r["bucket"], -(-r["rows"] // PIECE_ROWS), -(-r["queries"] // PIECE_ROWS)) for r in many.collect()]
+    return rows.sparkSession.createDataFrame(cuts, "bucket long, parts long, blocks long")
+
+
+def _scored(index: HashIndex, asked: DataFrame, k: int) -> DataFrame:
+    """The k best rows of every query in every piece of a bucket it looks into.
+
+    Rows and queries of a bucket meet in a matrix product. Buckets are dealt to cells of a bounded
+    size; one with many rows or queries is cut in parts and blocks first.
+    """
+    rows, dim = index.rows, index.dim
+    cuts = F.broadcast(_cuts(rows, asked))
+    cells = max(1, -(-(rows.count() + asked.count()) * 8 * dim // CELL_BYTES))
+
+    def pieces(table: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        cut = table.join(cuts, "bucket", "left")
+        parts = [F.coalesce(n, F.lit(1)) for n in (own, other)]
+        mine = F.pmod(F.xxhash64(key), parts[0])
+        cut = cut.select("*", mine.alias("_own"), F.explode(F.sequence(F.lit(0).cast("long"), parts[1] - 1)).alias("_other"))
+        place = [F.col(c) for c in (("_own", "_other") if own == "parts" else ("_other", "_own"))]
+        cut = cut.withColumn("piece", F.xxhash64("bucket", *place))
+        return cut.select(*[c for c in table.columns if c != "bucket"], "piece", F.pmod("piece", F.lit(cells)).alias("cell"))
+
+    result, arrow = pair_schema(asked, rows)
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        left, right = left.sort_by("piece").combine_chunks(), right.sort_by("piece").combine_chunks()
+        held, wanted = (t.column("piece").to_numpy() for t in (left, right))
+        found: list[pa.RecordBatch] = []
+        for piece in np.intersect1d(held, wanted).tolist():
+            (a, b), (c, d) = (np.searchsorted(x, [piece, piece + 1]).tolist() for x in (held, wanted))
+            queries = right.slice(c, d - c)
+            unit = unit_rows(matrix(queries.column("query_vector"), dim))
+            ids = queries.column("query_id").combine_chunks()
+            found += best_pairs(left.slice(a, b - a).select(["doc_id", "embedding"]), ids, unit, k, arrow, QUERY_BLOCK)
+        return pa.Table.from_batches(found, schema=arrow)
+
+    held = pieces(rows, "doc_id", "parts", "blocks").groupBy("cell")
+    return held.cogroup(pieces(asked, "query_id", "blocks", "parts").groupBy("cell")).applyInArrow(meet, result)
+
+
 def knn_lsh(index: HashIndex, queries: DataFrame, k: int = RESULTS, probes: int = PROBES) -> DataFrame:
     """query_id, doc_id, score, rank of the best rows found in the probed buckets.
 
@@ -224,9 +276,7 @@ def knn_lsh(index: HashIndex, queries: DataFrame, k: int = RESULTS, probes: int
         raise ValueError(f"the index keeps {index.copies} copies of a vector, less than {k}")
     vector = F.col("query_vector").cast("array<double>").alias("query_vector")
     asked = materialize(_probes(queries.select("query_id", vector), index, probes), "probes")
-    met = index.rows.join(asked, "bucket")
-    score = cosine_column(F.col("embedding"), F.col("query_vector"), index.dim).alias("score")
-    found = rank_results(met.select("query_id", "doc_id", score), k * len(index.planes)).drop("rank")
+    found = rank_results(_scored(index, asked, k), k * len(index.planes)).drop("rank")
     return rank_results(found.distinct(), k)
 
 

@@ -79,3 +79,17 @@ def test_no_direction_and_no_rows(spark):
     asked = corpus.select(F.col("doc_id").alias("query_id"), F.col("embedding").alias("query_vector"))
     assert [(r["query_id"], r["doc_id"]) for r in lsh.knn_lsh(index, asked).collect()] == [(1, 1)]
     assert lsh.knn_lsh(lsh.build(corpus.limit(0), DIM), asked).count() == 0
+
+
+def test_pairs_are_scored_in_groups_and_large_buckets_in_pieces(spark, monkeypatch, capsys):
+    """No vector is copied onto a pair; cut or not, the same is found."""
+    corpus = frame(spark, np.random.default_rng(6).normal(size=(700, DIM)))
+    index, asked = lsh.build(corpus, DIM), asked_of(corpus)
+    whole = lsh.knn_lsh(index, asked)
+    whole.explain()
+    plan = capsys.readouterr().out
+    assert "CoGroup" in plan and "ArrowEvalPython" not in plan
+    monkeypatch.setattr(lsh, "PIECE_ROWS", 7)
+    monkeypatch.setattr(lsh, "CELL_BYTES", 20_000)
+    key = lambda r: (r["query_id"], r["rank"])
+    assert sorted(lsh.knn_lsh(index, asked).collect(), key=key) == sorted(whole.collect(), key=key)
