@@ -34,10 +34,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from marketlake.functions.text import ticker_of
-from marketlake.functions.vectors import SCORE_DIGITS, matrix, rounded, unit_column, unit_rows
+from marketlake.functions.vectors import SCORE_DIGITS, matrix, unit_column, unit_rows
 from marketlake.operators.changefeed import CURRENT_ROWS
 from marketlake.operators.embed import embed
-from marketlake.operators.search import RESULTS, best_rows, rank_results, search_filter, with_documents
+from marketlake.operators.search import RESULTS, best_pairs, rank_results, search_filter, with_documents
 from marketlake.operators.vector_index import NO_DIRECTION, assigned
 from marketlake.session import materialize
 
@@ -46,8 +46,9 @@ CLUSTER_ROWS = 50_000
 MOST_CENTRES = 4096
 # Vectors that centres are learned from.
 SAMPLE_ROWS = 200_000
-# Rows of a cluster, and queries, that meet in one group; queries compared with centres together.
-PART_BYTES = 64 << 20
+# Rows of a cluster, and queries, that meet in one group (a task takes several times as much);
+# queries, and rows, compared together.
+PART_BYTES = 16 << 20
 QUERY_BLOCK = 1024
 # Bits and hashes of a cluster's filter. Fixed value: what Spark's bitmap aggregate makes.
 FILTER_BITS = 32_768
@@ -348,7 +349,7 @@ def _routes(asked: DataFrame, index: StoredIndex, allowed: np.ndarray, k: int, f
 
 def _scored(spark: SparkSession, index: StoredIndex, routes: DataFrame, k: int, keep: Column) -> DataFrame:
     """The k best rows of every route. A cluster is cut in parts and its queries in blocks; a part
-    and a block meet in one matrix product."""
+    and a block meet in matrix products of bounded size."""
     wanted = routes.groupBy("cluster").agg(F.count("*").alias("queries")).collect()  # one row per centre at most
     part_rows = max(1, PART_BYTES // (8 * index.dim))
     sizes = [
@@ -370,20 +371,9 @@ def _scored(spark: SparkSession, index: StoredIndex, routes: DataFrame, k: int,
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return arrow.empty_table()
-        left = left.sort_by("doc_id").combine_chunks()
-        vectors = unit_rows(matrix(left.column("embedding"), dim))
         queries = unit_rows(matrix(right.column("query_vector"), dim))
-        which, where, values = [], [], []
-        for first in range(0, len(queries), QUERY_BLOCK):
-            scores = np.nan_to_num(rounded(vectors @ queries[first : first + QUERY_BLOCK].T), nan=-2.0)
-            for q, column in enumerate(scores.T, first):
-                best = best_rows(column, k)
-                which += [q] * len(best)
-                where.append(best)
-                values.append(column[best])
-        found = np.concatenate(values)
-        ids = left.column("doc_id").take(pa.array(np.concatenate(where)))
-        return pa.table([right.column("query_id").take(pa.array(which)), ids, pa.array(found, mask=found == -2.0)], schema=arrow)
+        ids = right.column("query_id").combine_chunks()
+        return pa.Table.from_batches(best_pairs(left.select(["doc_id", "embedding"]), ids, queries, k, arrow, QUERY_BLOCK), schema=arrow)
 
     keys = ["cluster", "part", "block"]
     return rows.select("doc_id", "embedding", *keys).groupBy(*keys).cogroup(
