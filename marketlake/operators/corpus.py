@@ -96,14 +96,17 @@ def with_text_hash(corpus: DataFrame) -> DataFrame:
 def unique_documents(corpus: DataFrame) -> DataFrame:
     """One document per id, the newest; ties go to the greatest text hash.
 
-    `corpus` carries `text_hash`, so versions are compared without their texts. Ids that occur
-    more than once are found first and written down; only their rows move.
+    `corpus` carries `text_hash`, so versions are compared without their texts. Hashes of ids that
+    occur more than once are found first and written down: eight bytes each, however long the ids,
+    so they are broadcast and only rows with such a hash move. Rows without an id stay apart.
     """
     newest = [F.desc_nulls_last(c) for c in ("metadata_date", "text_hash", "metadata_source")]
-    repeated = corpus.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    repeated = materialize(repeated, "repeated-ids")
+    place = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")).alias("_place")
+    repeated = corpus.select(place).groupBy("_place").agg(F.count("*").alias("n")).filter("n > 1 and _place is not null")
+    repeated = materialize(repeated.select("_place"), "repeated-ids")
     if repeated.isEmpty():
         return corpus
-    alone = corpus.join(repeated, "doc_id", "left_anti")
-    several = corpus.join(repeated, "doc_id", "left_semi")
+    placed = corpus.select("*", place)
+    alone = placed.join(repeated, "_place", "left_anti").drop("_place")
+    several = placed.join(repeated, "_place", "left_semi").drop("_place")
     return alone.unionByName(first_per_key(several, ["doc_id"], newest))

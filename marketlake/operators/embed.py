@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketlake.functions.text import clip
 from marketlake.functions.vectors import NOT_TRIED, Encoder, HashingEncoder, encode_column
 from marketlake.operators.corpus import unique_documents, with_text_hash
+from marketlake.operators.keys import marked_rows
 from marketlake.session import materialize
 
 # Fixed value: input limit of the hosted model, in characters. The hashing encoder has no
@@ -116,16 +117,17 @@ def documents_to_embed(corpus: DataFrame, index: DataFrame, left_alone: DataFram
     """Documents of a new corpus that the index lacks, holds with another text, or failed to
     embed, but for texts (doc_id, text_hash) to be left alone.
 
-    They are found without the texts and written down, so that Spark knows their number; while
-    it is small it is broadcast, and only texts of changed documents ever move.
+    They are found without the texts; where changed or unchanged documents are few, only texts of
+    repeated ids ever move (`marked_rows`).
     """
     known = _usable(index).select("doc_id", "text_hash")
     if left_alone is not None:
         known = known.unionByName(left_alone.select("doc_id", "text_hash"))
-    changed = _newest(corpus).select("doc_id", F.coalesce("text_hash", F.lit("")).alias("text_hash"))
-    known = known.withColumn("text_hash", F.coalesce("text_hash", F.lit("")))
-    changed = materialize(changed.join(known, ["doc_id", "text_hash"], "left_anti").select("doc_id"), "changed")
-    return unique_documents(with_text_hash(corpus.join(changed, "doc_id", "left_semi")))
+    newest = _newest(corpus).select("doc_id", F.coalesce("text_hash", F.lit("")).alias("text_hash"))
+    known = known.withColumns({"text_hash": F.coalesce("text_hash", F.lit("")), "_known": F.lit(True)}).distinct()
+    marks = newest.join(known, ["doc_id", "text_hash"], "left")
+    marks = marks.select("doc_id", (F.col("_known").isNull() & F.col("doc_id").isNotNull()).alias("marked"))
+    return unique_documents(with_text_hash(marked_rows(corpus, marks, "doc_id")))
 
 
 def embed_incremental(
@@ -152,6 +154,8 @@ def merge_index(index: DataFrame, fresh: DataFrame, corpus: DataFrame) -> DataFr
     moved = moved.select("doc_id", "_facts").join(fresh.select("doc_id"), "doc_id", "left_anti")
     moved = materialize(moved, "moved-documents")
     gone = moved.select("doc_id").unionByName(fresh.select("doc_id"))
-    kept = index.join(materialize(gone, "replaced-documents"), "doc_id", "left_anti")
+    gone = gone.withColumn("_gone", F.lit(True)).distinct()
+    marks = index.select("doc_id").join(gone, "doc_id", "left").select("doc_id", F.col("_gone").isNull().alias("marked"))
+    kept = marked_rows(index, marks, "doc_id")
     told = index.drop(*FACTS).join(moved.filter("_facts is not null"), "doc_id").select("*", "_facts.*")
     return kept.unionByName(told.select(kept.columns)).unionByName(fresh.select(kept.columns))

@@ -11,6 +11,8 @@ from marketlake.session import materialize
 
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
+# What a name of a key takes in a broadcast table.
+NAME_BYTES = 64
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int = 1) -> DataFrame:
@@ -51,6 +53,27 @@ def attach(
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
+def named(key: Column | str) -> list[Column]:
+    """A key as 128 bits of hashes, null included; long keys are told apart by them without being moved."""
+    return [F.xxhash64(F.lit(salt), key).alias(f"_name{salt}") for salt in (1, 2)]
+
+
+def marked_rows(rows: DataFrame, marks: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is marked true in `marks` (key, marked), which knows every key.
+
+    The marks are written as short names and counted. Of the marked and the others the fewer are
+    broadcast, so that the rows stay in place unless both are many.
+    """
+    names = ["_name1", "_name2"]
+    told = materialize(marks.select(*named(key), "marked"), "marks")
+    counted = told.agg(F.count_if("marked").alias("marked"), F.count_if(~F.col("marked")).alias("others")).first()
+    within = counted["marked"] <= counted["others"]
+    side = told.filter(F.col("marked") if within else ~F.col("marked")).select(*names)
+    if min(counted) * NAME_BYTES <= BROADCAST_BYTES:
+        side = F.broadcast(side)
+    return rows.select("*", *named(key)).join(side, names, "left_semi" if within else "left_anti").drop(*names)
+
+
 def assign_ids(new: DataFrame, order: Sequence[str], taken: DataFrame, id_column: str) -> DataFrame:
     """Number new rows from the highest taken id upwards, without gaps, in the given order.
 

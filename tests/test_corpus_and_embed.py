@@ -215,3 +215,26 @@ def test_unbalanced_documents_are_dealt_anew(spark):
     even = spark.range(500).repartition(8).withColumn("text", F.lit("a"))
     assert embed.balanced(even) is even
     assert embed.balanced(one.limit(0)).count() == 0
+
+
+def test_texts_stay_in_place_where_most_or_few_documents_change(spark, rows, capsys):
+    """Of changed and unchanged documents the fewer are broadcast, by short names of their ids."""
+    schema = "doc_id string, doc_type string, ticker string, title string, text string, metadata_date string, metadata_source string"
+    docs = [(f"{i} " + "long " * 200, "news", "AA", "t", f"text text {i}", "1", "s") for i in range(300)]
+    docs += [(docs[0][0], "news", "AA", "t", "newer", "2", "s"), (None, "news", "AA", "t", "no id", "1", "s")]
+    whole = spark.createDataFrame(docs, schema)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for known in (3, 297):
+        index = embed.embed_corpus(whole.filter("doc_id is not null").join(
+            spark.createDataFrame([(d[0],) for d in docs[300 - known:300]], "doc_id string"), "doc_id", "left_semi"
+        ))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20KB")
+        try:
+            fresh = embed.documents_to_embed(whole, index)
+            fresh.explain()
+            merged = embed.merge_index(index, fresh.join(embed.embed_corpus(whole).select("doc_id", "embedding", "embed_ok", "embed_error"), "doc_id"), whole)
+            assert merged.count() == 300
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        assert "SortMergeJoin" not in capsys.readouterr().out
+        assert sorted(r["text"] for r in fresh.select("text").collect()) == sorted(["newer"] + [d[4] for d in docs[1 : 300 - known]])
