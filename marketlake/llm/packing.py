@@ -16,10 +16,9 @@ empty results; extra columns are left out.
 from __future__ import annotations
 
 import math
+import string
 import zlib
 from collections.abc import Iterator
-from itertools import compress
-from operator import not_
 
 import numpy as np
 import pandas as pd
@@ -36,7 +35,6 @@ CHUNK_PIECES = 20_000
 LOOSE_SHARE = 0.01
 REMEMBERED_WORDS = 600_000
 LONGEST_REMEMBERED = 64
-MARKS = (b".", b",")
 # Fixed value: what tokens at the end of a word end with.
 WORD_END = "</w>"
 # Words that go to the tokenizer in one call; bytes of texts whose words are looked up together.
@@ -50,13 +48,49 @@ PACKED = f"row long, {PIECES}, sequence long, offset long"
 # Tokens ------------------------------------------------------------------------------------
 
 
+# Kinds of bytes: white space, ASCII letters, digits and marks; the apostrophe, which may begin
+# a word such as "'s"; all others, which may be part of what stands beside them.
+SPACE, LETTER, DIGIT, MARK, APOSTROPHE, OTHER = range(6)
+
+
+def _kinds() -> np.ndarray:
+    kinds = np.full(256, OTHER, np.uint8)
+    for kind, characters in (
+        (SPACE, string.whitespace),
+        (LETTER, string.ascii_letters),
+        (DIGIT, string.digits),
+        (MARK, string.punctuation),
+        (APOSTROPHE, "'"),
+    ):
+        kinds[list(characters.encode())] = kind
+    return kinds
+
+
+def _starts() -> np.ndarray:
+    """Whether a word starts at the second of two neighbouring kinds, by 8 * first + second."""
+    starts = np.zeros((8, 8), bool)
+    starts[SPACE, LETTER:] = True
+    starts[DIGIT, LETTER:OTHER] = True
+    starts[LETTER:OTHER, DIGIT] = True
+    starts[LETTER, [MARK, APOSTROPHE]] = True
+    starts[MARK, LETTER] = True
+    return starts.ravel()
+
+
+KINDS = _kinds()
+STARTS = _starts()
+
+
 class Encoder:
     """Token ids of texts as little-endian 32-bit numbers, for a tokenizer that drops white
-    space and lower-cases: words are encoded on their own and remembered.
-
-    Texts come in batches. The new words of letters of a batch are encoded in one call and cut
-    where a token ends a word. Words are kept in two halves: when the younger one is full, it
-    becomes the older one, and only words that still occur come back.
+    space, lower-cases and takes letters, single digits and runs of marks apart: words are
+    encoded on their own and remembered.
+
+    Texts come in batches. Arrow finds the distinct words of a batch, so that only those are
+    looked up, and puts their ids in the places of all words. The new words of letters of a
+    batch are encoded in one call and cut where a token ends a word. Words are kept in two
+    halves: when the younger one is full, it becomes the older one, and only words that still
+    occur come back.
     """
 
     def __init__(self, path: str):
@@ -70,51 +104,61 @@ class Encoder:
             self.ends_word[number] = token.endswith(WORD_END)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.marks = {mark: self._alone(mark) for mark in MARKS}
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [self._words(text) for text in texts]
-        found = [list(map(self.young.get, words)) for words in split]
-        gaps = [list(compress(range(len(words)), map(not_, ids))) for words, ids in zip(split, found)]
-        new = {words[i] for words, gap in zip(split, gaps) for i in gap}
+        words, ends = self._words(texts)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.young.get, distinct))
+        gaps = [i for i, known in enumerate(ids) if known is None]
+        new = {distinct[i] for i in gaps}
         self._learn(new)
-        for words, ids, gap in zip(split, found, gaps):
-            for i in gap:
-                ids[i] = self.young[words[i]]
-            yield b"".join(ids)
+        for i in gaps:
+            ids[i] = self.young[distinct[i]]
         for word in new:
             if len(word) > LONGEST_REMEMBERED:
                 del self.young[word]
         if len(self.young) > REMEMBERED_WORDS // 2:
             self.old, self.young = self.young, {}
-
-    def _words(self, text: bytes) -> list[bytes]:
+        found = pa.array(ids, pa.large_binary()).take(coded.indices)
+        _, offsets, data = found.buffers()
+        at = np.frombuffer(offsets, np.int64)[ends].tolist()
+        for first, end in zip([0, *at], at):
+            yield data[first:end].to_pybytes() if end > first else b""
+
+    def _words(self, texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts, and for each text the number of words up to its end."""
         # Lower case saves memory; special strings count only as they are written.
-        lowered = text.lower()
-        return (text if any(s in lowered for s in self.special) else lowered).split()
+        lowered = [text.lower() for text in texts]
+        whole = [i for i, text in enumerate(lowered) if any(s in text for s in self.special)]
+        for i in whole:
+            lowered[i] = texts[i]
+        data = np.frombuffer(b" " + b" ".join(lowered), np.uint8)
+        ends = np.cumsum([1 + len(text) for text in lowered])
+        kinds = KINDS[data]
+        for i in whole:
+            part = kinds[ends[i] - len(texts[i]) : ends[i]]
+            part[part != SPACE] = OTHER
+        starts = np.zeros(len(data), bool)
+        starts[1:] = STARTS[kinds[:-1] * 8 + kinds[1:]]
+        kept = kinds != SPACE
+        letters = data[kept]
+        offsets = np.append(np.flatnonzero(starts[kept]), len(letters))
+        words = pa.Array.from_buffers(
+            pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
+        )
+        return words, np.searchsorted(np.flatnonzero(starts), ends)
 
     def _learn(self, words: set[bytes]) -> None:
         young, old = self.young, self.old
         known = old.keys() & words
         young.update((word, old[word]) for word in known)
-        # A mark behind a letter is a token of its own: such a word has the ids of its stem.
-        marked: list[tuple[bytes, bytes]] = []
-        new: set[bytes] = set()
-        for word in words - known:
-            stem = word[:-1]
-            if word[-1:] in self.marks and stem[-1:].isalpha():
-                marked.append((word, stem))
-                if stem not in young and stem not in old:
-                    new.add(stem)
-            else:
-                new.add(word)
+        new = words - known
         letters = [w for w in new if w.isalpha() or (not w.isascii() and self._spelled(w.decode()))]
         for some, ids_of in ((letters, self._together), (list(new.difference(letters)), self._apart)):
             for first in range(0, len(some), WORDS_AT_ONCE):
                 part = some[first : first + WORDS_AT_ONCE]
                 young.update(zip(part, ids_of(part)))
-        for word, stem in marked:
-            young[word] = (young.get(stem) or old[stem]) + self.marks[word[-1:]]
 
     @staticmethod
     def _spelled(word: str) -> bool:
@@ -134,9 +178,6 @@ class Encoder:
         of = np.array(found.word_ids, np.int64)
         return _sliced(np.array(found.ids, "<u4"), np.searchsorted(of, np.arange(len(words) + 1)).tolist())
 
-    def _alone(self, word: bytes) -> bytes:
-        return self._apart([word])[0]
-
 
 def _sliced(ids: np.ndarray, ends: list[int]) -> list[bytes]:
     data = ids.tobytes()

@@ -25,6 +25,32 @@ def test_words_give_the_ids_of_the_whole_text(tokenizer):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_marks_and_digits_are_no_part_of_words(tokenizer):
+    """Only the parts of a text are remembered, however they are put together; marks that begin
+    a word with letters or that a letter beside them may change stay."""
+    texts = ["tea. (tea) tea,*** tea### 2tea-22", "it's", "O''s", "é. tea", "\u0301", ".\u0301a", "", " \n", "a<|endoftext|>b. B."]
+    encoder = packing.Encoder(PATH)
+    for text, ids in zip(texts, encoder.encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    parts = ["tea", ".", "(", ")", ",***", "###", "2", "-", "it", "'s", "o", "''s", "é.", "\u0301", ".\u0301a", "a<|endoftext|>b.", "B."]
+    assert set(encoder.young) == {p.encode() for p in parts}
+
+
+@pytest.mark.parametrize("texts", [[], [""], ["", ""], ["", "a", "", "b"]])
+def test_texts_without_words(tokenizer, texts):
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in packing.Encoder(PATH).encode([t.encode() for t in texts])]
+    assert found == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_parts_of_words_give_the_ids_of_the_whole_text(tokenizer):
+    draw = random.Random(3)
+    beside = ["\u0301", "\u0338", "\u20e3", "\u037e", "\u1fef", "\u212a", "\u0663", "\u00bd", "\u00e9"]
+    parts = [chr(i) for i in range(128)] + ["'s", "'re", "<|startoftext|>", *beside]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 30))) for _ in range(2000)]
+    for text, ids in zip(texts, packing.Encoder(PATH).encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def check(rows, texts, tokenizer, capacity):
     """Every document is there once, whole and in order; sequences have no gap and no excess."""
     ids = {i: tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for i, t in texts}
