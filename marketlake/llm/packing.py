@@ -33,13 +33,13 @@ END_ID = 0
 CHUNK_PIECES = 20_000
 # Sequences with more room than this share are dealt anew in the second round.
 LOOSE_SHARE = 0.01
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 400_000
 LONGEST_REMEMBERED = 64
 # Fixed value: what tokens at the end of a word end with.
 WORD_END = "</w>"
 # Words that go to the tokenizer in one call; bytes of texts whose words are looked up together.
 WORDS_AT_ONCE = 50_000
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 ID_BYTES = 4
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"row long, {PIECES}, sequence long, offset long"
